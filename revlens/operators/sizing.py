@@ -1,0 +1,46 @@
+"""Joins to a side table whose size is checked before it is broadcast."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+MAX_BROADCAST_ROWS = 10_000
+SLICES = 32
+
+
+def small_or_none(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
+    """The table marked for broadcast when it has at most `max_rows` rows, else None.
+
+    The rows are fetched once, up to one beyond the bound, so the work behind them is not repeated.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def lookup_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    spread_on: str | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Join many fact rows to one lookup row per key (inner, left, left_semi or left_anti).
+
+    A lookup of checked size is broadcast and the facts stay where they are. A larger one is
+    joined by shuffle; with `spread_on`, an id that varies among the facts of one key, each key is
+    cut into slices so that a key holding much of the table is not one task's work.
+    """
+    on = list(on)
+    small = small_or_none(lookup, max_rows)
+    if small is not None:
+        return facts.join(small, on, how)
+    if spread_on is None:
+        return facts.join(lookup, on, how)
+    sliced = facts.withColumn("_slice", F.pmod(F.xxhash64(spread_on), F.lit(SLICES)))
+    copies = lookup.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))))
+    return sliced.join(copies, [*on, "_slice"], how).drop("_slice")
