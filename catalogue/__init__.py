@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("insights",)
+MODULES = ("columns", "quality", "distributions", "insights")
 
 
 def load() -> None:

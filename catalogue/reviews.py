@@ -156,4 +156,4 @@ LABELLED_SQL = (
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled reviews with a score in [0, 1] from the lexicon."""
     rows = add_compound(labelled(spark, folder), "review")
-    return rows.withColumn("sentiment_score", F.round((F.col("compound") + 1) / 2, 6))
+    return rows.withColumn("sentiment_score", (F.col("compound") + 1) / 2)

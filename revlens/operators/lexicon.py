@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -37,22 +37,28 @@ def compound(
     Each lexicon word is shifted by boosters and flipped by negators among the three words before
     it, weighed by its side of the first "but", summed, and raised by `!` and repeated `?`.
     """
-    # A one-element array binds the token list to a name, so that it is computed once per row.
-    scored = F.transform(
-        F.array(sentiment_tokens(text)), lambda tokens: _valence_sum(tokens, lexicon, negators, boosters)
-    )[0]
+    scored = _let(
+        sentiment_tokens(text),
+        lambda tokens: _let(
+            F.array_position(tokens, "but"), lambda but_at: _valence_sum(tokens, but_at, lexicon, negators, boosters)
+        ),
+    )
     bangs = F.least(F.length(_col(text)) - F.length(F.replace(_col(text), F.lit("!"), F.lit(""))), F.lit(MAX_EXCLAMATIONS))
     questions = F.length(_col(text)) - F.length(F.replace(_col(text), F.lit("?"), F.lit("")))
     emphasis = bangs * EXCLAMATION + (
         F.when(questions <= 1, 0.0).when(questions <= 3, questions * QUESTION).otherwise(MAX_QUESTION)
     )
-    total = scored + F.signum(scored) * emphasis
-    return F.coalesce(total / F.sqrt(total * total + NORMALISER), F.lit(0.0))
+    raised = _let(scored, lambda total: total + F.signum(total) * emphasis)
+    return F.coalesce(_let(raised, lambda total: total / F.sqrt(total * total + NORMALISER)), F.lit(0.0))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Compute `value` once per row and give it a name: a one-element array seen through a lambda."""
+    return F.transform(F.array(value), use)[0]
 
 
-def _valence_sum(tokens: Column, lexicon, negators, boosters) -> Column:
+def _valence_sum(tokens: Column, but_at: Column, lexicon, negators, boosters) -> Column:
     valences, boosts = _table(lexicon), _table(boosters)
-    but_at = F.array_position(tokens, "but")
     hits = F.filter(
         F.transform(tokens, lambda word, i: F.struct(word.alias("word"), i.alias("i"))),
         lambda hit: hit["word"].isin(list(lexicon)),
