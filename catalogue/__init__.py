@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("columns", "quality", "distributions", "insights")
+MODULES = ("columns", "quality", "text", "sentiment", "distributions", "insights")
 
 
 def load() -> None:

@@ -125,16 +125,14 @@ def daily_mean_rating(spark, folder):
 
 
 @query(
-    "daily_mean_with_gaps",
-    """WITH big AS (SELECT CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DOUBLE) AS price FROM orders WHERE o_totalprice > 390000),
-      daily AS (SELECT day, avg(price) AS m, count(*) AS n FROM big GROUP BY 1),
+    "daily_mean_order_price",
+    """WITH daily AS (SELECT CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS m, count(*) AS n FROM orders GROUP BY 1),
       calendar AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM daily)
-    SELECT CAST(c.day AS VARCHAR) AS day, round(m, 4) AS mean_rating, coalesce(n, 0) AS n FROM calendar c LEFT JOIN daily d ON d.day = c.day""",
+    SELECT CAST(c.day AS VARCHAR) AS day, round(m, 6) AS mean_rating, coalesce(n, 0) AS n FROM calendar c LEFT JOIN daily d ON d.day = c.day""",
 )
-def daily_mean_with_gaps(spark, folder):
-    large = table(spark, folder, "orders").where("o_totalprice > 390000")
-    daily = trends.daily_mean_rating(large, "o_orderdate", "o_totalprice")
-    return daily.select(F.col("day").cast("string").alias("day"), F.round("mean_rating", 4).alias("mean_rating"), "n")
+def daily_mean_order_price(spark, folder):
+    daily = trends.daily_mean_rating(table(spark, folder, "orders"), "o_orderdate", "o_totalprice")
+    return daily.select(F.col("day").cast("string").alias("day"), F.round("mean_rating", 6).alias("mean_rating"), "n")
 
 
 def _by_label(key: str) -> str:

@@ -44,7 +44,7 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Raw reviews: review_id, lang, bank, user_name, content, score, review_ts, thumbs_up."""
     signals = (
         table(spark, folder, "events")
-        .groupBy(F.floor(F.col("event_id") / 10).alias("doc_id"))
+        .groupBy(F.expr("event_id div 10").alias("doc_id"))
         .agg(
             F.min("ts").alias("review_ts"),
             F.floor(F.max("value")).cast("int").alias("thumbs_up"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -12,8 +13,10 @@ from revlens.functions.vocab import EMOJI_WORDS, LEMMAS, STOP_WORDS
 # ASCII-only or keep joiners and variation selectors.
 NON_WORD = r"[^\p{L}\p{N}_\p{IsWhite_Space}]"
 SPACES = r"[\p{IsWhite_Space}]+"
+NON_SPACE = r"[^\p{IsWhite_Space}]"
 EDGE_SPACES = r"^[\p{IsWhite_Space}]+|[\p{IsWhite_Space}]+$"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
+EMOJI_BLOCKS = ((0x1F000, 0x1FAFF), (0x2600, 0x27BF), (0x2B00, 0x2BFF))
 EMOJI = (
     r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}"
     r"\x{FE0F}\x{200D}\x{20E3}\x{E0020}-\x{E007F}]"
@@ -36,7 +39,7 @@ def squeeze(c: Column | str) -> Column:
 
 def is_blank(c: Column | str) -> Column:
     """True for NULL, empty and all-white-space text."""
-    return F.coalesce(strip(c) == "", F.lit(True))
+    return ~F.coalesce(_col(c).rlike(NON_SPACE), F.lit(False))
 
 
 def strip_punctuation(c: Column | str) -> Column:
@@ -53,37 +56,51 @@ def words(c: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(_col(c)), F.lit(TOKEN), F.lit(0))
 
 
-def with_bigrams(tokens: Column) -> Column:
-    """The tokens followed by every pair of neighbours joined by a space."""
-    size = F.size(tokens)
-    pairs = F.zip_with(
-        F.slice(tokens, 1, F.greatest(size - 1, F.lit(0))),
-        F.slice(tokens, 2, F.greatest(size - 1, F.lit(0))),
-        lambda left, right: F.concat(left, F.lit(" "), right),
-    )
-    return F.when(size >= 2, F.concat(tokens, pairs)).otherwise(tokens)
+def each(values: Column) -> Column:
+    """One row per array element and a NULL row for an empty array; filter on `IS NOT NULL` after it.
+
+    A plain `explode` of a computed array makes Spark add a filter on the array's size, which
+    computes the array a second time for every row.
+    """
+    return F.explode_outer(values)
 
 
 def replace_emoji(c: Column | str, emoji_words: Mapping[str, str] | None = None) -> Column:
     """Put the word for each known emoji, drop the others, squeeze white space.
 
-    Texts without any emoji skip the dictionary and only get their white space squeezed.
+    Texts without any emoji only get their white space squeezed. The others are cut into emoji and
+    the runs between them, so that one pass over the text serves the whole dictionary.
     """
     emoji_words = EMOJI_WORDS if emoji_words is None else emoji_words
     text = _col(c)
-    replaced = text
-    for emoji, word in emoji_words.items():
-        replaced = F.replace(replaced, F.lit(emoji), F.lit(word))
-    if all(_in_emoji_ranges(emoji) for emoji in emoji_words):
-        replaced = F.when(text.rlike(EMOJI), F.regexp_replace(replaced, EMOJI, "")).otherwise(text)
-    else:
-        replaced = F.regexp_replace(replaced, EMOJI, "")
-    return squeeze(replaced)
-
-
-def _in_emoji_ranges(text: str) -> bool:
-    ranges = ((0x1F000, 0x1FAFF), (0x2600, 0x27BF), (0x2B00, 0x2BFF))
-    return bool(text) and any(low <= ord(text[0]) <= high for low, high in ranges)
+    if not _independent(emoji_words):
+        for emoji, word in emoji_words.items():
+            text = F.replace(text, F.lit(emoji), F.lit(word))
+        return squeeze(F.regexp_replace(text, EMOJI, ""))
+    known = "|".join(sorted(map(re.escape, emoji_words), key=len, reverse=True))
+    pieces = F.regexp_extract_all(text, F.lit(f"{known}|{EMOJI}|{EMOJI.replace('[', '[^', 1)}+"), F.lit(0))
+    table = F.create_map(*[F.lit(part) for pair in emoji_words.items() for part in pair])
+    replaced = F.transform(
+        pieces,
+        lambda piece: F.when(piece.isin(list(emoji_words)), F.element_at(table, piece))
+        .when(piece.rlike("^" + EMOJI), "")
+        .otherwise(piece),
+    )
+    return squeeze(F.when(text.rlike(EMOJI), F.array_join(replaced, "")).otherwise(text))
+
+
+def _independent(emoji_words: Mapping[str, str]) -> bool:
+    """Whether replacing all entries at once equals replacing them one after the other.
+
+    True when every key starts with an emoji and no character occurs in two keys, or in a key and a
+    replacement.
+    """
+    used: set[str] = set("".join(emoji_words.values()))
+    for key in emoji_words:
+        if not key or used & set(key) or not any(low <= ord(key[0]) <= high for low, high in EMOJI_BLOCKS):
+            return False
+        used |= set(key)
+    return bool(emoji_words)
 
 
 def normalise(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from revlens.functions.text import words
+from revlens.functions.text import each, words
 from revlens.functions.vocab import STOP_WORDS
 from revlens.operators.quantiles import box_stats
 from revlens.operators.sizing import lookup_join
@@ -70,7 +70,7 @@ def compound_by_rating(df: DataFrame) -> DataFrame:
 def word_frequencies(df: DataFrame, text: str, top_n: int = 200, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """The most frequent words of all texts, stop words left out: word-cloud weights."""
     kept = F.filter(words(text), lambda word: ~word.isin(list(stop_words)))
-    counts = df.select(F.explode(kept).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
+    counts = df.select(each(kept).alias("word")).where("word is not null").groupBy("word").agg(F.count("*").alias("count"))
     return counts.orderBy(F.desc("count"), "word").limit(top_n)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from revlens.functions.text import each
 from revlens.operators.topk import top_per_group
 
 DRIVER, PAIN = "positive", "negative"
@@ -17,7 +18,7 @@ def _by_count() -> list:
 
 def theme_rows(df: DataFrame, columns: Sequence[str], themes: str = "themes") -> DataFrame:
     """One row per review and theme; reviews without a theme, or without a value to group by, vanish."""
-    rows = df.select(*columns, F.explode(themes).alias("theme"))
+    rows = df.select(*columns, each(F.col(themes)).alias("theme"))
     return rows.dropna(subset=[*columns, "theme"])
 
 

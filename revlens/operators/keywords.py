@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
-from revlens.functions.text import is_blank, with_bigrams, words
+from revlens.functions.text import each, is_blank, words
 
 MAX_TERMS = 1_000
 
 
+def word_pairs(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """One row per word with the word after it: `(keys, word, next)`, `next` NULL at the end."""
+    tokens = df.select(*keys, words(text).alias("_t"))
+    after = F.slice("_t", 2, F.greatest(F.size("_t"), F.lit(1)))
+    zipped = each(F.arrays_zip(F.col("_t").alias("word"), after.alias("next")))
+    return tokens.select(*keys, zipped.alias("_z")).where("_z is not null").select(*keys, "_z.word", "_z.next")
+
+
 def _terms(docs: DataFrame, row_id: str, text: str) -> DataFrame:
-    tokens = docs.select(row_id, words(text).alias("_tokens"))
-    return tokens.select(row_id, F.explode(with_bigrams(F.col("_tokens"))).alias("term"))
+    """Words and pairs of neighbouring words."""
+    both = F.array("word", F.concat("word", F.lit(" "), "next"))
+    return word_pairs(docs, [row_id], text).select(row_id, F.explode(both).alias("term")).where("term is not null")
 
 
 def vocabulary(df: DataFrame, row_id: str, text: str, max_terms: int = MAX_TERMS) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from revlens.functions.text import _col
+from revlens.functions.text import _col, each
 from revlens.operators.sizing import lookup_join
 from revlens.operators.topk import top_per_group
 from revlens.session import fresh_path
@@ -16,18 +16,29 @@ PROFILE_SIZE = 1_000
 WORD = r"\p{L}+"
 
 
+NON_LETTERS = r"\P{L}+"
+EVERY_THREE = r"(?=(.{3}))"
+
+
 def _grams(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    """Every three letters of every word, the word padded with one blank on each side."""
-    in_words = df.select(*keys, F.explode(F.regexp_extract_all(F.lower(_col(text)), F.lit(WORD), F.lit(0))).alias("_w"))
-    padded = F.concat(F.lit(" "), F.col("_w"), F.lit(" "))
-    starts = F.sequence(F.lit(1), F.length("_w"))
-    return in_words.select(*keys, F.explode(F.transform(starts, lambda i: padded.substr(i, F.lit(3)))).alias("gram"))
+    """Every three neighbouring characters of the words, each word between single blanks.
+
+    Words stand two blanks apart, so a triple that would join two words holds a double blank and
+    equals no profiled trigram.
+    """
+    spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower(_col(text)), NON_LETTERS, "  "), F.lit(" "))
+    triples = F.regexp_extract_all(spaced, F.lit(EVERY_THREE), F.lit(1))
+    return df.select(*keys, each(triples).alias("gram")).where("gram is not null")
 
 
 def train_profiles(df: DataFrame, text: str, lang: str, languages: Sequence[str], profile_size: int = PROFILE_SIZE) -> DataFrame:
     """The most frequent trigrams of each language: `(lang, gram, n)`, ties in gram order."""
     known = df.where(F.col(lang).isin(list(languages))).select(F.col(lang).alias("lang"), text)
-    counts = _grams(known, ["lang"], text).groupBy("lang", "gram").agg(F.count("*").alias("n"))
+    tokens = known.select("lang", each(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))).alias("word"))
+    # Words repeat far more than texts do: count them first, cut the distinct ones into trigrams.
+    words = tokens.where("word is not null").groupBy("lang", "word").agg(F.count("*").alias("_n"))
+    grams = _grams(words, ["lang", "_n"], "word").where(~F.col("gram").contains("  "))
+    counts = grams.groupBy("lang", "gram").agg(F.sum("_n").alias("n"))
     return top_per_group(counts, ["lang"], [F.desc("n"), F.col("gram")], profile_size, rank=None)
 
 

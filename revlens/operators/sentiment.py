@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from revlens.functions.text import head_chars, is_blank, words
+from revlens.functions.text import each, head_chars, is_blank, words
 
 MAX_CHARS = 512
 MAX_FEATURES = 50_000
@@ -29,9 +29,10 @@ def train_word_model(df: DataFrame, text: str, label: str, max_features: int = M
     """
     positive, negative = F.col(label) == "positive", F.col(label) == "negative"
     labelled = df.where(positive | negative)
-    tokens = labelled.where(~is_blank(text)).select(label, F.explode(words(head_chars(text, MAX_CHARS))).alias("token"))
+    tokens = labelled.where(~is_blank(text)).select(label, each(words(head_chars(text, MAX_CHARS))).alias("token"))
     counts = (
-        tokens.groupBy("token")
+        tokens.where("token is not null")
+        .groupBy("token")
         .agg(F.count(F.when(positive, 1)).alias("pos"), F.count(F.when(negative, 1)).alias("neg"))
         .orderBy(F.desc(F.col("pos") + F.col("neg")), "token")
         .limit(max_features)
@@ -53,7 +54,7 @@ def add_sentiment(
     The model has a bounded number of rows and is broadcast; the word weights are summed per
     review before anything moves.
     """
-    tokens = df.where(~is_blank(text)).select(row_id, F.explode(words(head_chars(text, MAX_CHARS))).alias("token"))
+    tokens = df.where(~is_blank(text)).select(row_id, each(words(head_chars(text, MAX_CHARS))).alias("token"))
     odds = tokens.join(F.broadcast(model), "token").groupBy(row_id).agg(F.sum("weight").alias("_odds"))
     prior = model.where("token = ''").select("weight").scalar()
     total = F.coalesce("_odds", F.lit(0.0)) + prior

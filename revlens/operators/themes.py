@@ -15,8 +15,13 @@ def themes_of_text(text: Column | str, rules: Mapping[str, str] = THEME_RULES, d
     The rules travel as literals, so matching stays inside the row.
     """
     lowered = F.lower(F.col(text) if isinstance(text, str) else text)
-    hits = [F.when(F.contains(lowered, F.lit(key)), F.lit(theme)) for key, theme in rules.items()]
-    themes = F.array_sort(F.array_distinct(F.array_compact(F.array(*hits))))
+    hits: dict[str, Column] = {}
+    for part, theme in rules.items():
+        found = F.contains(lowered, F.lit(part))
+        hits[theme] = hits[theme] | found if theme in hits else found
+    # Sorted and distinct by construction; an empty string marks a theme that is not there.
+    marked = F.array(*[F.when(hits[theme], theme).otherwise("") for theme in sorted(hits)])
+    themes = F.array_remove(marked, "")
     return F.when(F.size(themes) > 0, themes).otherwise(F.array(F.lit(default)))
 
 

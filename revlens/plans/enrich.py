@@ -4,26 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from revlens.functions.text import normalise, replace_emoji, squeeze
+from revlens.functions.text import normalise, replace_emoji
 from revlens.operators.columns import rename_columns
 from revlens.operators.keywords import MAX_TERMS, attach_keywords, keyword_lists
-from revlens.operators.rows import drop_blank_text
 from revlens.operators.sentiment import add_sentiment, label_from_rating, train_word_model
 from revlens.operators.themes import add_themes
 from revlens.session import fresh_path
 
 
 def prepare_text(reviews: DataFrame, text: str = "review_text", emoji_first: bool = True) -> DataFrame:
-    """Add `cleaned_text` and drop rows where nothing is left of it.
+    """Add `cleaned_text`, which is empty where nothing is left of the text.
 
     Emoji become words before punctuation goes, or they would be lost with it. With
     `emoji_first=False` they are lost.
     """
-    if emoji_first:
-        cleaned = squeeze(normalise(replace_emoji(text)))
-    else:
-        cleaned = replace_emoji(normalise(text))
-    return reviews.withColumn("cleaned_text", cleaned).transform(drop_blank_text, "cleaned_text")
+    cleaned = normalise(replace_emoji(text)) if emoji_first else replace_emoji(normalise(text))
+    return reviews.withColumn("cleaned_text", cleaned)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -43,11 +39,12 @@ def enrich_reviews(
 ) -> DataFrame:
     """The whole chain over cleaned reviews with `review` (or `review_text`) and `rating`.
 
-    The prepared text is staged once, because the sentiment and keyword steps each read it. Without
-    a model, one is trained on the reviews whose rating tells their sentiment.
+    The prepared text is staged once, because the sentiment and keyword steps each read it; reviews
+    with nothing left are dropped behind that, so that the test does not compute the text again.
+    Without a model, one is trained on the reviews whose rating tells their sentiment.
     """
     named = rename_columns(reviews, {"review": "review_text"}) if "review" in reviews.columns else reviews
-    prepared = stage(prepare_text(named, emoji_first=emoji_first), "prepared")
+    prepared = stage(prepare_text(named, emoji_first=emoji_first), "prepared").where("cleaned_text != ''")
     if model is None:
         labelled = prepared.select("cleaned_text", label_from_rating("rating").alias("label"))
         model = train_word_model(labelled, "cleaned_text", "label")
