@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("columns", "quality", "text", "sentiment", "distributions", "insights")
+MODULES = ("sources", "columns", "quality", "text", "sentiment", "warehouse", "distributions", "insights", "streaming")
 
 
 def load() -> None:

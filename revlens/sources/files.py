@@ -12,7 +12,14 @@ from revlens.functions.lists import list_to_json, parse_list
 log = logging.getLogger(__name__)
 
 # Review text holds line breaks and quotes.
-CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+_LAYOUT = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+CSV_OPTIONS = {**_LAYOUT, "multiLine": True}
 FORMATS = ("csv", "parquet")
 
 
@@ -62,7 +69,7 @@ def text_as_lists(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A folder of CSV files with headers. Quoting covers line breaks; lists become JSON text."""
-    out = lists_as_text(df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+    out = lists_as_text(df).write.mode(mode).options(**_LAYOUT)
     # Keep white-space-only text and tell an empty text from a missing one.
     out = out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     out.option("emptyValue", '""').option("nullValue", "").csv(path)
