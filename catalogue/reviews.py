@@ -52,7 +52,8 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
             *[_count(t).alias(f"n_{t}") for t in ("click", "error", "purchase", "signup", "view")],
         )
     )
-    joined = table(spark, folder, "documents").join(signals, "doc_id", "left").join(table(spark, folder, "labels"), "doc_id", "left")
+    # A large table of documents meets as many rows of signals: joined by shuffle, whatever the size here.
+    joined = table(spark, folder, "documents").join(signals.hint("merge"), "doc_id", "left").join(table(spark, folder, "labels"), "doc_id", "left")
     n = {t: F.coalesce(F.col(f"n_{t}"), F.lit(0)) for t in ("click", "error", "purchase", "signup", "view")}
     opener = F.element_at(F.array(*[F.lit(o) for o in OPENERS]), (F.col("n_chars") % len(OPENERS) + 1).cast("int"))
     content = (

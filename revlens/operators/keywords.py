@@ -34,17 +34,17 @@ def vocabulary(df: DataFrame, row_id: str, text: str, max_terms: int = MAX_TERMS
 def term_weights(df: DataFrame, row_id: str, text: str, max_terms: int = MAX_TERMS) -> DataFrame:
     """Per review and vocabulary term: `tf`, `df` and the weight normalised to unit length.
 
-    Non-blank reviews are first placed by id. Everything that follows per review (term counts,
-    norms, ranks, and a caller's join back on the id) then needs no further shuffle, and the
-    vocabulary pass reads the same shuffle output.
+    The text itself is never shuffled: one pass counts the vocabulary, a second one counts only the
+    vocabulary's terms per review, combined before they move, and both the document frequencies and
+    the weights read that one shuffle output.
     """
-    docs = df.where(~is_blank(text)).select(row_id, text).repartition(row_id)
+    docs = df.where(~is_blank(text)).select(row_id, text)
     # The vocabulary holds at most `max_terms` rows by construction.
     terms = F.broadcast(vocabulary(docs, row_id, text, max_terms).select("term"))
     tf = _terms(docs, row_id, text).join(terms, "term").groupBy(row_id, "term").agg(F.count("*").alias("tf"))
-    df_counts = tf.groupBy("term").agg(F.count("*").alias("df"))
-    # Counting the text column keeps this subquery on the same shuffle output.
-    n_docs = docs.agg(F.count(text).alias("n")).scalar()
+    # Counting the column `tf`, not rows, keeps both readers on one shuffle output.
+    df_counts = tf.groupBy("term").agg(F.count("tf").alias("df"))
+    n_docs = docs.agg(F.count("*").alias("n")).scalar()
     idf = df_counts.select("term", "df", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("_idf"))
     raw = tf.join(F.broadcast(idf), "term").withColumn("_w", F.col("tf") * F.col("_idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(row_id)))
