@@ -70,9 +70,8 @@ def text_as_lists(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A folder of CSV files with headers. Quoting covers line breaks; lists become JSON text."""
     out = lists_as_text(df).write.mode(mode).options(**_LAYOUT)
-    # Keep white-space-only text and tell an empty text from a missing one.
-    out = out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    out.option("emptyValue", '""').option("nullValue", "").csv(path)
+    # Blanks around a text are part of it. CSV has no NULL: an empty text reads back as missing.
+    out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
