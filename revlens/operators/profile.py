@@ -64,7 +64,7 @@ def invalid_values(df: DataFrame, markers: Sequence[str] | None = None) -> DataF
 def invalid_examples(df: DataFrame, order_by: str, markers: Sequence[str] | None = None, n: int = 5) -> DataFrame:
     """Up to `n` examples per column in the order of an id, as they stand in the table."""
     cells = _invalid_cells(df, markers, [order_by])
-    return top_per_group(cells, ["column_name"], [F.col(order_by)], n, spread_on=order_by)
+    return top_per_group(cells, ["column_name"], [F.col(order_by)], n, spread=True)
 
 
 def _invalid_cells(df: DataFrame, markers: Sequence[str] | None, ids: Sequence[str] = ()) -> DataFrame:

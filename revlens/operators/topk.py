@@ -13,21 +13,21 @@ def top_per_group(
     order: Sequence[Column],
     k: int,
     rank: str | None = "rank",
-    spread_on: str | None = None,
-    slices: int = 64,
+    spread: bool = False,
+    slices: int = 256,
 ) -> DataFrame:
     """The first `k` rows of each group under a total order.
 
-    `row_number() <= k` lets Spark drop rows before the shuffle. With `spread_on` (a column that
-    varies inside a group, such as an id) each group is first cut into `slices` that are ranked
-    apart, so that no single task sees more than `slices * k` rows of a group at the end.
+    `row_number() <= k` lets every task drop all but `k` rows of a group before the shuffle. What
+    then meets in one task is `k` rows per group and input partition. With `spread`, for rows that
+    were not aggregated before, the input partitions are first ranked in `slices` apart, so that the
+    last task sees at most `slices * k` rows of a group. The result does not depend on the slices.
     """
     position = rank or "_rank"
-    if spread_on is not None:
-        part = F.pmod(F.xxhash64(spread_on), F.lit(slices))
+    if spread:
+        df = df.withColumn("_slice", F.spark_partition_id() % slices)
         inner = Window.partitionBy(*group, "_slice").orderBy(*order)
-        df = df.withColumn("_slice", part).withColumn("_rank", F.row_number().over(inner))
-        df = df.where(F.col("_rank") <= k).drop("_rank", "_slice")
+        df = df.withColumn("_rank", F.row_number().over(inner)).where(F.col("_rank") <= k).drop("_rank", "_slice")
     outer = Window.partitionBy(*group).orderBy(*order)
     ranked = df.withColumn(position, F.row_number().over(outer)).where(F.col(position) <= k)
     return ranked if rank else ranked.drop(position)

@@ -81,9 +81,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 def write_per_bank(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder per bank, so that a reader of one bank opens only its files.
 
-    Rows keep their partitions: a bank with much of the data is written by many tasks.
+    Rows are gathered by bank first, or every task would leave a file in every folder. The
+    rebalancing splits a bank with much of the data over many tasks.
     """
-    write_parquet(df, path, mode, ["bank"])
+    write_parquet(df.hint("rebalance", "bank"), path, mode, ["bank"])
 
 
 def report_export(df: DataFrame) -> DataFrame:

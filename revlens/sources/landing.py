@@ -18,7 +18,7 @@ MIN_REVIEWS = 400
 def newest_reviews(raw: DataFrame, max_reviews: int = MAX_REVIEWS, group: str = "bank") -> DataFrame:
     """The newest `max_reviews` reviews of each bank, ties to the smallest id."""
     order = [F.desc_nulls_last("review_ts"), F.col("review_id")]
-    return top_per_group(raw, [group], order, max_reviews, rank=None, spread_on="review_id")
+    return top_per_group(raw, [group], order, max_reviews, rank=None, spread=True)
 
 
 def with_bank_names(raw: DataFrame, banks_by_app: Mapping[str, str], app: str = "app_id") -> DataFrame:

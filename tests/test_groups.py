@@ -50,10 +50,10 @@ def test_quantiles_skip_missing_groups_and_values(spark):
     assert [(r["g"], r["n"], r["quantiles"]) for r in rows] == [("a", 1, [3.0])]
 
 
-@pytest.mark.parametrize("spread_on", [None, "id"])
-def test_top_per_group(skewed, spread_on):
+@pytest.mark.parametrize("spread", [False, True])
+def test_top_per_group(skewed, spread):
     df, groups, values = skewed
-    got = top_per_group(df, ["g"], [F.desc("v"), F.col("id")], 10, spread_on=spread_on).collect()
+    got = top_per_group(df, ["g"], [F.desc("v"), F.col("id")], 10, spread=spread, slices=3).collect()
     assert all("_slice" not in r.asDict() for r in got[:1])
     for g in set(groups):
         ids = np.flatnonzero(groups == g)
