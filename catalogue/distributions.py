@@ -126,12 +126,14 @@ def daily_mean_rating(spark, folder):
 
 @query(
     "daily_mean_order_price",
-    """WITH daily AS (SELECT CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS m, count(*) AS n FROM orders GROUP BY 1),
+    """WITH daily AS (SELECT CAST(o_orderdate AS DATE) AS day, avg(CAST(round(o_totalprice * 100) AS BIGINT)) AS m, count(*) AS n FROM orders GROUP BY 1),
       calendar AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM daily)
     SELECT CAST(c.day AS VARCHAR) AS day, round(m, 6) AS mean_rating, coalesce(n, 0) AS n FROM calendar c LEFT JOIN daily d ON d.day = c.day""",
 )
 def daily_mean_order_price(spark, folder):
-    daily = trends.daily_mean_rating(table(spark, folder, "orders"), "o_orderdate", "o_totalprice")
+    # Whole cents add up to the same sum in any order.
+    cents = table(spark, folder, "orders").withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long"))
+    daily = trends.daily_mean_rating(cents, "o_orderdate", "cents")
     return daily.select(F.col("day").cast("string").alias("day"), F.round("mean_rating", 6).alias("mean_rating"), "n")
 
 

@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from revlens.functions.text import _col, each
-from revlens.operators.sizing import lookup_join
 from revlens.operators.topk import top_per_group
 from revlens.session import fresh_path
 
@@ -96,6 +95,10 @@ def keep_language(
     return df.join(found.where(F.col("detected_lang") == wanted).select(row_id), row_id, "left_semi")
 
 
+def _hashed(df: DataFrame) -> DataFrame:
+    return df.withColumn("_hash", F.xxhash64("_text"))
+
+
 def translate(
     df: DataFrame,
     row_id: str,
@@ -119,6 +122,7 @@ def translate(
         {"_lang": F.when(foreign, F.col(lang)).otherwise(own_key), "_text": F.when(foreign, F.col(text))}
     )
     known = memory.select(F.col("lang").alias("_lang"), F.col("text").alias("_text"), F.col("translation").alias("_t"))
+    keys = ["_lang", "_hash", "_text"]
     if translate_batch is not None:
         wanted = keyed.where("_text is not null").select("_lang", "_text").distinct()
         misses = wanted.join(known, ["_lang", "_text"], "left_anti")
@@ -132,5 +136,7 @@ def translate(
         path = fresh_path(df.sparkSession, "translations")
         misses.mapInPandas(run, "_lang string, _text string, _t string").write.parquet(path)
         known = known.unionByName(df.sparkSession.read.parquet(path))
-    found = lookup_join(keyed, known, ["_lang", "_text"], "left", spread_on=row_id)
+    # The hash settles most comparisons of the sort before the texts are looked at; a text that is
+    # much of the table makes a skewed partition, which the adaptive join splits.
+    found = _hashed(keyed).join(_hashed(known), keys, "left")
     return found.withColumn(text, F.coalesce("_t", text)).select(*df.columns)

@@ -7,16 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 MAX_BROADCAST_ROWS = 10_000
+MAX_ROW_BYTES = 2_000
 SLICES = 32
 
 
 def small_or_none(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
-    """The table marked for broadcast when it has at most `max_rows` rows, else None.
+    """The table marked for broadcast when it has at most `max_rows` rows of 2,000 bytes, else None.
 
-    The rows are fetched once, up to one beyond the bound, so the work behind them is not repeated.
+    The rows are fetched once, up to one beyond the bound and without those that are too wide, so
+    the work behind them is not repeated and at most 20 MB reach the driver.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    row = F.struct(*[F.col(f"`{name}`") for name in df.columns])
+    narrow = F.when(F.octet_length(F.to_json(row)) <= MAX_ROW_BYTES, row).alias("row")
+    rows = [r["row"] for r in df.limit(max_rows + 1).select(narrow).collect()]
+    if len(rows) > max_rows or None in rows:
         return None
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
