@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from catalogue.lexicon_sql import compound_ctes
 from catalogue.registry import query
-from catalogue.reviews import _RULES_SQL
+from catalogue.reviews import CLEANED_SQL, _RULES_SQL, cleaned
+from catalogue.sentiment import model_ctes, score_ctes
 from revlens import schemas
 from revlens.functions.vocab import NO_THEME
+from revlens.operators.sentiment import label_from_rating, train_word_model
 from revlens.operators.warehouse import review_key
+from revlens.plans.enrich import stage
 from revlens.session import fresh_path
 from revlens.streaming import jobs
 
@@ -30,6 +33,19 @@ def _finish(spark, start, name):
     return spark.read.parquet(path)
 
 
+@query(
+    "stream_model_scores",
+    f"""WITH {CLEANED_SQL}, {model_ctes('cleaned', 'review', 'rating')}, {score_ctes('documents', 'doc_id', 'text')}
+    SELECT id AS doc_id, label AS sentiment_label, round(CAST(score AS DOUBLE), 6) AS sentiment_score FROM predicted""",
+)
+def stream_model_scores(spark, folder):
+    rated = cleaned(spark, folder).withColumn("label", label_from_rating("rating"))
+    model = stage(train_word_model(rated, "review", "label"), "model")
+    rows = _documents(spark, folder).select("doc_id", "text")
+    scores = _finish(spark, lambda path, checkpoint: jobs.score_with_model(rows, model, "doc_id", "text", path, checkpoint), "scored")
+    return scores.select("doc_id", "sentiment_label", F.round("sentiment_score", 6).alias("sentiment_score"))
+
+
 @query("stream_ingest", "SELECT doc_id, lang, source, md5(text) AS text_hash FROM documents")
 def stream_ingest(spark, folder):
     rows = _documents(spark, folder).select("doc_id", "lang", "source", F.md5("text").alias("text_hash"))

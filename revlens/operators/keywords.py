@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from revlens.functions.text import each, is_blank, words
 
 MAX_TERMS = 1_000
+FOLLOWERS_PER_TERM = 10
 
 
 def word_pairs(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
@@ -26,9 +27,35 @@ def _terms(docs: DataFrame, row_id: str, text: str) -> DataFrame:
 
 
 def vocabulary(df: DataFrame, row_id: str, text: str, max_terms: int = MAX_TERMS) -> DataFrame:
-    """The `max_terms` most frequent terms: `(term, corpus_count)`, ties in term order."""
-    counts = _terms(df, row_id, text).groupBy("term").agg(F.count("*").alias("corpus_count"))
-    return counts.orderBy(F.desc("corpus_count"), "term").limit(max_terms)
+    """The `max_terms` most frequent terms: `(term, corpus_count)`, ties in term order.
+
+    The words are counted first. A pair is no more frequent than either of its words, so when its
+    first word is not among the `max_terms` leading words, or its second word is rarer than the last
+    of them, those words all rank before the pair. Only the other pairs are counted, and the long
+    tail of rare pairs is never shuffled.
+    """
+    pairs = word_pairs(df.select(text), [], text)
+    singles = df.select(each(words(text)).alias("word")).where("word is not null")
+    counts = singles.groupBy("word").agg(F.count("*").alias("corpus_count"))
+    leaders = counts.orderBy(F.desc("corpus_count"), "word").limit(max_terms)
+    least = leaders.agg(F.min("corpus_count")).scalar()
+    # Words as frequent as the last leader: about `max_terms`, but ties can make them many. Beyond
+    # the bound of the broadcast every second word passes.
+    bound = FOLLOWERS_PER_TERM * max_terms
+    followers = counts.where(F.col("corpus_count") >= least)
+    n_followers = followers.agg(F.count("*")).scalar()
+    listed = followers.orderBy(F.desc("corpus_count"), "word").limit(bound)
+    listed = listed.select(F.col("word").alias("next"), F.lit(True).alias("_listed"))
+    candidates = (
+        pairs.where("next is not null")
+        .join(F.broadcast(leaders.select("word")), "word")
+        .join(F.broadcast(listed), "next", "left")
+        .where(F.col("_listed") | (n_followers > bound))
+    )
+    paired = candidates.groupBy("word", "next").agg(F.count("*").alias("corpus_count"))
+    terms = paired.select(F.concat("word", F.lit(" "), "next").alias("term"), "corpus_count")
+    terms = terms.unionByName(leaders.withColumnRenamed("word", "term"))
+    return terms.orderBy(F.desc("corpus_count"), "term").limit(max_terms)
 
 
 def term_weights(df: DataFrame, row_id: str, text: str, max_terms: int = MAX_TERMS) -> DataFrame:
@@ -42,8 +69,9 @@ def term_weights(df: DataFrame, row_id: str, text: str, max_terms: int = MAX_TER
     # The vocabulary holds at most `max_terms` rows by construction.
     terms = F.broadcast(vocabulary(docs, row_id, text, max_terms).select("term"))
     tf = _terms(docs, row_id, text).join(terms, "term").groupBy(row_id, "term").agg(F.count("*").alias("tf"))
-    # Counting the column `tf`, not rows, keeps both readers on one shuffle output.
-    df_counts = tf.groupBy("term").agg(F.count("tf").alias("df"))
+    # A condition on `tf`, always true, keeps both readers on one shuffle output: a plain count would
+    # not need the column, and Spark would build a second, narrower one.
+    df_counts = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     n_docs = docs.agg(F.count("*").alias("n")).scalar()
     idf = df_counts.select("term", "df", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("_idf"))
     raw = tf.join(F.broadcast(idf), "term").withColumn("_w", F.col("tf") * F.col("_idf"))

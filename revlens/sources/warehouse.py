@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.operators.warehouse import new_facts, report_extract
@@ -45,18 +46,13 @@ def write_facts_jdbc(facts: DataFrame, url: str, table: str = "REVIEWS", batch_s
 
 def append_facts(facts: DataFrame, path: str) -> None:
     """Append the facts that the stored table lacks, so that a repeated load changes nothing."""
-    spark = facts.sparkSession
-    if _exists(spark, path):
-        stored = spark.read.schema(facts.schema).parquet(path)
-        facts = new_facts(facts, stored)
-    else:
-        facts = facts.dropDuplicates(["id"])
-    facts.write.mode("append").parquet(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    try:
+        stored = facts.sparkSession.read.schema(facts.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = facts.limit(0)
+    new_facts(facts, stored).write.mode("append").parquet(path)
 
 
 def list_columns(spark: SparkSession, database: str | None = None) -> DataFrame:

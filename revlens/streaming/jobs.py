@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from revlens.operators.lexicon import compound
+from revlens.operators.sentiment import add_sentiment
 from revlens.operators.themes import themes_of_text
 from revlens.operators.trends import LABELS
 from revlens.sources.warehouse import append_facts
@@ -81,6 +82,24 @@ def load_facts(stream: DataFrame, to_facts: Callable[[DataFrame], DataFrame], pa
     return for_each_batch(stream, load, checkpoint, trigger)
 
 
+def append_batches(
+    stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Append a batch transformation of each batch; a batch that runs again replaces its own folder."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        transform(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return for_each_batch(stream, write, checkpoint, trigger)
+
+
+def score_with_model(
+    stream: DataFrame, model: DataFrame, row_id: str, text: str, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Sentiment of each review from a word model that was trained before the stream started."""
+    return append_batches(stream, lambda batch: add_sentiment(batch, row_id, text, model), path, checkpoint, trigger)
+
+
 def score_rows(stream: DataFrame, text: str) -> DataFrame:
     """Lexicon score and themes of each row as it passes: no state, no shuffle."""
     return stream.withColumns({"compound": compound(text), "themes": themes_of_text(text)})

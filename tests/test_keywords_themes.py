@@ -1,9 +1,11 @@
 import math
+import random
 import re
 from collections import Counter
 
 import pytest
 
+from revlens.operators import keywords
 from revlens.operators.keywords import add_keywords, term_weights, vocabulary
 from revlens.operators.themes import add_themes, assign_themes, themes_of_text
 
@@ -23,9 +25,9 @@ THEMES = [
 ]
 
 
-@pytest.mark.parametrize("keywords, wanted", THEMES)
-def test_assign_themes(one, keywords, wanted):
-    assert one(assign_themes("k"), keywords, "k array<string>") == wanted
+@pytest.mark.parametrize("given, wanted", THEMES)
+def test_assign_themes(one, given, wanted):
+    assert one(assign_themes("k"), given, "k array<string>") == wanted
 
 
 def test_themes_of_text_and_own_rules(one):
@@ -80,6 +82,22 @@ def test_keywords_equal_brute_force(spark, max_terms):
     assert all(weights[k] == pytest.approx(flat[k]) for k in flat)
 
 
+@pytest.mark.parametrize("per_term", [0, 1, 10])
+@pytest.mark.parametrize("max_terms", [1, 3, 7, 20, 500])
+def test_vocabulary_equals_brute_force_with_many_ties(spark, monkeypatch, per_term, max_terms):
+    monkeypatch.setattr(keywords, "FOLLOWERS_PER_TERM", per_term)
+    rng = random.Random(max_terms)
+    names = [f"{a}{b}" for a in "abcdef" for b in "xyz"]
+    texts = [" ".join(rng.choices(names, weights=[30, 9, 9, 5] + [1] * 14, k=rng.randrange(12))) for _ in range(40)]
+    total = Counter()
+    for text in texts:
+        words = text.split()
+        total.update(words + [f"{a} {b}" for a, b in zip(words, words[1:])])
+    wanted = sorted(total.items(), key=lambda kv: (-kv[1], kv[0]))[:max_terms]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    assert [tuple(r) for r in vocabulary(rows, "id", "t", max_terms).collect()] == wanted
+
+
 def test_blank_corpus_gives_empty_lists(spark):
     rows = spark.createDataFrame([(0, ""), (1, "   "), (2, "\n"), (3, None), (4, "a")], "id long, t string")
     assert [r["keywords"] for r in add_keywords(rows, "id", "t").collect()] == [[]] * 5
