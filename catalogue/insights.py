@@ -9,7 +9,7 @@ from catalogue.reviews import LABELLED_SQL, labelled
 from revlens.operators import insights as ops
 
 COUNTS = f"WITH {LABELLED_SQL}, counts AS (SELECT bank, sentiment_label, theme, count(*) AS n FROM themed WHERE sentiment_label IS NOT NULL GROUP BY ALL)"
-RANKED = f"{COUNTS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY bank, sentiment_label ORDER BY n DESC, theme) AS rank FROM counts)"
+RANKED = f"{COUNTS}, ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY bank, sentiment_label ORDER BY n DESC, theme) AS INT) AS rank FROM counts)"
 
 
 @query(
@@ -31,7 +31,7 @@ def top_themes_per_bank(spark, folder):
 @query(
     "top_themes_all_sentiments",
     f"""WITH {LABELLED_SQL}, counts AS (SELECT bank, theme, count(*) AS count FROM themed GROUP BY ALL)
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY bank ORDER BY count DESC, theme) AS rank FROM counts) WHERE rank <= 5""",
+    SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY bank ORDER BY count DESC, theme) AS INT) AS rank FROM counts) WHERE rank <= 5""",
 )
 def top_themes_all_sentiments(spark, folder):
     return ops.top_themes_by_bank(labelled(spark, folder), 5)

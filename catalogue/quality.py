@@ -155,7 +155,7 @@ def invalid_values(spark, folder):
 
 @query(
     "invalid_examples",
-    RAW + f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY review_id) AS rank FROM ({INVALID})) WHERE rank <= 5",
+    RAW + f"SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY column_name ORDER BY review_id) AS INT) AS rank FROM ({INVALID})) WHERE rank <= 5",
 )
 def invalid_examples(spark, folder):
     return profile.invalid_examples(reviews(spark, folder), "review_id")

@@ -23,7 +23,7 @@ TOKEN = r"[\p{L}\p{N}_]{2,}"
     RAW + rf"""SELECT review_id, md5(lower(content)) AS lowered, md5(regexp_replace(content, '{NON_WORD}', '', 'g')) AS no_punctuation,
       md5(trim(regexp_replace(content, '\s+', ' ', 'g'))) AS squeezed, md5(regexp_replace(content, '^\s+|\s+$', '', 'g')) AS stripped,
       md5(replace(content, 'the', 'THE')) AS replaced, contains(content, 'login') AS has_login, left(content, 512) AS head,
-      len(regexp_extract_all(lower(content), '{TOKEN}')) AS n_words FROM reviews WHERE content IS NOT NULL""",
+      CAST(len(regexp_extract_all(lower(content), '{TOKEN}')) AS INT) AS n_words FROM reviews WHERE content IS NOT NULL""",
 )
 def text_functions(spark, folder):
     rows = reviews(spark, folder).where("content is not null")
@@ -99,7 +99,7 @@ def themes_of_reviews(spark, folder):
 
 @query(
     "list_text_round_trip",
-    THEMED + "SELECT review_id, to_json(list(theme ORDER BY theme)) AS as_json, string_agg(theme, '|' ORDER BY theme) AS parsed FROM themed GROUP BY review_id",
+    THEMED + "SELECT review_id, CAST(to_json(list(theme ORDER BY theme)) AS VARCHAR) AS as_json, string_agg(theme, '|' ORDER BY theme) AS parsed FROM themed GROUP BY review_id",
 )
 def list_text_round_trip(spark, folder):
     rows = labelled(spark, folder).select("review_id", lists.list_to_json("themes").alias("as_json"))
@@ -108,7 +108,7 @@ def list_text_round_trip(spark, folder):
 
 @query(
     "repaired_list_text",
-    THEMED + """SELECT review_id, CASE WHEN bank = 'src1' THEN '[]' ELSE to_json(list(theme ORDER BY theme)) END AS repaired,
+    THEMED + """SELECT review_id, CASE WHEN bank = 'src1' THEN '[]' ELSE CAST(to_json(list(theme ORDER BY theme)) AS VARCHAR) END AS repaired,
       CASE WHEN bank = 'src1' THEN 'nolist' ELSE string_agg(theme, ', ' ORDER BY theme) END AS no_brackets FROM themed GROUP BY review_id, bank""",
 )
 def repaired_list_text(spark, folder):
@@ -143,7 +143,7 @@ def term_ctes(source: str, row_id: str, text: str, max_terms: int = 1000) -> str
     dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
     raws AS (SELECT t.id, t.term, t.tf, d.df, t.tf * (ln(CAST(1 + (SELECT count(*) FROM texts) AS DOUBLE) / (1 + d.df)) + 1) AS w FROM tfs t JOIN dfs d ON d.term = t.term),
     weights AS (SELECT id, term, tf, df, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS weight FROM raws),
-    tops AS (SELECT id, term, weight, row_number() OVER (PARTITION BY id ORDER BY round(weight, 12) DESC, term) AS rank FROM weights)"""
+    tops AS (SELECT id, term, weight, CAST(row_number() OVER (PARTITION BY id ORDER BY round(weight, 12) DESC, term) AS INT) AS rank FROM weights)"""
 
 
 TERMS = f"{CLEANED}, {term_ctes('cleaned', 'review_id', 'review')} "

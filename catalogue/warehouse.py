@@ -58,7 +58,7 @@ def _facts(spark, folder):
 
 
 FACT_ID = "sha256('=' || bank || chr(31) || '=' || review || chr(31) || coalesce('=' || date, '?') || chr(31) || coalesce('=' || rating, '?'))"
-FACTS = f"""{LABELLED}, themes AS (SELECT review_id, to_json(list(theme ORDER BY theme)) AS themes FROM themed GROUP BY review_id),
+FACTS = f"""{LABELLED}, themes AS (SELECT review_id, CAST(to_json(list(theme ORDER BY theme)) AS VARCHAR) AS themes FROM themed GROUP BY review_id),
   facts AS (SELECT {FACT_ID} AS id, l.*, t.themes FROM labelled l JOIN themes t ON t.review_id = l.review_id), {NUMBERED} """
 
 

@@ -17,6 +17,9 @@ SETTINGS = {
 }
 
 
+_local_folders: dict[str, str] = {}
+
+
 def build_session(app_name: str = "revlens", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the library's settings. On a cluster leave `master` unset."""
     builder = SparkSession.builder.appName(app_name)
@@ -35,11 +38,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
+    if _local_folders.get(spark.sparkContext.applicationId):
+        return _local_folders[spark.sparkContext.applicationId]
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="revlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    _local_folders[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="revlens-")
+    return _local_folders[spark.sparkContext.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
