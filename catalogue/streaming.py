@@ -22,9 +22,9 @@ def _documents(spark, folder):
 
 
 def _events(spark, folder):
-    # Watermarks need a time-zoned type.
-    events = jobs.read_landing(spark, folder, schemas.EVENTS, "events.parquet")
-    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+    # Watermarks need a time-zoned type; the table's times are UTC.
+    events = jobs.read_landing(spark, folder, schemas.EVENTS, "events.parquet").withColumn("day", F.to_date("ts").cast("string"))
+    return events.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
 
 
 def _finish(spark, start, name):
@@ -54,8 +54,7 @@ def stream_ingest(spark, folder):
 
 @query("stream_first_arrivals", "SELECT DISTINCT user_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events")
 def stream_first_arrivals(spark, folder):
-    events = _events(spark, folder).withColumn("day", F.to_date("ts").cast("string"))
-    first = jobs.first_arrivals(events, ["user_id", "event_type", "day"], "ts").select("user_id", "event_type", "day")
+    first = jobs.first_arrivals(_events(spark, folder), ["user_id", "event_type", "day"], "ts").select("user_id", "event_type", "day")
     return _finish(spark, lambda path, checkpoint: jobs.append_stream(first, path, checkpoint), "first")
 
 

@@ -43,10 +43,11 @@ def first_arrivals(stream: DataFrame, keys: Sequence[str], event_time: str, dela
 
 
 def weekly_counts(stream: DataFrame, event_time: str, label: str, delay: str = "7 days") -> DataFrame:
-    """Rows per week, Monday to Sunday, and label; the week is named by its Sunday."""
+    """Rows per week, Monday to Sunday in UTC, and label; the week is named by its Sunday."""
     week = F.window(F.col(event_time), "7 days", startTime="4 days")
     counts = stream.withWatermark(event_time, delay).groupBy(week.alias("_week"), label).agg(F.count("*").alias("count"))
-    return counts.select(F.date_sub(F.to_date("_week.end"), 1).alias("week_ending"), label, "count")
+    end = F.to_utc_timestamp("_week.end", F.current_timezone())
+    return counts.select(F.date_sub(F.to_date(end), 1).alias("week_ending"), label, "count")
 
 
 def weekly_sentiment(stream: DataFrame, event_time: str = "review_ts", delay: str = "7 days") -> DataFrame:

@@ -30,6 +30,15 @@ def test_query_equals_sql(spark, duck, name):
     assert compare(rows, df.columns, result.fetchall(), columns) is None
 
 
+@pytest.mark.parametrize("name", ["stream_weekly_counts", "stream_first_arrivals", "text_to_timestamp", "weekly_sentiment"])
+def test_time_zone_of_the_session_does_not_matter(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        test_query_equals_sql(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_every_sql_has_its_query():
     assert set(ORACLES) <= set(QUERIES)
 
