@@ -18,8 +18,8 @@ def top_per_group(
 ) -> DataFrame:
     """The first `k` rows of each group under a total order.
 
-    `row_number() <= k` lets every task drop all but `k` rows of a group before the shuffle. What
-    then meets in one task is `k` rows per group and input partition. With `spread`, for rows that
+    `row_number() <= k` lets every task drop all but `k` rows of a group before the shuffle, for `k`
+    up to `spark.sql.optimizer.windowGroupLimitThreshold` (1,000 unless set). What then meets in one task is `k` rows per group and input partition. With `spread`, for rows that
     were not aggregated before, the input partitions are first ranked in `slices` apart, so that the
     last task sees at most `slices * k` rows of a group. The result does not depend on the slices.
     """
