@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from revlens.llm.bloom import bit_set, may_hold
+from revlens.llm.bloom import bit_set, held, may_hold
 from revlens.llm.common import components, pieces, staged, texts
 from revlens.llm.kernel import Texts, mixed, windows
 
@@ -263,8 +263,9 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
     return members.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long").distinct()
 
 
-def jaccard_components(docs: DataFrame, text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, of every document.
+def jaccard_classes(docs: DataFrame, text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles, set_id, component (the smallest set_id reachable by links) and component_id (the smallest
+    doc_id reachable) of every document. set_id and component are null for an empty set.
 
     Two documents link when 100 * common shingles >= threshold * shingles of either.
     """
@@ -297,6 +298,39 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = WIDTH,
     more = staged(verified(_across(spread, threshold), sets, threshold), "more_links")
     every = components(links.union(more))
     classes = nodes.join(every.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "least", F.coalesce("component", "set_id").alias("component"))
-    named = classes.join(classes.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("set_id", "component_id")
-    empty = rows.where("set_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return known.join(named, "set_id").select("doc_id", "n_shingles", "component_id").union(empty)
+    named = classes.join(classes.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("set_id", "component", "component_id")
+    nothing = F.lit(None).cast("long")
+    empty = rows.where("set_id IS NULL").select("doc_id", "n_shingles", "set_id", nothing.alias("component"), F.col("doc_id").alias("component_id"))
+    return known.join(named, "set_id").select("doc_id", "n_shingles", "set_id", "component", "component_id").union(empty)
+
+
+def jaccard_components(docs: DataFrame, text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, of every document."""
+    return jaccard_classes(docs, text, width, threshold).select("doc_id", "n_shingles", "component_id")
+
+
+def one_per_class(docs: DataFrame, text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """The documents, one of each class: the row of the smallest doc_id (null last), of one set and once if repeated.
+
+    Documents without words are no copies of each other and stay. Rows whose id is surely not among the ids with a row
+    to drop pass without a shuffle; the others are told apart by id and set.
+    """
+    classes = staged(jaccard_classes(docs, text, width, threshold), "classes").where("component IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "set_id")).alias("first")
+    firsts = classes.groupBy("component").agg(first, F.count("*").alias("n"))
+    kept = firsts.select(F.col("first.doc_id").alias("_id"), F.col("first.set_id").alias("_set"))
+    touched = classes.join(firsts.where("n > 1").select("component"), "component", "left_semi").select(F.xxhash64("doc_id").alias("mark")).distinct()
+    marks = bit_set(touched, "mark")
+    flagged = docs.withColumn("_held", held(F.xxhash64("doc_id"), marks))
+    plain = flagged.where(~F.col("_held")).drop("_held")
+    inner = docs.where(held(F.xxhash64("doc_id"), marks)).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(text).alias("body"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [fingerprint(e) if len(e) else None for e in _sets(texts(batch.column(1)), width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.int64())], names=["doc", "set_id"])
+
+    told = staged(inner.mapInArrow(run, f"doc {inner.schema['doc'].dataType.simpleString()}, set_id long"), "told_apart")
+    same = (told["set_id"] == kept["_set"]) & told["doc"].getField("doc_id").eqNullSafe(kept["_id"])
+    chosen = told.join(kept, same, "left_semi").withColumn("_id", F.col("doc").getField("doc_id")).dropDuplicates(["_id", "set_id"]).select("doc.*")
+    return plain.union(chosen).union(told.where("set_id IS NULL").select("doc.*"))

@@ -180,3 +180,10 @@ def quality(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> Data
     """Judge every document: its columns but the text, the counts, base_failed, posterior, kept."""
     features = staged(text_features(docs, text), "quality")
     return judged(features, fit_votes(features), threshold)
+
+
+def kept_documents(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The documents that are kept, all columns. The model is fitted on all of them; verdicts are then made row by row."""
+    model = fit_votes(text_features(docs.select(text), text))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(text).alias("_text"))
+    return judged(text_features(whole, "_text"), model, threshold).where("kept").select("doc.*")

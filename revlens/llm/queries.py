@@ -10,15 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import revlens.llm
-from revlens.llm import hilbert_shards, mixing, packing, parity_join, quality
+from revlens.llm import hilbert_shards, license_scan, mixing, packing, parity_join, quality, surrogates, token_trees, url_rules, vantage
 from revlens.llm.common import table
 
 # workers of a session that was started elsewhere may not find the package; its functions travel with the job
 cloudpickle.register_pickle_by_value(revlens.llm)
 
+SURROGATE_KEY = b"registered query"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_scan.license_scan(table(spark, folder, "documents"))
+    return found.drop("matches")
+
+
+def op2_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
+def op3_edit_aware_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("edits", token_trees.cleaning_edits("text"))
+    counted = token_trees.edited(token_trees.trees(docs, TOKENIZER, keep=("edits",)), TOKENIZER)
+    return counted.select("doc_id", "tokens_before", "n_tokens", F.length("text").cast("long").alias("n_chars"), "reencoded", "refused", F.size("lengths").alias("n_segments"))
+
+
+def op4_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return vantage.nearest(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
 def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return parity_join.jaccard_components(table(spark, folder, "documents"))
 
@@ -27,6 +48,10 @@ def op6_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert_shards.hilbert_shards(table(spark, folder, "documents"), 16)
 
 
+def op7_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.replace_pii(table(spark, folder, "documents"), SURROGATE_KEY, count="n_entities").select("doc_id", "text", "n_entities")
+
+
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), TOKENIZER)
 
@@ -40,6 +65,18 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_ngram_jaccard, op6_hilbert_shards, op8_best_fit_packing, op9_quality_rules, op10_source_mix)
+    f.__name__: f
+    for f in (
+        op1_license_scan,
+        op2_url_rules,
+        op3_edit_aware_counts,
+        op4_vantage_trees,
+        op5_ngram_jaccard,
+        op6_hilbert_shards,
+        op7_pii_surrogates,
+        op8_best_fit_packing,
+        op9_quality_rules,
+        op10_source_mix,
+    )
 }
 ORACLES: dict[str, str] = {}

@@ -83,3 +83,54 @@ def targets(sizes, weights=(3, 1, 2), share=1.5, repeats=2):
 
 def crc32(text):
     return zlib.crc32((text or "").encode())
+
+
+def license_base(text):
+    found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(UPPER))
+    hits = []
+    for phrase, label in (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")):
+        wanted = phrase.split()
+        hits += [(i, label) for i in range(len(found) - len(wanted) + 1) if found[i : i + len(wanted)] == wanted]
+    places = [i for i, _ in hits]
+    return len(found), len(hits), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in hits}))
+
+
+def license_labels(text, templates, threshold):
+    """Labels and best containment over all pairs of a line and a template."""
+    split = lambda t: set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(UPPER)))
+    out = [(label, len(split(t) & split(line)) / len(split(t))) for line in (text or "").split("\n") for label, t in templates]
+    out = [(label, share) for label, share in out if share >= threshold]
+    return {label for label, _ in out}, max((share for _, share in out), default=0.0)
+
+
+def host_path(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    return host.translate(UPPER), path
+
+
+def url_rule(host, path, rules):
+    fits = [r for r, _ in rules if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/") :])]
+    return max(fits, key=len, default=None)
+
+
+def nearest(rows, queries, k):
+    """[(query_id, rank, vec_id, score)] by comparing every query with every row."""
+    import math
+
+    import numpy as np
+
+    good = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    out = []
+    for q in queries:
+        for own in {i: v for i, v in good if i == q}.values():
+            scores = {}
+            for i, v in good:
+                if i != q and len(v) == len(own):
+                    scores[i] = max(scores.get(i, -2), float(v @ own / math.sqrt(v @ v) / math.sqrt(own @ own)))
+            ranked = sorted(scores.items(), key=lambda x: (-round(x[1], 12), x[0]))[:k]
+            out += [(q, n, i, s) for n, (i, s) in enumerate(ranked, 1)]
+    return out

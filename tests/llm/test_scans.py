@@ -1,0 +1,210 @@
+"""License scan, URL rules, token trees, vantage-point trees and surrogates against brute force."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from revlens.llm import license_scan, queries, surrogates, token_trees, url_rules, vantage
+from tests.llm import brute
+from tests.llm.test_operators import FOLDER, ODD, case, documents, empty, odd, same  # noqa: F401
+
+NOTICES = [
+    (1, "Released UNDER the\nMIT license. Under the MIT License under the mit license", "en", "a"),
+    (2, "text\nLicensed under the Apache License, Version 2.0 (the License)\ncc by nc", "en", "a"),
+    (3, license_scan.TEMPLATES[1][1].replace("sublicense", "sell") + " extra words", "en", "a"),
+    (4, license_scan.TEMPLATES[1][1].replace("copies", "x").replace("rights", "y").replace("person", "z").replace("merge", "v").replace("deal", "w"), "en", "a"),
+    (5, "This work is licensed under the GNU General Public License\nversion 3", "en", "a"),
+]
+
+
+@pytest.mark.parametrize("more", [[], NOTICES])
+def test_license_scan(spark, case, more):  # noqa: F811
+    df, rows = case
+    if more:
+        df, rows = spark.createDataFrame(more, "doc_id long, text string, lang string, source string"), more
+    found = license_scan.license_scan(df).collect()
+    same([(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in found], [(r[0], *brute.license_base(r[1])) for r in rows])
+    expected = []
+    for d, t, *_ in rows:
+        labels, score = brute.license_labels(t, license_scan.TEMPLATES, license_scan.THRESHOLD)
+        base = set(filter(None, brute.license_base(t)[-1].split(",")))
+        expected.append((d, ",".join(sorted(labels | base)), score))
+    same([(r.doc_id, r.labels, r.score) for r in found], expected)
+
+
+def test_containment_at_many_thresholds(spark):
+    rng = np.random.default_rng(5)
+    templates = tuple((f"t{i}", " ".join(f"w{x}" for x in rng.choice(60, rng.integers(1, 25), replace=False))) for i in range(12))
+    rows = [(i, "\n".join(" ".join(f"w{x}" for x in rng.choice(70, rng.integers(0, 60))) for _ in range(4))) for i in range(60)]
+    for threshold in (0.3, 0.5, 0.8, 1.0):
+        found = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), templates=templates, phrases=(), threshold=threshold).collect()
+        for r, (_, text) in zip(sorted(found, key=lambda r: r.doc_id), rows, strict=True):
+            labels, score = brute.license_labels(text, templates, threshold)
+            assert (set(filter(None, r.labels.split(","))), r.score) == (labels, score)
+
+
+URLS = [None, "", "no scheme", "http://", "https://A.Example.NET/en/x?q#f", "ftp://x.net", "http://x.net/a://b", "http://org/fr/", "http://a.org/fr/1", "http://a.org/fr", "http://borg/fr/x", "HTTP://WWW.EXAMPLE.COM/de/\n/z", "http://example.com?x=/de/", "http://m.casino-win.example.com/en/1"]
+
+
+def test_url_rules(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").select("page_id", "url")
+    odd_pages = spark.createDataFrame([(i % 9, u) for i, u in enumerate(URLS * 2)], "page_id long, url string").withColumn("verdict", F.lit("clash")).withColumn("tokens", F.lit("clash"))
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    for df in (pages, odd_pages):
+        rows = df.select("page_id", "url").collect()
+        found = url_rules.judge(df, labels).collect()
+        expected = []
+        for p, u in rows:
+            host, path = brute.host_path(u)
+            expected.append((p, host, path, brute.url_rule(host, path, url_rules.RULES)))
+        same([(r.page_id, r.host, r.path, r.rule) for r in found], expected)
+        verdicts = dict(url_rules.RULES)
+        assert all(r.verdict == (verdicts[r.rule] if r.rule else "block" if r.mined else "allow") for r in found)
+
+
+def test_mined_rules_block_what_brute_force_finds(spark):
+    rng = np.random.default_rng(2)
+    words = ["casino", "win", "news", "shop", "blog", "mail"]
+    urls = sorted({f"http://{'.'.join(rng.choice(words, rng.integers(1, 4), replace=False))}.com/{rng.choice(['en', 'de'])}/{i}" for i in range(300)})
+    bad = lambda u: ("casino" in u and "win" in u) or ("shop" in u and "/de/" in u)
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, 1, int(bad(u))) for i, u in enumerate(urls[:250])], "doc_id long, quality int, toxic int")
+    examples = url_rules.labelled(pages, labels, seeds=("none",))
+    rules = url_rules.mine(examples, 0.03, 0.95).collect()
+    data = [(set(r.tokens), r.bad) for r in examples.collect()]
+    for r in rules:
+        having = [b for t, b in data if set(r.antecedent) <= t]
+        assert abs(sum(having) / len(having) - r.confidence) < 1e-9 and sum(having) >= 0.03 * len(data) and r.key in r.antecedent
+        assert not any(set(o.antecedent) < set(r.antecedent) and o.confidence >= r.confidence for o in rules)
+    verdicts = {r.page_id: r.verdict for r in url_rules.judge(pages, labels, rules=(("none/", "block"),), support=0.03, confidence=0.95, seeds=("none",)).collect()}
+    tokens = {i: set(t) for i, t in pages.select("page_id", url_rules.tokens(url_rules.host(F.col("url")), url_rules.path(F.col("url")))).collect()}
+    for i, u in enumerate(urls):
+        assert verdicts[i] == ("block" if any(set(r.antecedent) <= tokens[i] for r in rules) else "allow")
+        assert verdicts[i] == ("block" if bad(u) else "allow")
+
+
+def test_token_trees(spark, case):  # noqa: F811
+    df, rows = case
+    plain = Tokenizer.from_file(queries.TOKENIZER)
+    df = df.withColumn("edits", token_trees.cleaning_edits("text"))
+    found = token_trees.edited(token_trees.trees(df, queries.TOKENIZER, keep=("edits",)), queries.TOKENIZER).collect()
+    count = lambda t: len(plain.encode(t, add_special_tokens=False).ids)
+    assert Counter((r.doc_id, r.tokens_before) for r in found) == Counter((d, count(t or "")) for d, t, *_ in rows)
+    for r in found:
+        assert r.n_tokens == r.tree[1] == count(r.text) and sum(r.lengths) == len(r.text)
+        if (r.text, r.refused) == (r.text, 0) and r.reencoded == 0:
+            assert r.n_tokens == r.tokens_before
+
+
+def test_any_edit_gives_the_count_of_the_whole_text():
+    plain, rng = Tokenizer.from_file(queries.TOKENIZER), np.random.default_rng(4)
+    count = lambda parts: [len(plain.encode(p, add_special_tokens=False).ids) for p in parts]
+    alphabet = list("aab  ..'sltre\n\té日1 ") + [" the", " of", "'ll", "  "]
+    for _ in range(150):
+        text = "".join(rng.choice(alphabet, rng.integers(0, 900)))
+        lengths = [len(s) for s in token_trees.segments(text, 16)]
+        cut = np.cumsum([0, *lengths])
+        tree = token_trees.sums(count([text[a:b] for a, b in zip(cut, cut[1:], strict=False)]))
+        for _ in range(4):
+            at = sorted(rng.integers(0, len(text) + 1, 6).tolist())
+            edits = [(at[i], at[i + 1], "".join(rng.choice(alphabet, rng.integers(0, 9)))) for i in (0, 2, 4)]
+            expected = text
+            for start, stop, new in reversed(edits):
+                expected = expected[:start] + new + expected[stop:]
+            text, lengths, tree, encoded, refused = token_trees.change(text, lengths, tree, edits, count)
+            assert text == expected and tree[1] == count([text])[0] and sum(lengths) == len(text) and refused == 0
+
+
+def test_an_edit_encodes_little():
+    plain = Tokenizer.from_file(queries.TOKENIZER)
+    count = lambda parts: [len(plain.encode(p, add_special_tokens=False).ids) for p in parts]
+    text = "some plain words of a long text " * 5000
+    lengths = [len(s) for s in token_trees.segments(text)]
+    cut = np.cumsum([0, *lengths])
+    tree = token_trees.sums(count([text[a:b] for a, b in zip(cut, cut[1:], strict=False)]))
+    *_, encoded, refused = token_trees.change(text, lengths, tree, [(80_000, 80_010, "new"), (-1, 4, "x"), (9, 3, "y"), (None, 3, "z")], count)
+    assert encoded < 1000 and refused == 3
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit("clash")).withColumn("shard", F.lit("clash"))
+
+
+def test_factor_one_is_exact(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=12).astype(np.float32).tolist()) for i in range(900)]
+    rows += [(1000 + i, rows[i % 3][1]) for i in range(40)]  # many copies: ties go to the smaller id
+    rows += [(2000, None), (2001, []), (2002, [0.0] * 12), (2003, [None] * 12), (2004, [float("nan")] * 12), (2050, [float("inf")] * 12), (None, rows[0][1]), (3, rows[3][1]), (2100, [1.0, 2.0])]
+    df = vectors(spark, rows)
+    asked = [i for i, _ in rows if i is not None and i % 50 == 0]
+    found = vantage.nearest(df, df.where("vec_id % 50 = 0"), 5, factor=1.0, shard=128).collect()
+    expected = brute.nearest(rows, sorted(set(asked)), 5)
+    assert [(r.query_id, r["rank"], r.vec_id) for r in sorted(found, key=lambda r: r[:2])] == [e[:3] for e in expected]
+    assert all(abs(r.score - e[3]) < 1e-12 for r, e in zip(sorted(found, key=lambda r: r[:2]), expected, strict=True))
+
+
+def test_recall_of_the_registered_query(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    found = Counter((r.query_id, r.vec_id) for r in queries.op4_vantage_trees(spark, folder).collect())
+    expected = brute.nearest(rows, [i for i, _ in rows if i % 50 == 0], 5)
+    assert sum((q, v) in found for q, _, v, _ in expected) >= 0.95 * len(expected) and max(found.values()) == 1
+
+
+def test_no_vectors(spark):
+    assert vantage.nearest(vectors(spark, []), vectors(spark, []), 5).count() == 0
+
+
+PRIVATE = [
+    (1, "Mail anna.k@mail7.example.com, call +1 (208) 555-3235 or 208-555-3235; card 4984763833005551, IP 89.89.56.213.", "en", "a"),
+    (2, "ANNA.K@MAIL7.EXAMPLE.COM again, and bob@x.org. Mrs. Maria Keller met Mr Paul Keller; госпожа", "en", "a"),
+    (3, "password=e3b3ed3cc8548923d6 token = \"0641917ea4e9feb9cda83477b57ac2654884f485\" iban MD62HKU6VBLCCCCE 512582697", "en", "a"),
+    (4, "No data here: 12 of 345, version 1.2.3, 2020-01-02, Mr.", "en", "a"),
+    (5, None, "en", "a"),
+    (6, "+1 208 555 3235 and 1 (208) 555-3235", "en", "b"),
+]
+
+
+def test_surrogates(spark):
+    df = spark.createDataFrame([*PRIVATE, *ODD], "doc_id long, text string, lang string, source string").withColumn("spans", F.lit("clash")).withColumn("doc", F.lit("clash"))
+    found = surrogates.replace_pii(df, b"key", count="n").collect()
+    again = surrogates.replace_pii(df, b"key", count="n").collect()
+    other = surrogates.replace_pii(df, b"other", count="n").collect()
+    assert sorted(map(str, found)) == sorted(map(str, again)) != sorted(map(str, other))
+    assert Counter(r.doc_id for r in found) == Counter(r[0] for r in [*PRIVATE, *ODD]) and set(found[0].asDict()) == {"doc_id", "text", "lang", "source", "spans", "doc", "n"}
+    texts = {r.doc_id: r.text for r in found if r.doc_id in range(1, 7) and r.spans == "clash" and r.n or r.doc_id in (4, 5)}
+    plain = {d: t for d, t, *_ in PRIVATE}
+    assert sorted(str(r.text) for r in found if not r.n) == sorted(str(t) for d, t, *_ in [*PRIVATE, *ODD] if not surrogates.find(t))
+    for value in ("anna.k@mail7", "555-3235", "4984763833005551", "89.89.56.213", "bob@x.org", "Maria", "e3b3ed3cc8548923d6", "0641917ea4e9", "HKU6VBLCCCCE", "512582697"):
+        assert not any(r.text and value.lower() in r.text.lower() for r in found)
+    assert re.fullmatch(r"Mail \S+@\S+\.com, call \+\d \(\d{3}\) \d{3}-\d{4} or \d{3}-\d{3}-\d{4}; card \d{16}, IP (\d+\.){3}\d+\.", texts[1])
+    email = re.search(r"\S+@\S+\.com", texts[1])[0]
+    assert texts[2].startswith(email.upper() + " again")
+    names = re.search(r"Mrs\. (\w+) (\w+) met Mr (\w+) (\w+)", texts[2])
+    assert names[1] in surrogates.FEMALE and names[3] in surrogates.MALE
+    assert re.sub(r"\D", "", re.search(r"\+\d \(\d+\) [\d-]+", texts[1])[0]) == re.sub(r"\D", "", texts[6].split(" and ")[0])
+    assert plain[4] == texts.get(4, plain[4])
+
+
+def test_surrogates_stay_distinct_in_a_narrow_format(spark):
+    entities = spark.createDataFrame([("name", f"{a}{b}") for a in "abcdefgh" for b in "abcdefgh"] + [("ip", f"10.0.0.{i}") for i in range(250)], "kind string, value string")
+    found = surrogates.mapping(entities.union(entities), b"k").collect()
+    assert len(found) == 314 == len({(r.kind, r.surrogate) for r in found}) == len({(r.kind, r.value) for r in found})
+    assert not {(r.kind, r.surrogate) for r in found} & {(r.kind, r.value) for r in found}
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        license_scan.license_scan,
+        lambda df: surrogates.replace_pii(df, b"k"),
+        lambda df: token_trees.edited(token_trees.trees(df.withColumn("edits", token_trees.cleaning_edits("text")), queries.TOKENIZER, keep=("edits",)), queries.TOKENIZER),
+        lambda df: url_rules.judge(df.selectExpr("doc_id AS page_id", "text AS url"), df.selectExpr("doc_id", "1 AS quality", "0 AS toxic")),
+    ],
+)
+def test_empty_tables_give_empty_results(spark, operator):
+    assert operator(empty(spark)).count() == 0
