@@ -64,8 +64,12 @@ def drop_empty_columns(spark, folder):
     return ops.drop_empty_columns(rows.withColumns({"toxic": empty, "reply": F.when(F.col("lang") == "", F.col("lang"))}))
 
 
-DATED = """typed AS (SELECT event_id, CASE event_type WHEN 'error' THEN 'N/A' WHEN 'signup' THEN ' NaT ' WHEN 'view' THEN 'soon'
-      WHEN 'click' THEN '  ' || CAST(ts AS VARCHAR) || ' ' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+03:00' END AS posted_time,
+# Zones that follow a time, and their hours east of UTC; the last is unknown.
+ZONES = (("+03:00", 3), ("+0300", 3), ("Z", 0), ("+03", 3), (" UTC+3", 3), (" Asia/Tokyo", 9), (" Nowhere/Land", None))
+_ZONE_TEXTS = ", ".join(f"'{text}'" for text, _ in ZONES)
+_ZONE_HOURS = ", ".join("NULL" if hours is None else str(hours) for _, hours in ZONES)
+DATED = f"""typed AS (SELECT event_id, CASE event_type WHEN 'error' THEN 'N/A' WHEN 'signup' THEN ' NaT ' WHEN 'view' THEN 'soon'
+      WHEN 'click' THEN '  ' || CAST(ts AS VARCHAR) || ' ' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') || [{_ZONE_TEXTS}][event_id % 7 + 1] END AS posted_time,
     CAST(CAST(ts AS DATE) AS VARCHAR) AS "date" FROM events)"""
 
 
@@ -77,7 +81,7 @@ def _dated(spark, folder):
         .when(F.col("event_type") == "signup", " NaT ")
         .when(F.col("event_type") == "view", "soon")
         .when(F.col("event_type") == "click", F.concat(F.lit("  "), ts.cast("string"), F.lit(" ")))
-        .otherwise(F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+03:00")))
+        .otherwise(F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.element_at(F.array(*[F.lit(text) for text, _ in ZONES]), (F.col("event_id") % len(ZONES) + 1).cast("int"))))
     )
     return events.select("event_id", posted.alias("posted_time"), F.to_date(ts).cast("string").alias("date"))
 
@@ -86,7 +90,7 @@ def _dated(spark, folder):
     "text_to_timestamp",
     f"""WITH {DATED} SELECT t.event_id,
       CASE event_type WHEN 'click' THEN CAST(ts AS VARCHAR)
-        WHEN 'purchase' THEN CAST(date_trunc('second', ts) - INTERVAL 3 HOUR AS VARCHAR) END AS posted_time,
+        WHEN 'purchase' THEN CAST(date_trunc('second', ts) - to_hours([{_ZONE_HOURS}][t.event_id % 7 + 1]) AS VARCHAR) END AS posted_time,
       "date" || ' 00:00:00' AS "date"
     FROM typed t JOIN events e ON e.event_id = t.event_id""",
 )
@@ -97,8 +101,8 @@ def text_to_timestamp(spark, folder):
 
 @query(
     "timestamp_report",
-    """SELECT 'posted_time' AS column_name, count(*) AS n_before, count(*) FILTER (WHERE event_type IN ('click', 'purchase')) AS n_converted,
-      count(*) FILTER (WHERE event_type NOT IN ('click', 'purchase')) AS n_lost FROM events
+    """SELECT 'posted_time' AS column_name, count(*) AS n_before, count(*) FILTER (WHERE event_type = 'click' OR event_type = 'purchase' AND event_id % 7 <> 6) AS n_converted,
+      count(*) FILTER (WHERE event_type NOT IN ('click', 'purchase') OR event_type = 'purchase' AND event_id % 7 = 6) AS n_lost FROM events
     UNION ALL SELECT 'date', count(*), count(*), 0 FROM events""",
 )
 def timestamp_report(spark, folder):

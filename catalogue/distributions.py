@@ -49,7 +49,8 @@ def sentiment_by_bank(spark, folder):
 
 @query(
     "mean_score_by_bank_and_rating",
-    SCORED + "SELECT bank, " + ", ".join(f"round(avg(sentiment_score) FILTER (WHERE rating = {r}), 6) AS rating_{r}" for r in range(1, 6)) + " FROM scored GROUP BY bank",
+    SCORED + "SELECT bank, " + ", ".join(f"round(avg(sentiment_score) FILTER (WHERE rating = {r}), 6) AS rating_{r}" for r in range(1, 6))
+    + ", round(avg(sentiment_score) FILTER (WHERE rating NOT BETWEEN 1 AND 5), 6) AS rating_other FROM scored GROUP BY bank",
 )
 def mean_score_by_bank_and_rating(spark, folder):
     means = ops.mean_score_by_rating(scored(spark, folder))
@@ -58,9 +59,9 @@ def mean_score_by_bank_and_rating(spark, folder):
 
 @query(
     "score_histogram",
-    SCORED + """, bins AS (SELECT bank, unnest(generate_series(1, 10)) AS bin FROM (SELECT DISTINCT bank FROM scored)),
-      filled AS (SELECT bank, least(CAST(floor(sentiment_score / CAST(0.1 AS DOUBLE)) AS BIGINT) + 1, 10) AS bin, count(*) AS n FROM scored GROUP BY ALL)
-    SELECT b.bank, b.bin, round((b.bin - 1) * CAST(0.1 AS DOUBLE), 6) AS bin_start, coalesce(h.n, 0) AS count FROM bins b LEFT JOIN filled h ON h.bank = b.bank AND h.bin = b.bin""",
+    SCORED + """, bins AS (SELECT bank, unnest(generate_series(0, 11)) AS bin FROM (SELECT DISTINCT bank FROM scored)),
+      filled AS (SELECT bank, CASE WHEN sentiment_score < 0 THEN 0 WHEN sentiment_score > 1 THEN 11 ELSE least(CAST(floor(sentiment_score / CAST(0.1 AS DOUBLE)) AS BIGINT) + 1, 10) END AS bin, count(*) AS n FROM scored GROUP BY ALL)
+    SELECT b.bank, b.bin, CASE WHEN b.bin > 0 THEN round((b.bin - 1) * CAST(0.1 AS DOUBLE), 6) END AS bin_start, coalesce(h.n, 0) AS count FROM bins b LEFT JOIN filled h ON h.bank = b.bank AND h.bin = b.bin""",
 )
 def score_histogram(spark, folder):
     bars = ops.score_histogram(scored(spark, folder), "bank", "sentiment_score", 10)
@@ -139,7 +140,7 @@ def daily_mean_order_price(spark, folder):
 
 def _by_label(key: str) -> str:
     counts = ", ".join(f"count(*) FILTER (WHERE sentiment_label = '{label}') AS {label}" for label in trends.LABELS)
-    return f"{counts} FROM labelled WHERE date IS NOT NULL AND sentiment_label IS NOT NULL GROUP BY {key}"
+    return f"{counts}, count(*) FILTER (WHERE sentiment_label NOT IN {trends.LABELS}) AS other FROM labelled WHERE date IS NOT NULL AND sentiment_label IS NOT NULL GROUP BY {key}"
 
 
 @query("daily_sentiment", LABELLED + f"SELECT date AS day, {_by_label('date')}")

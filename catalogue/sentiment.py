@@ -11,8 +11,9 @@ from catalogue.text import TOKEN, _WHENS, _emoji_sql, normal_ctes, term_ctes
 from revlens.functions.vocab import NO_THEME
 from revlens.operators import language, sentiment
 from revlens.operators.lexicon import add_compound
-from revlens.plans.enrich import enrich_reviews
-from revlens.sources.files import report_export
+from revlens.plans.enrich import enrich_reviews, run_pipeline, stage
+from revlens.session import fresh_path
+from revlens.sources.files import report_export, text_as_lists, write_csv
 
 RAW = f"WITH {REVIEWS_SQL} "
 CLEANED = f"WITH {CLEANED_SQL} "
@@ -28,18 +29,18 @@ def model_ctes(source: str, text: str, rating: str) -> str:
     """CTEs ending in `model(token, weight)`, trained on the rows of `source`."""
     return rf"""rated AS (SELECT {text} AS t, CASE WHEN {rating} >= 4 THEN 1 WHEN {rating} <= 2 THEN 0 END AS pos FROM {source}),
     known AS (SELECT * FROM rated WHERE pos IS NOT NULL),
-    bag AS (SELECT pos, unnest(regexp_extract_all(lower(left(t, 512)), '{TOKEN}')) AS token FROM known),
-    counts AS (SELECT token, count(*) FILTER (WHERE pos = 1) AS p, count(*) FILTER (WHERE pos = 0) AS n FROM bag GROUP BY token ORDER BY count(*) DESC, token LIMIT 50000),
+    bag AS (SELECT pos, unnest(regexp_extract_all(lower(t), '{TOKEN}')) AS token FROM known),
+    counts AS (SELECT token, count(*) FILTER (WHERE pos = 1) AS p, count(*) FILTER (WHERE pos = 0) AS n FROM bag GROUP BY token),
     model AS (SELECT token, ln((p + 1) / CAST((SELECT sum(p) + count(*) FROM counts) AS DOUBLE)) - ln((n + 1) / CAST((SELECT sum(n) + count(*) FROM counts) AS DOUBLE)) AS weight FROM counts
       UNION ALL SELECT '', ln(CAST(count(*) FILTER (WHERE pos = 1) + 1 AS DOUBLE) / (count(*) FILTER (WHERE pos = 0) + 1)) FROM known)"""
 
 
 def score_ctes(source: str, row_id: str, text: str) -> str:
     """CTEs ending in `predicted(id, label, score)` for the rows of `source`."""
-    return rf"""words AS (SELECT {row_id} AS id, unnest(regexp_extract_all(lower(left({text}, 512)), '{TOKEN}')) AS token FROM {source}),
+    return rf"""words AS (SELECT {row_id} AS id, unnest(regexp_extract_all(lower({text}), '{TOKEN}')) AS token FROM {source}),
     odds AS (SELECT w.id, sum(m.weight) AS o FROM words w JOIN model m ON m.token = w.token GROUP BY w.id),
     prior AS (SELECT weight AS w FROM model WHERE token = ''),
-    margins AS (SELECT r.{row_id} AS id, coalesce(trim({text}), '') = '' AS blank, coalesce(o.o, 0) + p.w AS d
+    margins AS (SELECT r.{row_id} AS id, coalesce(trim({text}), '') = '' OR o.o IS NULL AS blank, o.o + p.w AS d
       FROM {source} r JOIN prior p ON true LEFT JOIN odds o ON o.id = r.{row_id}),
     predicted AS (SELECT id, CASE WHEN blank THEN 'neutral' WHEN d >= 0 THEN 'positive' ELSE 'negative' END AS label,
       CASE WHEN blank THEN 0.0 ELSE 1 / (1 + exp(-abs(d))) END AS score FROM margins)"""
@@ -57,20 +58,21 @@ def word_model(spark, folder):
 )
 def model_sentiment(spark, folder):
     rows = reviews(spark, folder)
-    model = sentiment.train_word_model(rows.withColumn("label", sentiment.label_from_rating("score")), "content", "label")
+    rows = stage(rows.select("review_id", "content", "score"), "reviews")
+    model = stage(sentiment.train_word_model(rows.withColumn("label", sentiment.label_from_rating("score")), "content", "label"), "model")
     scored = sentiment.add_sentiment(rows, "review_id", "content", model)
     return scored.select("review_id", "sentiment_label", F.round("sentiment_score", 6).alias("sentiment_score"))
 
 
 @query(
     "batch_model_sentiment",
-    RAW + """SELECT review_id, CASE WHEN coalesce(trim(content), '') = '' THEN 'neutral' WHEN contains(left(content, 512), 'e') THEN 'positive' ELSE 'negative' END AS sentiment_label,
-      CASE WHEN coalesce(trim(content), '') = '' THEN 0.0 ELSE round(least(length(content), 512) / 512.0, 6) END AS sentiment_score FROM reviews""",
+    RAW + """SELECT review_id, CASE WHEN coalesce(trim(content), '') = '' THEN 'neutral' WHEN contains(content, 'e') THEN 'positive' ELSE 'negative' END AS sentiment_label,
+      CASE WHEN coalesce(trim(content), '') = '' THEN 0.0 ELSE round(length(content) / 1000.0, 6) END AS sentiment_score FROM reviews""",
 )
 def batch_model_sentiment(spark, folder):
     def load():
         # Stands in for a model: deterministic, so that SQL can check what reaches it.
-        return lambda texts: [("POSITIVE" if "e" in t else "NEGATIVE", len(t) / 512) for t in texts]
+        return lambda texts: [("POSITIVE" if "e" in t else "NEGATIVE", len(t) / 1000) for t in texts]
 
     scored = sentiment.add_model_sentiment(reviews(spark, folder), "content", load)
     return scored.select("review_id", "sentiment_label", F.round("sentiment_score", 6).alias("sentiment_score"))
@@ -82,10 +84,10 @@ def language_ctes(train: str, lang: str, train_text: str, source: str, row_id: s
     return rf"""train_words AS (SELECT {lang} AS lang, {grams.format(t=train_text)} AS w FROM {train}),
     train_grams AS (SELECT lang, substring(' ' || w || ' ', unnest(generate_series(1, length(w))), 3) AS gram FROM train_words),
     gram_counts AS (SELECT lang, gram, count(*) AS n FROM train_grams GROUP BY ALL),
-    profiles AS (SELECT lang, gram, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS rn FROM gram_counts) WHERE rn <= 1000),
+    profiles AS (SELECT lang, gram, n FROM gram_counts),
     totals AS (SELECT lang, sum(n) AS total FROM profiles GROUP BY lang),
     every AS (SELECT g.gram, t.lang, t.total FROM (SELECT DISTINCT gram FROM profiles) g, totals t),
-    logs AS (SELECT e.gram, e.lang, ln(CAST(coalesce(p.n, 0) + 1 AS DOUBLE) / (e.total + 1000)) AS lp FROM every e LEFT JOIN profiles p ON p.lang = e.lang AND p.gram = e.gram),
+    logs AS (SELECT e.gram, e.lang, ln(CAST(coalesce(p.n, 0) + 1 AS DOUBLE) / (e.total + (SELECT count(DISTINCT gram) FROM profiles))) AS lp FROM every e LEFT JOIN profiles p ON p.lang = e.lang AND p.gram = e.gram),
     test_words AS (SELECT {row_id} AS id, {grams.format(t=text)} AS w FROM {source}),
     test_grams AS (SELECT id, substring(' ' || w || ' ', unnest(generate_series(1, length(w))), 3) AS gram FROM test_words),
     test_counts AS (SELECT id, gram, count(*) AS c FROM test_grams GROUP BY ALL),
@@ -94,7 +96,7 @@ def language_ctes(train: str, lang: str, train_text: str, source: str, row_id: s
 
 
 def _profiles(spark, folder):
-    return language.train_profiles(table(spark, folder, "documents"), "text", "lang", LANGUAGES)
+    return stage(language.train_profiles(table(spark, folder, "documents"), "text", "lang", LANGUAGES), "profiles")
 
 
 ON_DOCUMENTS = "WITH " + language_ctes("documents", "lang", "text", "documents", "doc_id", "text")
@@ -169,3 +171,23 @@ def scored_reviews(spark, folder):
 @query("report_export", CHAIN + "SELECT review_text, bank, rating, sentiment_label, sentiment_score, themes FROM chained")
 def exported_report(spark, folder):
     return report_export(_chained(spark, folder)).withColumn("themes", F.array_join("themes", "|"))
+
+
+@query(
+    "pipeline_on_files",
+    f"""WITH plain AS (SELECT doc_id, text AS review, {_emoji_sql('text')} AS with_words FROM documents), {normal_ctes('plain', 'doc_id', 'with_words')},
+    prepared AS (SELECT p.doc_id, p.review, n.cleaned_text FROM plain p JOIN normal n ON n.id = p.doc_id WHERE n.cleaned_text <> ''),
+    {compound_ctes('prepared', 'doc_id', 'cleaned_text')}, {term_ctes('prepared', 'doc_id', 'cleaned_text')},
+    k AS (SELECT id, string_agg(term, chr(10)) AS words, string_agg(term, '|' ORDER BY rank) AS keywords FROM tops WHERE rank <= 5 GROUP BY id),
+    t AS (SELECT id, keywords, list_sort(list_distinct(list_filter([{_WHENS}], lambda x: x IS NOT NULL))) AS themes FROM k)
+    SELECT p.doc_id, md5(p.cleaned_text) AS cleaned, CASE WHEN c.compound >= 0.05 THEN 'positive' WHEN c.compound <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
+      CASE WHEN abs(c.compound) >= 0.05 THEN round(0.5 + abs(c.compound) / 2, 6) ELSE 0.0 END AS sentiment_score,
+      coalesce(t.keywords, '') AS keywords, CASE WHEN t.themes IS NULL OR len(t.themes) = 0 THEN '{NO_THEME}' ELSE array_to_string(t.themes, '|') END AS themes
+    FROM prepared p JOIN compounds c ON c.id = p.doc_id LEFT JOIN t ON t.id = p.doc_id""",
+)
+def pipeline_on_files(spark, folder):
+    path = fresh_path(spark, "pipeline")
+    write_csv(table(spark, folder, "documents").select("doc_id", F.col("text").alias("review")), f"{path}/in.csv")
+    scored = text_as_lists(run_pipeline(spark, f"{path}/in.csv", f"{path}/out.csv"), ["keywords", "themes"])
+    lists = [F.array_join(c, "|").alias(c) for c in ("keywords", "themes")]
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("cleaned_text").alias("cleaned"), "sentiment_label", F.round("sentiment_score", 6).alias("sentiment_score"), *lists)

@@ -10,7 +10,7 @@ from catalogue.text import THEMED
 from revlens import schemas
 from revlens.plans.ingest import ingest_folder
 from revlens.session import fresh_path
-from revlens.sources import files, landing, warehouse
+from revlens.sources import files, landing
 
 RAW = f"WITH {REVIEWS_SQL} "
 CLEANED = f"WITH {CLEANED_SQL} "
@@ -63,8 +63,7 @@ def newest_reviews_per_bank(spark, folder):
 
 @query(
     "ingest_all_banks",
-    RAW + """, newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY bank ORDER BY review_ts DESC, review_id) AS rn FROM reviews) WHERE rn <= 1000),
-      one AS (SELECT *, row_number() OVER (PARTITION BY bank, content, CAST(review_ts AS DATE) ORDER BY review_ts DESC, review_id) AS dup FROM newest)
+    RAW + """, one AS (SELECT *, row_number() OVER (PARTITION BY bank, content, CAST(review_ts AS DATE) ORDER BY review_ts DESC, review_id) AS dup FROM reviews)
     SELECT review_id, bank, content AS review, score AS rating, strftime(review_ts, '%Y-%m-%d') AS date, 'Google Play' AS source
     FROM one WHERE dup = 1 AND content IS NOT NULL AND score IS NOT NULL""",
 )
@@ -111,11 +110,3 @@ def combined_tables(spark, folder):
 def apps_to_banks(spark, folder):
     raw = table(spark, folder, "documents").select(F.col("doc_id").alias("review_id"), F.col("source").alias("app_id"))
     return landing.with_bank_names(raw, {app: f"Bank of {app}" for app in KNOWN_BANKS})
-
-
-@query("catalog_columns", "SELECT table_name, column_name FROM information_schema.columns WHERE table_name IN ('documents', 'events', 'labels')")
-def catalog_columns(spark, folder):
-    for name in ("documents", "events", "labels"):
-        table(spark, folder, name).createOrReplaceTempView(name)
-    listed = warehouse.list_columns(spark).where(F.col("table_name").isin("documents", "events", "labels"))
-    return listed.select("table_name", "column_name")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.lexicon_sql import compound_ctes
-from catalogue.registry import query
+from catalogue.registry import query, table
 from catalogue.reviews import CLEANED_SQL, _RULES_SQL, cleaned
 from catalogue.sentiment import model_ctes, score_ctes
 from revlens import schemas
@@ -22,8 +22,15 @@ def _documents(spark, folder):
 
 
 def _events(spark, folder):
+    """The events as they land: a load for each of six stretches of time, a file to a micro-batch."""
+    landed, events = fresh_path(spark, "landed-events"), table(spark, folder, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    bounds = [first + (last - first) * i / 6 for i in range(1, 6)]
+    for low, high in zip([None, *bounds], [*bounds, None], strict=True):
+        later, earlier = F.lit(True) if low is None else F.col("ts") >= low, F.lit(True) if high is None else F.col("ts") < high
+        events.where(later & earlier).write.mode("append").parquet(landed)
     # Watermarks need a time-zoned type; the table's times are UTC.
-    events = jobs.read_landing(spark, folder, schemas.EVENTS, "events.parquet").withColumn("day", F.to_date("ts").cast("string"))
+    events = jobs.read_landing(spark, landed, schemas.EVENTS, per_batch=1).withColumn("day", F.to_date("ts").cast("string"))
     return events.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
 
 
@@ -60,11 +67,13 @@ def stream_first_arrivals(spark, folder):
 
 @query(
     "stream_weekly_counts",
-    """SELECT CAST(CAST(date_trunc('week', ts) AS DATE) + 6 AS VARCHAR) AS week_ending, event_type, count(*) AS count FROM events GROUP BY ALL""",
+    """SELECT CAST(CAST(date_trunc('week', ts) AS DATE) + 6 AS VARCHAR) AS week_ending, event_type, count(*) AS count FROM events
+    WHERE date_trunc('week', ts) + INTERVAL 14 DAY <= (SELECT max(ts) FROM events) GROUP BY ALL""",
 )
 def stream_weekly_counts(spark, folder):
+    """Weeks that are over and can get no more rows: each is written once, a week after its end."""
     counts = jobs.weekly_counts(_events(spark, folder), "ts", "event_type")
-    weeks = _finish(spark, lambda path, checkpoint: jobs.replace_table(counts, path, checkpoint), "weekly")
+    weeks = _finish(spark, lambda path, checkpoint: jobs.append_stream(counts, path, checkpoint), "weekly")
     return weeks.withColumn("week_ending", F.col("week_ending").cast("string"))
 
 

@@ -8,7 +8,7 @@ from catalogue.registry import query, table
 from catalogue.reviews import KNOWN_BANKS, LABELLED_SQL, REVIEWS_SQL, labelled, reviews
 from revlens.functions.text import squeeze
 from revlens.operators import warehouse as ops
-from revlens.operators.sizing import lookup_join
+from revlens.operators.joins import spread_join
 from revlens.session import fresh_path
 from revlens.sources.warehouse import append_facts
 
@@ -121,7 +121,7 @@ def _broken(spark, folder):
     raw = reviews(spark, folder).select(
         F.coalesce(F.md5("content"), F.col("review_id").cast("string")).alias("id"), "bank", F.col("content").alias("review_text")
     )
-    return lookup_join(raw, ids, ["bank"], "left", spread_on="id").select("id", "bank_id", "review_text")
+    return spread_join(raw, ids, ["bank"], "left", spread_on="id").select("id", "bank_id", "review_text")
 
 
 @query(

@@ -9,24 +9,26 @@ from pyspark.sql import Column, functions as F
 from revlens.functions.text import _col, strip
 from revlens.functions.vocab import MISSING_DATE_MARKERS
 
-_OFFSET = r"\s*([+-])(\d{2}):?(\d{2})$"
+# What follows a time of day: an offset, Z or the name of a zone.
+_ZONE = r"\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*([A-Za-z+-].*)$"
+_DAY = 86_400_000_000
 
 
 def parse_timestamp(c: Column | str, formats: Sequence[str] = ()) -> Column:
     """Text to a UTC wall-clock timestamp; text that cannot be read becomes NULL.
 
-    Text without an offset counts as UTC. `formats` are tried in turn after the ISO forms.
+    Text without a zone counts as UTC; a zone may be Z, an offset such as +03, +0300 or UTC+3, or a name, and one
+    that is unknown makes the text unreadable. `formats` are tried in turn after the ISO forms.
     """
     text = strip(c)
     text = F.when(~text.isin(list(MISSING_DATE_MARKERS)), text)
-    # An offset needs a time of day in front of it, else the end of a plain date would look like one.
-    timed = text.contains(":") & text.rlike(_OFFSET)
-    sign = F.when(F.regexp_extract(text, _OFFSET, 1) == "-", -1).otherwise(1)
-    hours = F.regexp_extract(text, _OFFSET, 2).try_cast("int")
-    minutes = F.regexp_extract(text, _OFFSET, 3).try_cast("int")
-    local = F.regexp_replace(text, _OFFSET, "").try_cast("timestamp_ntz")
-    shifted = local - F.make_dt_interval(F.lit(0), sign * hours, sign * minutes)
-    parsed = F.when(timed, shifted).otherwise(text.try_cast("timestamp_ntz"))
+    zoned = F.regexp_extract(text, _ZONE, 1) != ""
+    # An instant is the same in every session; its distance from the epoch is the wall clock of UTC.
+    micros = F.unix_micros(text.try_cast("timestamp"))
+    seconds = (F.pmod(micros, F.lit(_DAY)) / 1_000_000).cast("decimal(18,6)")
+    days = F.floor(micros / _DAY).cast("int")
+    instant = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), F.lit(0), seconds)
+    parsed = F.when(zoned, instant).otherwise(text.try_cast("timestamp_ntz"))
     others = [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
     return F.coalesce(parsed, *others)
 

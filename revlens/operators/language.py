@@ -1,4 +1,4 @@
-"""Language of a text from the letter groups of its words (naive Bayes over frequent trigrams)."""
+"""Language of a text from the letter groups of its words (naive Bayes over trigrams)."""
 
 from __future__ import annotations
 
@@ -8,10 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from revlens.functions.text import _col, each
-from revlens.operators.topk import top_per_group
+from revlens.operators.joins import spread_join
+from revlens.operators.sentiment import each_or_none
 from revlens.session import fresh_path
 
-PROFILE_SIZE = 1_000
 WORD = r"\p{L}+"
 
 
@@ -30,43 +30,34 @@ def _grams(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     return df.select(*keys, each(triples).alias("gram")).where("gram is not null")
 
 
-def train_profiles(df: DataFrame, text: str, lang: str, languages: Sequence[str], profile_size: int = PROFILE_SIZE) -> DataFrame:
-    """The most frequent trigrams of each language: `(lang, gram, n)`, ties in gram order."""
+def train_profiles(df: DataFrame, text: str, lang: str, languages: Sequence[str]) -> DataFrame:
+    """How often each language has each trigram: `(lang, gram, n)`."""
     known = df.where(F.col(lang).isin(list(languages))).select(F.col(lang).alias("lang"), text)
     tokens = known.select("lang", each(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))).alias("word"))
     # Words repeat far more than texts do: count them first, cut the distinct ones into trigrams.
     words = tokens.where("word is not null").groupBy("lang", "word").agg(F.count("*").alias("_n"))
     grams = _grams(words, ["lang", "_n"], "word").where(~F.col("gram").contains("  "))
-    counts = grams.groupBy("lang", "gram").agg(F.sum("_n").alias("n"))
-    return top_per_group(counts, ["lang"], [F.desc("n"), F.col("gram")], profile_size, rank=None)
+    return grams.groupBy("lang", "gram").agg(F.sum("_n").alias("n"))
 
 
-def detect_language(
-    df: DataFrame,
-    row_id: str,
-    text: str,
-    profiles: DataFrame,
-    languages: Sequence[str],
-    profile_size: int = PROFILE_SIZE,
-) -> DataFrame:
-    """`(row_id, detected_lang, lang_score)`: the language with the best mean log probability.
+def detect_language(df: DataFrame, row_id: str, text: str, profiles: DataFrame, languages: Sequence[str]) -> DataFrame:
+    """`(row_id, detected_lang, lang_score)`: the language with the best mean log probability, smoothed by the number
+    of distinct trigrams.
 
-    Texts without any profiled trigram are not in the result. The profiles hold at most
-    `profile_size` trigrams per language and are broadcast; scores are summed per text before
-    anything moves.
+    Texts without any known trigram are not in the result. Profiles that were staged or read have a known size, and
+    Spark broadcasts the model when it is small; beyond that, frequent trigrams are spread over slices.
     """
     languages = sorted(languages)
     of = [F.col("lang") == name for name in languages]
-    totals = profiles.agg(F.array(*[F.sum(F.when(is_lang, F.col("n"))) for is_lang in of])).scalar()
+    totals = profiles.agg(F.array(*[F.sum(F.when(is_lang, F.col("n"))) for is_lang in of], F.count_distinct("gram"))).scalar()
     model = profiles.groupBy("gram").agg(
         *[
-            F.log((F.coalesce(F.max(F.when(is_lang, F.col("n"))), F.lit(0)) + 1) / (F.coalesce(totals[i], F.lit(0)) + profile_size)).alias(f"_p{i}")
+            F.log((F.coalesce(F.max(F.when(is_lang, F.col("n"))), F.lit(0)) + 1) / (F.coalesce(totals[i], F.lit(0)) + totals[len(languages)])).alias(f"_p{i}")
             for i, is_lang in enumerate(of)
         ]
     )
     sums = (
-        _grams(df, [row_id], text)
-        .join(F.broadcast(model), "gram")
+        spread_join(_grams(df, [row_id], text), model, ["gram"], spread_on=row_id)
         .groupBy(row_id)
         .agg(F.count("*").alias("_n"), *[F.sum(f"_p{i}").alias(f"_p{i}") for i in range(len(languages))])
     )
@@ -82,16 +73,16 @@ def detect_language(
     return best.select(row_id, F.col("_b.lang").alias("detected_lang"), F.col("_b.score").alias("lang_score"))
 
 
-def add_language(df: DataFrame, row_id: str, text: str, profiles: DataFrame, languages: Sequence[str], **options) -> DataFrame:
+def add_language(df: DataFrame, row_id: str, text: str, profiles: DataFrame, languages: Sequence[str]) -> DataFrame:
     """Attach the detected language; NULL where none can be told."""
-    return df.join(detect_language(df, row_id, text, profiles, languages, **options), row_id, "left")
+    return df.join(detect_language(df, row_id, text, profiles, languages), row_id, "left")
 
 
 def keep_language(
-    df: DataFrame, row_id: str, text: str, profiles: DataFrame, languages: Sequence[str], wanted: str = "en", **options
+    df: DataFrame, row_id: str, text: str, profiles: DataFrame, languages: Sequence[str], wanted: str = "en"
 ) -> DataFrame:
     """Rows whose text is in the wanted language; undetectable texts are dropped."""
-    found = detect_language(df, row_id, text, profiles, languages, **options)
+    found = detect_language(df, row_id, text, profiles, languages)
     return df.join(found.where(F.col("detected_lang") == wanted).select(row_id), row_id, "left_semi")
 
 
@@ -110,9 +101,10 @@ def translate(
 ) -> DataFrame:
     """Replace foreign text by its translation; what cannot be translated stays as it is.
 
-    `memory(lang, text, translation)` holds known translations, at most one per text. With
+    `memory(lang, text, translation)` holds known translations; of several for one text the smallest counts. With
     `translate_batch`, each distinct text the memory lacks is sent once, in batches of
-    `(lang, text)`; it returns one translation, or None, per row.
+    `(lang, text)`; it returns one translation, or None, per row. A batch that fails is tried again row by row,
+    and a row that fails keeps its text.
     """
     # Rows that need no translation get a key of their own and no text: they match nothing and
     # spread over all tasks.
@@ -121,7 +113,7 @@ def translate(
     keyed = df.withColumns(
         {"_lang": F.when(foreign, F.col(lang)).otherwise(own_key), "_text": F.when(foreign, F.col(text))}
     )
-    known = memory.select(F.col("lang").alias("_lang"), F.col("text").alias("_text"), F.col("translation").alias("_t"))
+    known = memory.groupBy(F.col("lang").alias("_lang"), F.col("text").alias("_text")).agg(F.min("translation").alias("_t"))
     keys = ["_lang", "_hash", "_text"]
     if translate_batch is not None:
         wanted = keyed.where("_text is not null").select("_lang", "_text").distinct()
@@ -130,7 +122,7 @@ def translate(
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 given = batch.rename(columns={"_lang": "lang", "_text": "text"})
-                yield batch.assign(_t=list(translate_batch(given)))
+                yield batch.assign(_t=each_or_none(lambda rows: list(translate_batch(given.iloc[rows])), list(range(len(given)))))
 
         # Written once, so that neither a second reader nor a lost executor repeats the calls.
         path = fresh_path(df.sparkSession, "translations")

@@ -16,6 +16,7 @@ EXCLAMATION, MAX_EXCLAMATIONS = 0.292, 4
 QUESTION, MAX_QUESTION = 0.18, 0.96
 BEFORE_BUT, AFTER_BUT = 0.5, 1.5
 NORMALISER = 15.0
+NEUTRAL = 0.05
 
 
 def _table(values: Mapping[str, float]) -> Column:
@@ -82,3 +83,11 @@ def _valence_sum(tokens: Column, but_at: Column, lexicon, negators, boosters) ->
 
 def add_compound(df: DataFrame, text: str, out: str = "compound", **tables) -> DataFrame:
     return df.withColumn(out, compound(text, **tables))
+
+
+def lexicon_sentiment(df: DataFrame, text: str, label: str = "sentiment_label", score: str = "sentiment_score") -> DataFrame:
+    """Label and confidence from the compound score: between -0.05 and 0.05 it is ("neutral", 0.0)."""
+    scored = df.withColumn("_c", compound(text))
+    named = F.when(F.col("_c") >= NEUTRAL, "positive").when(F.col("_c") <= -NEUTRAL, "negative").otherwise("neutral")
+    sure = F.when(F.abs("_c") >= NEUTRAL, 0.5 + F.abs("_c") / 2).otherwise(0.0)
+    return scored.withColumns({label: named, score: sure}).drop("_c")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from revlens.functions.text import SPACES, normalise, strip_punctuation
 from revlens.functions.vocab import LEMMAS, STOP_WORDS
-from revlens.operators.sizing import lookup_join
+from revlens.operators.joins import spread_join
 
 
 def add_cleaned_text(
@@ -32,8 +32,8 @@ def add_cleaned_text_from_tables(
     """
     tokens = df.select(row_id, F.posexplode(F.split(strip_punctuation(F.lower(F.coalesce(F.col(text), F.lit("")))), SPACES)))
     tokens = tokens.withColumnRenamed("col", "word").where("word != ''")
-    kept = lookup_join(tokens, stop_words.select("word"), ["word"], "left_anti", spread_on=row_id)
-    based = lookup_join(kept, lemmas.select("word", "base"), ["word"], "left", spread_on=row_id)
+    kept = spread_join(tokens, stop_words.select("word"), ["word"], "left_anti", spread_on=row_id)
+    based = spread_join(kept, lemmas.select("word", "base"), ["word"], "left", spread_on=row_id)
     texts = based.groupBy(row_id).agg(
         F.array_sort(F.collect_list(F.struct("pos", F.coalesce("base", "word").alias("base")))).alias("_w")
     )

@@ -1,8 +1,8 @@
-"""Exact quantiles per group without collecting a group.
+"""Exact quantiles per group from one pass over the rows.
 
-`percentile` keeps every distinct value of a group in one task's memory. Here a bounded sketch
-first brackets each quantile, then one pass counts what lies below the bracket and ranks only the
-few values inside it.
+Rows are counted per group and value, so that equal values are one row before they move. The distinct values of a
+group are cut into slices by value; a value's rank is the count of the slices before plus the running count inside its
+slice, so that no task orders a whole group.
 """
 
 from __future__ import annotations
@@ -11,85 +11,71 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from revlens.operators.sizing import lookup_join
+from revlens.operators.joins import spread_join
 
-_ACCURACY = 10_000
+SLICES = 4096
 
 
-def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
-    """One row per group: `n`, `min_value`, `max_value` and `quantiles`, an array in `probs` order.
+def _cells(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    values = df.select(*group, F.col(value).cast("double").alias("_v")).dropna()
+    return values.groupBy(*group, "_v").agg(F.count("*").alias("_c"))
 
-    Quantiles interpolate linearly between neighbouring values. The sketch errs by at most
-    n / 10,000 ranks; brackets are four times as wide, and groups of up to 10,000 rows are ranked
-    whole. A rank outside its bracket fails the query instead of giving a wrong number. Rows with a
-    NULL group are left out.
-    """
-    values = df.select(*group, F.col(value).cast("double").alias("_v")).where("_v is not null")
-    margin = 4.0 / _ACCURACY
-    points = [bound for p in probs for bound in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    sketch = values.groupBy(*group).agg(
-        F.count("*").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", [float(p) for p in points], _ACCURACY).alias("_b"),
-    )
-    brackets = []
-    for i, p in enumerate(probs):
-        whole = F.col("_n") <= _ACCURACY
-        low = F.when(whole | F.lit(p <= margin), F.col("_min")).otherwise(F.col("_b")[2 * i])
-        high = F.when(whole | F.lit(p >= 1 - margin), F.col("_max")).otherwise(F.col("_b")[2 * i + 1])
-        brackets.append(F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), low.alias("low"), high.alias("high")))
-    bounds = sketch.select(*group, "_n", "_min", "_max", F.array(*brackets).alias("_brackets"))
-
-    cells = (
-        lookup_join(values, bounds, group, spread_on="_v")
-        .select(*group, "_v", "_n", "_min", "_max", F.explode("_brackets").alias("_q"))
-        .where(F.col("_v") <= F.col("_q.high"))
-        .groupBy(*group, "_n", "_min", "_max", "_q.i", "_q.p", F.when(F.col("_v") >= F.col("_q.low"), F.col("_v")).alias("_v"))
-        .agg(F.count("*").alias("_c"))
-    )
-    upto = Window.partitionBy(*group, "i").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = cells.withColumn("_last", F.sum("_c").over(upto) - 1).withColumn("_first", F.col("_last") - F.col("_c") + 1)
-    position = (F.col("_n") - 1) * F.col("p")
+
+def _of_cells(cells: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    stats = cells.groupBy(*group).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    place = F.when(F.col("_max") > F.col("_min"), (F.col("_v") - F.col("_min")) / (F.col("_max") - F.col("_min")) * (SLICES - 1))
+    cut = spread_join(cells, stats, group, spread_on="_v").withColumn("_s", F.coalesce(F.floor(F.nanvl(place, F.lit(0.0))), F.lit(0)))
+    totals = cut.groupBy(*group, "_s").agg(F.sum("_c").alias("_t"))
+    before = Window.partitionBy(*group).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select(*group, "_s", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_shift"))
+    upto = Window.partitionBy(*group, "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("_shift") + F.sum("_c").over(upto) - 1
+    ranked = cut.join(shifts, [*group, "_s"]).withColumn("_last", last).withColumn("_first", F.col("_last") - F.col("_c") + 1)
 
     def value_at(rank):
         return F.max(F.when((F.col("_first") <= rank) & (rank <= F.col("_last")), F.col("_v")))
 
-    ends = ranked.groupBy(*group, "_n", "_min", "_max", "i", "p").agg(
-        value_at(F.floor(position)).alias("_lo"), value_at(F.ceil(position)).alias("_hi")
-    )
-    exact = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (position - F.floor(position))
-    checked = F.when(exact.isNull(), F.raise_error(F.lit("quantile outside its bracket"))).otherwise(exact)
-    return (
-        ends.groupBy(*group)
-        .agg(
-            F.max("_n").alias("n"),
-            F.max("_min").alias("min_value"),
-            F.max("_max").alias("max_value"),
-            F.array_sort(F.collect_list(F.struct("i", checked.alias("v")))).alias("_q"),
-        )
-        .select(*group, "n", "min_value", "max_value", F.col("_q.v").alias("quantiles"))
-    )
+    ends = []
+    for i, p in enumerate(probs):
+        position = (F.col("_n") - 1) * float(p)
+        ends += [value_at(F.floor(position)).alias(f"_lo{i}"), value_at(F.ceil(position)).alias(f"_hi{i}")]
+    found = ranked.groupBy(*group, "_n", "_min", "_max").agg(*ends)
+    exact = []
+    for i, p in enumerate(probs):
+        position = (F.col("_n") - 1) * float(p)
+        exact.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (position - F.floor(position)))
+    return found.select(*group, F.col("_n").alias("n"), F.col("_min").alias("min_value"), F.col("_max").alias("max_value"), F.array(*exact).alias("quantiles"))
+
+
+def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """One row per group: `n`, `min_value`, `max_value` and `quantiles`, an array in `probs` order.
+
+    Quantiles interpolate linearly between neighbouring values. Rows with a NULL group or value are left out.
+    """
+    return _of_cells(_cells(df, group, value), group, probs)
 
 
 def box_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """Box-plot numbers per group: quartiles, whiskers inside 1.5 box lengths, outlier count."""
-    quartiles = group_quantiles(df, group, value, (0.25, 0.5, 0.75)).select(
+    """Box-plot numbers per group: quartiles, whiskers inside 1.5 box lengths, outlier count.
+
+    Quartiles, whiskers and outliers read the same counts, which Spark computes once.
+    """
+    cells = _cells(df, group, value)
+    quartiles = _of_cells(cells, group, (0.25, 0.5, 0.75)).select(
         *group,
         "n",
         F.col("quantiles")[0].alias("q1"),
         F.col("quantiles")[1].alias("median"),
         F.col("quantiles")[2].alias("q3"),
     )
-    values = df.select(*group, F.col(value).cast("double").alias("_v")).where("_v is not null")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("_v") >= F.col("q1") - reach) & (F.col("_v") <= F.col("q3") + reach)
     return (
-        lookup_join(values, quartiles, group, spread_on="_v")
+        spread_join(cells, quartiles, group, spread_on="_v")
         .groupBy(*group, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
-            F.count(F.when(~inside, 1)).alias("n_outliers"),
+            F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).alias("n_outliers"),
         )
     )

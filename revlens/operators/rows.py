@@ -35,18 +35,30 @@ def scored_only(df: DataFrame, columns: Sequence[str] = ("sentiment_label", "the
     return df
 
 
+def _number(df: DataFrame, column: str) -> Column:
+    """A time, date or number as something that can be negated, the same in every session zone."""
+    kind, value = dict(df.dtypes)[column], F.col(column)
+    if kind == "timestamp":
+        return F.unix_micros(value)
+    if kind == "timestamp_ntz":
+        seconds = F.unix_date(F.to_date(value)).cast("long") * 86_400 + F.hour(value) * 3_600 + F.minute(value) * 60
+        return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), value) * 1_000_000).cast("long")
+    return F.unix_date(value) if kind == "date" else value
+
+
 def newest_per_key(df: DataFrame, keys: Sequence[str], newest: str, row_id: str) -> DataFrame:
-    """One row per key: the newest, ties to the smallest id.
+    """One row per key: the newest, ties to the smallest id, whatever the id's type.
 
     Written as an aggregation so that copies collapse before the shuffle: a key holding a third of
     the table reaches its reducer as one row per map task. The leading hash keeps the sort on long
     text keys cheap.
     """
     others = [name for name in df.columns if name not in keys]
-    rank = F.struct(F.col(newest), -F.col(row_id))
+    # Of equal keys the first in this order is the newest with the smallest id; NULL times come last.
+    rank = F.struct(F.col(newest).isNull().alias("_none"), (-_number(df, newest)).alias("_when"), F.col(row_id))
     return (
         df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
-        .agg(F.max_by(F.struct(*others), rank).alias("_row"))
+        .agg(F.min_by(F.struct(*others), rank).alias("_row"))
         .select(*[F.col(name) if name in keys else F.col(f"_row.{name}").alias(name) for name in df.columns])
     )
 

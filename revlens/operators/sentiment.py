@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from revlens.functions.text import each, head_chars, is_blank, words
+from revlens.operators.joins import spread_join
 
-MAX_CHARS = 512
-MAX_FEATURES = 50_000
 SENTIMENT = T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
@@ -21,21 +20,19 @@ def label_from_rating(rating: Column | str) -> Column:
     return F.when(rating >= 4, "positive").when(rating <= 2, "negative")
 
 
-def train_word_model(df: DataFrame, text: str, label: str, max_features: int = MAX_FEATURES) -> DataFrame:
+def train_word_model(df: DataFrame, text: str, label: str) -> DataFrame:
     """Multinomial naive Bayes as a table `(token, weight)`; the empty token holds the prior.
 
     A weight is the log odds of the word under "positive" against "negative", with add-one
-    smoothing over the `max_features` most frequent words.
+    smoothing over all words of the labelled texts.
     """
     positive, negative = F.col(label) == "positive", F.col(label) == "negative"
     labelled = df.where(positive | negative)
-    tokens = labelled.where(~is_blank(text)).select(label, each(words(head_chars(text, MAX_CHARS))).alias("token"))
+    tokens = labelled.where(~is_blank(text)).select(label, each(words(text)).alias("token"))
     counts = (
         tokens.where("token is not null")
         .groupBy("token")
         .agg(F.count(F.when(positive, 1)).alias("pos"), F.count(F.when(negative, 1)).alias("neg"))
-        .orderBy(F.desc(F.col("pos") + F.col("neg")), "token")
-        .limit(max_features)
     )
     sums = counts.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count("*").alias("n"))).scalar()
     weight = F.log((F.col("pos") + 1) / (sums["pos"] + sums["n"])) - F.log((F.col("neg") + 1) / (sums["neg"] + sums["n"]))
@@ -49,28 +46,38 @@ def train_word_model(df: DataFrame, text: str, label: str, max_features: int = M
 def add_sentiment(
     df: DataFrame, row_id: str, text: str, model: DataFrame, label: str = "sentiment_label", score: str = "sentiment_score"
 ) -> DataFrame:
-    """Label and confidence from the first 512 characters; blank text gives ("neutral", 0.0).
+    """Label and confidence from the whole text; a text without a word of the model gives ("neutral", 0.0).
 
-    The model has a bounded number of rows and is broadcast; the word weights are summed per
-    review before anything moves.
+    Only ids and words meet the model. A model that was staged or read has a known size, and Spark broadcasts it
+    when it is small; beyond that, frequent words are spread over slices.
     """
-    tokens = df.where(~is_blank(text)).select(row_id, each(words(head_chars(text, MAX_CHARS))).alias("token"))
-    odds = tokens.join(F.broadcast(model), "token").groupBy(row_id).agg(F.sum("weight").alias("_odds"))
-    prior = model.where("token = ''").select("weight").scalar()
-    total = F.coalesce("_odds", F.lit(0.0)) + prior
+    tokens = df.where(~is_blank(text)).select(row_id, each(words(text)).alias("token")).where("token is not null")
+    odds = spread_join(tokens, model.where("token != ''"), ["token"], spread_on=row_id).groupBy(row_id).agg(F.sum("weight").alias("_odds"))
+    prior = F.coalesce(model.where("token = ''").select("weight").scalar(), F.lit(0.0))
+    total = F.col("_odds") + prior
     return (
         df.join(odds, row_id, "left")
         .withColumn("_odds", total)
         .withColumns(
             {
-                label: F.when(is_blank(text), "neutral").when(F.col("_odds") >= 0, "positive").otherwise("negative"),
-                score: F.when(is_blank(text), 0.0).otherwise(1 / (1 + F.exp(-F.abs("_odds")))),
+                label: F.when(F.col("_odds").isNull(), "neutral").when(F.col("_odds") >= 0, "positive").otherwise("negative"),
+                score: F.when(F.col("_odds").isNull(), 0.0).otherwise(1 / (1 + F.exp(-F.abs("_odds")))),
             }
         )
         .drop("_odds")
     )
 
 
+def each_or_none(work: Callable[[list], Sequence], items: list) -> list:
+    """The results of a batch function; if the batch fails, each item alone, None where that fails too."""
+    try:
+        return list(work(items)) if items else []
+    except Exception:  # whatever a caller's function raises
+        if len(items) == 1:
+            return [None]
+        return [each_or_none(work, [item])[0] for item in items]
+
+
 def require_text(text: Column | str) -> Column:
     """The strict form: blank or missing text fails the query."""
     column = F.col(text) if isinstance(text, str) else text
@@ -82,13 +89,15 @@ def add_model_sentiment(
     text: str,
     load_model: Callable[[], Callable[[list[str]], list[tuple[str, float]]]],
     batch_size: int = 256,
+    max_chars: int | None = None,
     label: str = "sentiment_label",
     score: str = "sentiment_score",
 ) -> DataFrame:
     """Score with a caller's model, loaded once per Python worker and fed in Arrow batches.
 
     `load_model()` returns a function from texts to (label, score) pairs. Blank texts never reach
-    it and give ("neutral", 0.0), as does a text the model returns nothing for.
+    it and give ("neutral", 0.0), as does a text the model returns nothing for or fails on: a batch that
+    fails is tried again text by text. `max_chars` cuts the texts for a model with a bounded input.
     """
 
     def make_predict():
@@ -98,7 +107,7 @@ def add_model_sentiment(
             wanted = [i for i, value in enumerate(texts) if value]
             labels = np.full(len(texts), "neutral", dtype=object)
             scores = np.zeros(len(texts), dtype="float64")
-            results = predict([texts[i] for i in wanted]) if wanted else []
+            results = each_or_none(predict, [texts[i] for i in wanted])
             for i, result in zip(wanted, results, strict=True):
                 if result is not None:
                     labels[i], scores[i] = result[0].lower(), result[1]
@@ -107,6 +116,6 @@ def add_model_sentiment(
         return batch
 
     model = predict_batch_udf(make_predict, return_type=SENTIMENT, batch_size=batch_size)
-    given = F.when(is_blank(text), "").otherwise(head_chars(text, MAX_CHARS))
+    given = F.when(is_blank(text), "").otherwise(F.col(text) if max_chars is None else head_chars(text, max_chars))
     scored = df.withColumn("_s", model(given))
     return scored.withColumns({label: F.col("_s.label"), score: F.col("_s.score")}).drop("_s")

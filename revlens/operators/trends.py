@@ -21,9 +21,11 @@ def daily_mean_rating(df: DataFrame, day: str = "date", rating: str = "rating")
 
 
 def _label_columns(df: DataFrame, key: str, labels: Sequence[str]) -> DataFrame:
-    labelled = df.where(F.col(key).isNotNull() & F.col("sentiment_label").isin(list(labels)))
+    """Rows per key, a column per label and `other` for every label besides."""
+    labelled = df.where(F.col(key).isNotNull() & F.col("sentiment_label").isNotNull())
     counts = [F.count(F.when(F.col("sentiment_label") == label, 1)).alias(label) for label in labels]
-    return labelled.groupBy(key).agg(*counts)
+    other = F.count(F.when(~F.col("sentiment_label").isin(list(labels)), 1)).alias("other")
+    return labelled.groupBy(key).agg(*counts, other)
 
 
 def daily_sentiment(df: DataFrame, day: str = "date", labels: Sequence[str] = LABELS) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from revlens.functions.lists import list_to_json
-from revlens.operators.sizing import lookup_join
+from revlens.operators.joins import spread_join
 
 _NUMBERING_BUCKETS = 2  # hex digits of the name's md5: 256 buckets
 
@@ -68,21 +68,27 @@ def typed_facts(scored: DataFrame, loaded_at: Column | None = None) -> DataFrame
 def with_bank_ids(rows: DataFrame, banks: DataFrame, row_id: str = "id") -> DataFrame:
     """Replace the bank name by its id; rows of unknown banks are left out."""
     ids = banks.select(F.col("id").alias("bank_id"), F.col("name").alias("bank"))
-    return lookup_join(rows, ids, ["bank"], spread_on=row_id).drop("bank")
+    return spread_join(rows, ids, ["bank"], spread_on=row_id).drop("bank")
 
 
 def unknown_banks(rows: DataFrame, banks: DataFrame, row_id: str = "id") -> DataFrame:
     """The rows that `with_bank_ids` leaves out, missing bank names included."""
-    return lookup_join(rows, banks.select(F.col("name").alias("bank")), ["bank"], "left_anti", spread_on=row_id)
+    return spread_join(rows, banks.select(F.col("name").alias("bank")), ["bank"], "left_anti", spread_on=row_id)
 
 
 def known_banks(rows: DataFrame, banks: DataFrame, row_id: str = "id") -> DataFrame:
-    return lookup_join(rows, banks.select(F.col("name").alias("bank")), ["bank"], "left_semi", spread_on=row_id)
+    return spread_join(rows, banks.select(F.col("name").alias("bank")), ["bank"], "left_semi", spread_on=row_id)
 
 
-def new_facts(facts: DataFrame, stored: DataFrame) -> DataFrame:
-    """The facts a load still has to append: a second run of the same load appends nothing."""
-    return facts.dropDuplicates(["id"]).join(stored.select("id"), "id", "left_anti")
+def new_facts(facts: DataFrame, stored: DataFrame, newest: str | None = "created_at") -> DataFrame:
+    """The facts a load still has to append: a second run of the same load appends nothing.
+
+    Of several versions of an id in one load the newest by the named column counts, ties to the smallest row.
+    """
+    order = [F.desc(newest)] if newest in facts.columns else []
+    first = F.row_number().over(Window.partitionBy("id").orderBy(*order, *[F.col(c) for c in facts.columns if c != "id"]))
+    one = facts.withColumn("_n", first).where("_n = 1").drop("_n")
+    return one.join(stored.select("id"), "id", "left_anti")
 
 
 def report_extract(reviews: DataFrame, banks: DataFrame) -> DataFrame:
@@ -91,7 +97,7 @@ def report_extract(reviews: DataFrame, banks: DataFrame) -> DataFrame:
         F.nullif(F.col("sentiment_label"), F.lit("")).isNotNull() & F.nullif(F.col("themes"), F.lit("")).isNotNull()
     )
     names = banks.select(F.col("id").alias("bank_id"), F.col("name").alias("bank_name"))
-    return lookup_join(scored, names, ["bank_id"], spread_on="id").select(
+    return spread_join(scored, names, ["bank_id"], spread_on="id").select(
         "bank_name", "review_text", "rating", "review_date", "sentiment_label", "keywords", "themes"
     )
 
@@ -100,7 +106,7 @@ def without_banks(reviews: DataFrame, banks: DataFrame, deleted: DataFrame) -> t
     """Both tables after deleting banks by `name`, the deleted banks' reviews included."""
     gone = banks.join(deleted.select("name"), "name", "left_semi").select(F.col("id").alias("bank_id"))
     kept_banks = banks.join(deleted.select("name"), "name", "left_anti").select(banks.columns)
-    kept = lookup_join(reviews, gone, ["bank_id"], "left_anti", spread_on="id").select(reviews.columns)
+    kept = spread_join(reviews, gone, ["bank_id"], "left_anti", spread_on="id").select(reviews.columns)
     return kept_banks, kept
 
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.functions.text import normalise, replace_emoji
 from revlens.operators.columns import rename_columns
 from revlens.operators.keywords import MAX_TERMS, attach_keywords, keyword_lists
+from revlens.operators.lexicon import lexicon_sentiment
 from revlens.operators.sentiment import add_sentiment, label_from_rating, train_word_model
 from revlens.operators.themes import add_themes
 from revlens.session import fresh_path
+from revlens.sources.files import lists_as_text, load, read_csv, write_csv, write_parquet
+
+_ROW = "_row"
 
 
 def prepare_text(reviews: DataFrame, text: str = "review_text", emoji_first: bool = True) -> DataFrame:
@@ -32,22 +36,46 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def enrich_reviews(
     reviews: DataFrame,
     model: DataFrame | None = None,
-    row_id: str = "review_id",
+    row_id: str | None = "review_id",
     top_k: int = 5,
     max_terms: int = MAX_TERMS,
     emoji_first: bool = True,
 ) -> DataFrame:
-    """The whole chain over cleaned reviews with `review` (or `review_text`) and `rating`.
+    """The whole chain over reviews with `review` (or `review_text`) and, if there is one, `rating`.
 
     The prepared text is staged once, because the sentiment and keyword steps each read it; reviews
     with nothing left are dropped behind that, so that the test does not compute the text again.
-    Without a model, one is trained on the reviews whose rating tells their sentiment.
+    Only ids and cleaned texts are scored; their results meet the other columns in one join. Without a
+    model, one is trained on the reviews whose rating tells their sentiment; without ratings either,
+    the lexicon scores. With `row_id=None` the rows are numbered and the number is left out again.
     """
     named = rename_columns(reviews, {"review": "review_text"}) if "review" in reviews.columns else reviews
+    if row_id is None:
+        numbered = named.withColumn(_ROW, F.monotonically_increasing_id())
+        return enrich_reviews(numbered, model, _ROW, top_k, max_terms, emoji_first).drop(_ROW)
     prepared = stage(prepare_text(named, emoji_first=emoji_first), "prepared").where("cleaned_text != ''")
-    if model is None:
+    slim = prepared.select(row_id, "cleaned_text")
+    if model is None and "rating" in prepared.columns:
         labelled = prepared.select("cleaned_text", label_from_rating("rating").alias("label"))
-        model = train_word_model(labelled, "cleaned_text", "label")
-    scored = add_sentiment(prepared, row_id, "cleaned_text", model)
-    keywords = keyword_lists(prepared, row_id, "cleaned_text", top_k, max_terms)
-    return attach_keywords(scored, keywords, row_id).transform(add_themes)
+        model = stage(train_word_model(labelled, "cleaned_text", "label"), "model")
+    scored = lexicon_sentiment(slim, "cleaned_text") if model is None else add_sentiment(slim, row_id, "cleaned_text", model)
+    keywords = keyword_lists(slim, row_id, "cleaned_text", top_k, max_terms)
+    found = attach_keywords(scored.drop("cleaned_text"), keywords, row_id).transform(add_themes)
+    return prepared.join(found, row_id)
+
+
+def run_pipeline(spark: SparkSession, source: str, target: str, **options) -> DataFrame:
+    """Read reviews from CSV or Parquet (by the name's ending), score them, write and return the result.
+
+    The input needs a column `review` or `review_text` alone. CSV holds lists as JSON text.
+    """
+    kinds = ["csv" if path.rstrip("/").lower().endswith(".csv") else "parquet" for path in (source, target)]
+    reviews = load(spark, source, kinds[0], **({"inferSchema": False} if kinds[0] == "csv" else {}))
+    if "rating" in reviews.columns:
+        reviews = reviews.withColumn("rating", F.col("rating").try_cast("double"))
+    scored = enrich_reviews(reviews, row_id=None, **options)
+    if kinds[1] == "csv":
+        write_csv(scored, target)
+        return read_csv(spark, target, lists_as_text(scored).schema)
+    write_parquet(scored, target)
+    return spark.read.parquet(target)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revlens import schemas
 from revlens.sources.files import write_parquet, write_per_bank
-from revlens.sources.landing import MAX_REVIEWS, MIN_REVIEWS, clean_reviews, newest_reviews, volume_check
+from revlens.sources.landing import MIN_REVIEWS, clean_reviews, newest_reviews, volume_check
 
 
 @dataclass(frozen=True)
@@ -18,8 +18,8 @@ class Ingested:
     volumes: DataFrame
 
 
-def ingest(raw: DataFrame, banks: DataFrame, max_reviews: int = MAX_REVIEWS, min_reviews: int = MIN_REVIEWS, source: str = "Google Play") -> Ingested:
-    """Newest reviews per bank, cleaned, with the volume check of every expected bank."""
+def ingest(raw: DataFrame, banks: DataFrame, max_reviews: int | None = None, min_reviews: int = MIN_REVIEWS, source: str = "Google Play") -> Ingested:
+    """All reviews, or the newest of each bank, cleaned, with the volume check of every expected bank."""
     newest = newest_reviews(raw, max_reviews)
     cleaned = clean_reviews(newest, source)
     return Ingested(newest, cleaned, volume_check(cleaned, banks, min_reviews))

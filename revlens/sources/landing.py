@@ -11,12 +11,13 @@ from revlens.operators.columns import constant_columns
 from revlens.operators.rows import drop_missing, newest_per_key
 from revlens.operators.topk import top_per_group
 
-MAX_REVIEWS = 1_000
 MIN_REVIEWS = 400
 
 
-def newest_reviews(raw: DataFrame, max_reviews: int = MAX_REVIEWS, group: str = "bank") -> DataFrame:
-    """The newest `max_reviews` reviews of each bank, ties to the smallest id."""
+def newest_reviews(raw: DataFrame, max_reviews: int | None = None, group: str = "bank") -> DataFrame:
+    """The newest `max_reviews` reviews of each bank, ties to the smallest id; all without a number."""
+    if max_reviews is None:
+        return raw
     order = [F.desc_nulls_last("review_ts"), F.col("review_id")]
     return top_per_group(raw, [group], order, max_reviews, rank=None, spread=True)
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.operators.warehouse import new_facts, report_extract
 
+# Names of the tables and columns of the store.
 REPORT_QUERY = """
     SELECT b.NAME AS bank_name, r.REVIEW_TEXT AS review_text, r.RATING AS rating, r.REVIEW_DATE AS review_date,
            r.SENTIMENT_LABEL AS sentiment_label, r.KEYWORDS AS keywords, r.THEMES AS themes, r.ID AS id
@@ -20,21 +21,22 @@ def read_report(spark: SparkSession, folder: str) -> DataFrame:
     return report_extract(spark.read.parquet(f"{folder}/reviews"), spark.read.parquet(f"{folder}/banks"))
 
 
-def jdbc_options(url: str, bounds: tuple[int, int], partitions: int, fetch_size: int = 10_000, **options: str) -> dict[str, str]:
-    """Options for a parallel read of the report: the database joins and filters, id ranges split the rows."""
+def jdbc_options(url: str, bounds: tuple[str, str], partitions: int, fetch_size: int = 10_000, **options: str) -> dict[str, str]:
+    """Options for a parallel read of the report: the database joins and filters, ranges of the review date split the
+    rows. Ids are text, which Spark does not split by. `bounds` are dates as text; they set the stride and drop no row."""
     return {
         "url": url,
         "dbtable": f"({REPORT_QUERY}) report",
-        "partitionColumn": "id",
-        "lowerBound": str(bounds[0]),
-        "upperBound": str(bounds[1]),
+        "partitionColumn": "review_date",
+        "lowerBound": bounds[0],
+        "upperBound": bounds[1],
         "numPartitions": str(partitions),
         "fetchsize": str(fetch_size),
         **options,
     }
 
 
-def read_report_jdbc(spark: SparkSession, url: str, bounds: tuple[int, int], partitions: int, **options: str) -> DataFrame:
+def read_report_jdbc(spark: SparkSession, url: str, bounds: tuple[str, str], partitions: int, **options: str) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(url, bounds, partitions, **options)).load().drop("id")
 
 

@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 from revlens.operators.lexicon import compound
 from revlens.operators.sentiment import add_sentiment
 from revlens.operators.themes import themes_of_text
-from revlens.operators.trends import LABELS
 from revlens.sources.warehouse import append_facts
 
 ALL_AVAILABLE = {"availableNow": True}
@@ -51,7 +50,7 @@ def weekly_counts(stream: DataFrame, event_time: str, label: str, delay: str = "
 
 
 def weekly_sentiment(stream: DataFrame, event_time: str = "review_ts", delay: str = "7 days") -> DataFrame:
-    return weekly_counts(stream.where(F.col("sentiment_label").isin(list(LABELS))), event_time, "sentiment_label", delay)
+    return weekly_counts(stream.where(F.col("sentiment_label").isNotNull()), event_time, "sentiment_label", delay)
 
 
 def replace_table(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from revlens.operators import distributions, trends
 from revlens.operators.quantiles import box_stats, group_quantiles
-from revlens.operators.sizing import lookup_join, small_or_none
+from revlens.operators.joins import spread_join
 from revlens.operators.topk import top_per_group
 
 PROBS = (0.0, 0.05, 0.25, 0.5, 0.75, 0.99, 1.0)
@@ -62,23 +62,43 @@ def test_top_per_group(skewed, spread):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_lookup_join_beyond_the_bound(spark, how):
+def test_spread_join_equals_join(spark, how):
     facts = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("k"))
     lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("zz", 3)], "k string, x int")
     if how in ("left_semi", "left_anti"):
         lookup = lookup.select("k")
     wanted = sorted(map(str, facts.join(lookup, "k", how).collect()))
-    assert sorted(map(str, lookup_join(facts, lookup, ["k"], how, spread_on="id").collect())) == wanted
-    assert sorted(map(str, lookup_join(facts, lookup, ["k"], how, spread_on="id", max_rows=1).collect())) == wanted
-    assert sorted(map(str, lookup_join(facts, lookup, ["k"], how, max_rows=1).collect())) == wanted
-    assert small_or_none(lookup, 2) is None
+    for spread_on in (None, "id"):
+        assert sorted(map(str, spread_join(facts, lookup, ["k"], how, spread_on=spread_on).collect())) == wanted
+
+
+def test_building_a_plan_starts_no_job(spark):
+    facts = spark.range(10).select("id", (F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    group = "plans-only"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        box_stats(facts, ["g"], "v")
+        spread_join(facts, facts.select("g").distinct(), ["g"], spread_on="id")
+        distributions.score_density(facts, "g", "v")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_one_value_that_is_nearly_all_of_a_group(spark):
+    df = spark.range(20_000).select(F.lit("a").alias("g"), F.when(F.col("id") % 100 == 0, F.col("id").cast("double")).otherwise(7.0).alias("v"))
+    values = np.array([r["v"] for r in df.collect()])
+    got = group_quantiles(df, ["g"], "v", PROBS).first()["quantiles"]
+    assert got == pytest.approx(np.quantile(values, PROBS).tolist(), abs=1e-9)
+    box = box_stats(df, ["g"], "v").first()
+    assert box["n"] == 20_000 and box["median"] == 7.0 and box["n_outliers"] == int((values != 7.0).sum())
 
 
 def test_histogram_has_every_bin(spark):
-    df = spark.createDataFrame([("a", 0.0), ("a", 1.0), ("a", 0.55), ("b", 0.1), ("b", None)], "bank string, s double")
+    df = spark.createDataFrame([("a", 0.0), ("a", 1.0), ("a", 0.55), ("b", 0.1), ("b", None), ("c", -2.0), ("c", 1.5)], "bank string, s double")
     rows = {(r["bank"], r["bin"]): r["count"] for r in distributions.score_histogram(df, "bank", "s", 10).collect()}
-    assert len(rows) == 20
-    assert {k: v for k, v in rows.items() if v} == {("a", 1): 1, ("a", 6): 1, ("a", 10): 1, ("b", 2): 1}
+    assert len(rows) == 36
+    assert {k: v for k, v in rows.items() if v} == {("a", 1): 1, ("a", 6): 1, ("a", 10): 1, ("b", 2): 1, ("c", 0): 1, ("c", 11): 1}
 
 
 def test_density_integrates_to_one(spark):
@@ -95,10 +115,10 @@ def test_daily_mean_shows_gaps(spark):
 
 def test_weekly_and_daily_sentiment(spark):
     df = spark.createDataFrame(
-        [("2024-01-07", "positive"), ("2024-01-08", "negative"), ("2024-01-08", "positive"), ("2024-01-29", "neutral"), ("2024-01-08", None)],
+        [("2024-01-07", "positive"), ("2024-01-08", "negative"), ("2024-01-08", "positive"), ("2024-01-29", "neutral"), ("2024-01-08", None), ("2024-01-08", "mixed")],
         "date string, sentiment_label string",
     ).withColumn("date", F.to_date("date"))
     weeks = {str(r[0]): tuple(r)[1:] for r in trends.weekly_sentiment(df).collect()}
-    assert weeks == {"2024-01-07": (0, 0, 1), "2024-01-14": (1, 0, 1), "2024-02-04": (0, 1, 0)}
+    assert weeks == {"2024-01-07": (0, 0, 1, 0), "2024-01-14": (1, 0, 1, 1), "2024-02-04": (0, 1, 0, 0)}
     days = {str(r[0]): tuple(r)[1:] for r in trends.daily_sentiment(df).collect()}
-    assert days["2024-01-08"] == (1, 0, 1) and len(days) == 3
+    assert days["2024-01-08"] == (1, 0, 1, 1) and len(days) == 3

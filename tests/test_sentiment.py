@@ -37,14 +37,17 @@ def test_clear_cut_texts(spark, model):
     assert all(0.5 <= score <= 1 for _, score in (positive, negative, mixed))
 
 
-def test_blank_texts_are_neutral_and_unknown_words_use_the_prior(spark, model):
-    assert scored(spark, model, ["", "   ", None]) == [("neutral", 0.0)] * 3
-    assert scored(spark, model, ["qqq"])[0][1] == pytest.approx(0.5)
+def test_blank_texts_and_texts_of_unknown_words_are_neutral(spark, model):
+    assert scored(spark, model, ["", "   ", None, "qqq", "zzz yyy"]) == [("neutral", 0.0)] * 5
 
 
-def test_only_the_first_512_characters_count(spark, model):
-    long = "love " * 103  # 515 characters
-    assert scored(spark, model, [long + "terrible " * 500])[0] == scored(spark, model, [long])[0]
+def test_the_whole_text_counts(spark, model):
+    long = "love " * 9_000
+    assert [label for label, _ in scored(spark, model, [long, long + "terrible " * 11_000])] == ["positive", "negative"]
+
+
+def test_a_model_without_its_prior_still_scores(spark, model):
+    assert [label for label, _ in scored(spark, model.where("token != ''"), ["love", "terrible", ""])] == ["positive", "negative", "neutral"]
 
 
 def test_weights_by_hand(model):
@@ -68,13 +71,16 @@ def test_caller_model(spark):
     def load():
         def predict(texts):
             assert all(t.strip() and len(t) <= 512 for t in texts)
+            if "broken" in texts:
+                raise RuntimeError("the model fails on this text")
             return [None if t == "unsure" else ("POSITIVE", len(t) / 512) for t in texts]
 
         return predict
 
-    rows = spark.createDataFrame([(0, "x" * 600), (1, "  "), (2, None), (3, "unsure")], "id long, t string")
-    got = sentiment.add_model_sentiment(rows, "t", load).orderBy("id").collect()
-    assert [(r["sentiment_label"], r["sentiment_score"]) for r in got] == [("positive", 1.0), ("neutral", 0.0), ("neutral", 0.0), ("neutral", 0.0)]
+    rows = spark.createDataFrame([(0, "x" * 600), (1, "  "), (2, None), (3, "unsure"), (4, "broken"), (5, "y" * 256)], "id long, t string").coalesce(1)
+    got = sentiment.add_model_sentiment(rows, "t", load, max_chars=512).orderBy("id").collect()
+    neutral = ("neutral", 0.0)
+    assert [(r["sentiment_label"], r["sentiment_score"]) for r in got] == [("positive", 1.0), neutral, neutral, neutral, neutral, ("positive", 0.5)]
 
 
 def test_label_from_rating(one):
@@ -146,12 +152,14 @@ def test_undetectable_text_has_no_language(spark, small_profiles):
 
 def test_translate(spark, tmp_path):
     rows = spark.createDataFrame(
-        [(0, "Hello", "en"), (1, "Bonjour", "fr"), (2, "Bonjour", "fr"), (3, "Hola", "es"), (4, None, None), (5, "???", None), (6, "Bad", "xx")],
+        [(0, "Hello", "en"), (1, "Bonjour", "fr"), (2, "Bonjour", "fr"), (3, "Hola", "es"), (4, None, None), (5, "???", None), (6, "Bad", "xx"), (7, "Down", "yy")],
         "id long, t string, lang string",
     )
-    memory = spark.createDataFrame([("fr", "Bonjour", "Good day"), ("en", "Hello", "never")], "lang string, text string, translation string")
+    memory = spark.createDataFrame(
+        [("fr", "Bonjour", "Good day"), ("fr", "Bonjour", "Hello there"), ("en", "Hello", "never")], "lang string, text string, translation string"
+    )
     kept = {r["id"]: r["t"] for r in language.translate(rows, "id", "t", "lang", memory).collect()}
-    assert kept == {0: "Hello", 1: "Good day", 2: "Good day", 3: "Hola", 4: None, 5: "???", 6: "Bad"}
+    assert kept == {0: "Hello", 1: "Good day", 2: "Good day", 3: "Hola", 4: None, 5: "???", 6: "Bad", 7: "Down"}
 
     calls = str(tmp_path)
 
@@ -161,11 +169,13 @@ def test_translate(spark, tmp_path):
 
         for text in batch["text"]:
             open(os.path.join(calls, f"{text}-{uuid.uuid4().hex}"), "w").close()
+        if len(batch) > 1 and "xx" in list(batch["lang"]) or list(batch["lang"]) == ["yy"]:
+            raise RuntimeError("the service is down")
         return [None if lang == "xx" else f"{lang}:{text}" for lang, text in zip(batch["lang"], batch["text"])]
 
     twice = rows.unionByName(rows.withColumn("id", F.col("id") + 10))
     full = {r["id"]: r["t"] for r in language.translate(twice, "id", "t", "lang", memory, service).collect()}
-    assert full[3] == full[13] == "es:Hola" and full[6] == "Bad" and full[1] == "Good day"
+    assert full[3] == full[13] == "es:Hola" and full[6] == "Bad" and full[7] == "Down" and full[1] == "Good day"
     import os
 
-    assert sorted(name.split("-")[0] for name in os.listdir(calls)) == ["Bad", "Hola"]
+    assert {name.split("-")[0] for name in os.listdir(calls)} == {"Bad", "Down", "Hola"}

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from revlens import schemas
 from revlens.operators import insights, warehouse as ops
 from revlens.operators.language import train_profiles
-from revlens.plans.enrich import enrich_reviews
+from revlens.plans.enrich import enrich_reviews, run_pipeline
 from revlens.plans.explore import explore
+from revlens.plans.ingest import ingest
 from revlens.session import fresh_path, shared_folder
 from revlens.sources import files, landing, warehouse
 from revlens.streaming import jobs
@@ -43,6 +44,21 @@ def test_repeats_go_before_incomplete_rows(spark):
     assert [r["review_id"] for r in landing.clean_reviews(rows, drop_missing_first=True).collect()] == [1]
 
 
+def test_repeats_of_reviews_with_text_ids(spark):
+    page = [("b2", "A", "x", 5, "2024-01-01 10:00:00"), ("b1", "A", "x", 4, "2024-01-01 10:00:00"), ("b0", "A", "x", 3, "2024-01-01 09:59:59")]
+    rows = spark.createDataFrame(page, "review_id string, bank string, content string, score int, t string")
+    for kind in ("timestamp", "timestamp_ntz"):
+        got = landing.clean_reviews(rows.withColumn("review_ts", F.col("t").cast(kind))).collect()
+        assert [(r["review_id"], r["rating"]) for r in got] == [("b1", 4)]
+
+
+def test_an_ingest_has_no_cap(spark):
+    page = [(i, "A", f"text {i}", 5, "2024-01-01 10:00:00") for i in range(1_001)]
+    banks = spark.createDataFrame([("A",)], "name string")
+    assert ingest(raw(spark, page), banks).cleaned.count() == 1_001
+    assert ingest(raw(spark, page), banks, max_reviews=10).cleaned.count() == 10
+
+
 def test_newest_reviews_and_volumes(spark):
     rows = raw(spark, [(i, "hot" if i % 3 else "cold", "t", 5, f"2024-01-01 00:{i % 60:02d}:00") for i in range(300)])
     got = landing.newest_reviews(rows, 7)
@@ -158,8 +174,8 @@ def test_repeated_load_appends_nothing(spark):
 
 
 def test_jdbc_options():
-    options = warehouse.jdbc_options("jdbc:example:x", (1, 900), 8, user="u")
-    assert options["partitionColumn"] == "id" and options["upperBound"] == "900" and options["numPartitions"] == "8"
+    options = warehouse.jdbc_options("jdbc:example:x", ("2020-01-01", "2024-12-31"), 8, user="u")
+    assert options["partitionColumn"] == "review_date" and options["upperBound"] == "2024-12-31" and options["numPartitions"] == "8"
     assert "JOIN BANKS" in options["dbtable"] and "IS NOT NULL" in options["dbtable"] and options["user"] == "u"
 
 
@@ -208,6 +224,25 @@ def test_scoring_chain(spark):
     assert late == {1, 2, 3}
 
 
+def test_pipeline_on_a_file_with_a_review_column_alone(spark, tmp_path):
+    reviews = spark.createDataFrame([(r[1],) for r in REVIEWS], "review string")
+    files.write_csv(reviews, f"{tmp_path}/in.csv")
+    got = {r["review_text"]: r for r in run_pipeline(spark, f"{tmp_path}/in.csv", f"{tmp_path}/out.csv").collect()}
+    assert set(got) == {r[1] for r in REVIEWS[:4]}
+    assert list(got["😀"].asDict()) == ["review_text", "cleaned_text", "sentiment_label", "sentiment_score", "keywords", "themes"]
+    assert got[REVIEWS[1][1]]["sentiment_label"] == "positive" and got[REVIEWS[0][1]]["sentiment_label"] == "negative"
+    assert all(r["themes"].startswith("[") for r in got.values())
+    rated = spark.createDataFrame([r[1:] for r in REVIEWS], "review string, rating int")
+    rated.write.parquet(f"{tmp_path}/in")
+    assert run_pipeline(spark, f"{tmp_path}/in", f"{tmp_path}/out").count() == 4
+
+
+def test_the_newest_version_of_a_fact_is_loaded(spark):
+    rows = spark.createDataFrame([("a", "old", "2024-01-01"), ("a", "new", "2024-02-01"), ("b", "x", None)], "id string, v string, created_at string")
+    got = ops.new_facts(rows, rows.where("id = 'none'")).collect()
+    assert sorted((r["id"], r["v"]) for r in got) == [("a", "new"), ("b", "x")]
+
+
 def test_explore(spark):
     rows = spark.createDataFrame(
         [

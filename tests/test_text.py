@@ -119,6 +119,13 @@ def test_list_text(one):
         ("2024-01-01T12:00:00Z", "2024-01-01 12:00:00"),
         ("2024-01-01T12:00:00+03:00", "2024-01-01 09:00:00"),
         ("2024-01-01 00:30:00-0130", "2024-01-01 02:00:00"),
+        ("2021-01-01 00:00:00+03", "2020-12-31 21:00:00"),
+        ("2021-01-01 00:00:00.25 UTC+3", "2020-12-31 21:00:00.25"),
+        ("2021-07-01 00:00:00 Europe/Paris", "2021-06-30 22:00:00"),
+        ("2021-01-01T00:00:00 EST", "2021-01-01 05:00:00"),
+        ("2021-11-07T05:30:00Z", "2021-11-07 05:30:00"),
+        ("1901-02-03T04:05:06-00:30", "1901-02-03 04:35:06"),
+        ("2021-01-01 00:00:00 Nowhere/Land", None),
         ("not_a_date", None),
         ("N/A", None),
         ("NaT", None),
