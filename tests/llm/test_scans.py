@@ -176,8 +176,7 @@ def test_surrogates(spark):
     other = surrogates.replace_pii(df, b"other", count="n").collect()
     assert sorted(map(str, found)) == sorted(map(str, again)) != sorted(map(str, other))
     assert Counter(r.doc_id for r in found) == Counter(r[0] for r in [*PRIVATE, *ODD]) and set(found[0].asDict()) == {"doc_id", "text", "lang", "source", "spans", "doc", "n"}
-    texts = {r.doc_id: r.text for r in found if r.doc_id in range(1, 7) and r.spans == "clash" and r.n or r.doc_id in (4, 5)}
-    plain = {d: t for d, t, *_ in PRIVATE}
+    texts = {r.doc_id: r.text for r in found if r.n}
     assert sorted(str(r.text) for r in found if not r.n) == sorted(str(t) for d, t, *_ in [*PRIVATE, *ODD] if not surrogates.find(t))
     for value in ("anna.k@mail7", "555-3235", "4984763833005551", "89.89.56.213", "bob@x.org", "Maria", "e3b3ed3cc8548923d6", "0641917ea4e9", "HKU6VBLCCCCE", "512582697"):
         assert not any(r.text and value.lower() in r.text.lower() for r in found)
@@ -187,7 +186,6 @@ def test_surrogates(spark):
     names = re.search(r"Mrs\. (\w+) (\w+) met Mr (\w+) (\w+)", texts[2])
     assert names[1] in surrogates.FEMALE and names[3] in surrogates.MALE
     assert re.sub(r"\D", "", re.search(r"\+\d \(\d+\) [\d-]+", texts[1])[0]) == re.sub(r"\D", "", texts[6].split(" and ")[0])
-    assert plain[4] == texts.get(4, plain[4])
 
 
 def test_surrogates_stay_distinct_in_a_narrow_format(spark):
