@@ -39,6 +39,7 @@ WIDTH = 4
 THRESHOLD = 85
 SKETCH = 256
 SLICE = 2048
+LOWS = 8
 
 
 def layouts(threshold: int, largest: int = 1 << 40) -> np.ndarray:
@@ -208,11 +209,12 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 def _across(members: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of sets in one bucket, of different components, that sizes and narrow sketches leave.
 
-    Members come as (key, i, j, part, set_id, n, sketch, component): a bucket is cut into slices, and a pair of slices
-    (i, j) meets in one task, where slice i is compared with slice j in blocks of numpy arrays.
+    Members come as (key, i, j, part, set_id, n, sketch, lows, component): a bucket is cut into slices, and a pair of
+    slices (i, j) meets in one task, where slice i is compared with slice j in blocks of numpy arrays. Linked sets share
+    many buckets; where the smallest keys of both (lows) have a smaller key in common, that bucket gives the pair.
     """
 
-    def pairs(part: dict[str, np.ndarray], i: int, j: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(part: dict[str, np.ndarray], key: int, i: int, j: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         left = np.flatnonzero(part["part"] == i)
         right = np.flatnonzero(part["part"] == j)
         for start in range(0, len(left), 256):
@@ -223,7 +225,10 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
             if i == j:
                 good &= part["set_id"][rows][:, None] < part["set_id"][right][None, :]
             x, y = np.nonzero(good)
-            yield part["set_id"][rows[x]], part["set_id"][right[y]]
+            x, y = rows[x], right[y]
+            lows = part["lows"][x]
+            earlier = ((lows[:, :, None] == part["lows"][y][:, None, :]) & (lows < key)[:, :, None]).any(axis=(1, 2))
+            yield part["set_id"][x[~earlier]], part["set_id"][y[~earlier]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
@@ -235,7 +240,7 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
             part = {c: v[once] for c, v in part.items()}
             if part["component"].min() == part["component"].max():
                 return
-            for x, y in pairs(part, int(part["i"][0]), int(part["j"][0])):
+            for x, y in pairs(part, int(part["key"][0]), int(part["i"][0]), int(part["j"][0])):
                 new = [p for p in zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True) if p not in seen]
                 seen.update(new)
                 if len(seen) > 1_000_000:  # only repeats are lost with it; the pairs become distinct later
@@ -248,6 +253,7 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
                 continue
             rows = {c: batch.column(c).to_numpy() for c in ("key", "i", "j", "part", "set_id", "n", "component")}
             rows["sketch"] = _bits(batch.column("sketch"))
+            rows["lows"] = batch.column("lows").flatten().to_numpy().reshape(batch.num_rows, LOWS)
             change = (rows["key"][1:] != rows["key"][:-1]) | (rows["i"][1:] != rows["i"][:-1]) | (rows["j"][1:] != rows["j"][:-1])
             borders = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
             for a, b in zip(borders, borders[1:], strict=False):
@@ -271,7 +277,8 @@ def jaccard_classes(docs: DataFrame, text: str = "text", width: int = WIDTH, thr
     """
     rows = staged(sketches(docs, text, width, threshold), "sketches")
     known = rows.where("set_id IS NOT NULL")
-    nodes = staged(known.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch")), "sets")
+    lows = F.slice(F.concat(F.array_sort("keys"), F.array_repeat(F.lit((1 << 63) - 1), LOWS)), 1, LOWS)
+    nodes = staged(known.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"), F.max(lows).alias("lows")), "sets")
     bucket = Window.partitionBy("key")
     bands = known.where("size(keys) > 0").select("set_id", F.explode("keys").alias("key"))
     members = staged(
@@ -283,7 +290,7 @@ def jaccard_classes(docs: DataFrame, text: str = "text", width: int = WIDTH, thr
     stars = members.where("set_id > least").select(F.col("least").alias("a"), F.col("set_id").alias("b")).distinct()
     links = staged(verified(bounded(stars, nodes, threshold), sets, threshold), "star_links")
     first = components(links)
-    labelled = nodes.join(first.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "n", "sketch", F.coalesce("component", "set_id").alias("component"))
+    labelled = nodes.join(first.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "n", "sketch", "lows", F.coalesce("component", "set_id").alias("component"))
     placed = members.drop("least").join(labelled, "set_id")
     open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     slices = F.ceil(F.col("count") / SLICE).cast("int")
@@ -293,7 +300,7 @@ def jaccard_classes(docs: DataFrame, text: str = "text", width: int = WIDTH, thr
         .withColumn("slices", slices)
         .withColumn("part", part)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-        .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "set_id", "n", "sketch", "component")
+        .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "set_id", "n", "sketch", "lows", "component")
     )
     more = staged(verified(_across(spread, threshold), sets, threshold), "more_links")
     every = components(links.union(more))
