@@ -12,6 +12,7 @@ from revlens.functions.vocab import NO_THEME
 from revlens.operators import language, sentiment
 from revlens.operators.lexicon import add_compound
 from revlens.plans.enrich import enrich_reviews, run_pipeline, stage
+from revlens.plans.explore import explore
 from revlens.session import fresh_path
 from revlens.sources.files import report_export, text_as_lists, write_csv
 
@@ -191,3 +192,18 @@ def pipeline_on_files(spark, folder):
     scored = text_as_lists(run_pipeline(spark, f"{path}/in.csv", f"{path}/out.csv"), ["keywords", "themes"])
     lists = [F.array_join(c, "|").alias(c) for c in ("keywords", "themes")]
     return scored.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("cleaned_text").alias("cleaned"), "sentiment_label", F.round("sentiment_score", 6).alias("sentiment_score"), *lists)
+
+
+@query(
+    "explored_reviews",
+    RAW + f""", whole AS (SELECT DISTINCT review_id, content, score, review_ts, thumbs_up FROM reviews WHERE content IS NOT NULL AND score IS NOT NULL),
+      worded AS (SELECT *, {_emoji_sql('content')} AS with_words FROM whole), {language_ctes('documents', 'lang', 'text', 'worded', 'review_id', 'with_words')}
+    SELECT w.with_words AS review, w.score AS rating, CAST(w.review_ts AS VARCHAR) AS date, w.thumbs_up AS likes, 'any' AS bank, 'Google Store' AS source
+    FROM worded w JOIN detected d ON d.id = w.review_id WHERE d.detected_lang = 'en'""",
+)
+def explored_reviews(spark, folder):
+    raw = reviews(spark, folder).select(
+        F.col("review_id").alias("reviewId"), "content", "score", F.col("review_ts").cast("string").alias("at"), F.col("thumbs_up").alias("likes"), F.lit(None).cast("string").alias("userImage")
+    )
+    rows = explore(raw, "any", _profiles(spark, folder), LANGUAGES)
+    return rows.select("review", "rating", F.col("date").cast("string").alias("date"), "likes", "bank", "source")
