@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from revlens.llm import mixing, packing, parity_join, quality, surrogates
 from revlens.llm.common import staged, table
+from revlens.llm.tokens import byte_bpe_50k
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 KEY = b"corpus pipeline"
@@ -36,7 +36,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in the packed sequences."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, byte_bpe_50k)
 
 
 STAGES: list[tuple[str, Stage]] = [

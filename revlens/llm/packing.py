@@ -12,7 +12,7 @@ gives no pieces. Columns other than doc_id and the text are not carried.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,18 +21,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from revlens.llm.common import staged, texts
-from revlens.llm.tokens import ChunkTokenizer
+from revlens.llm.tokens import Encoder
 
 CAPACITY = 1024
 END = 2
 CHUNKS = 256
 
 
-def pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32. Of a longer document the first piece is the short one."""
+def pieces(docs: DataFrame, tokenizer: Callable[[], Encoder], text: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32. Of a longer document the first piece is the short one.
+
+    `tokenizer()` makes the encoder, once in every task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkTokenizer(tokenizer)
+        encoder = tokenizer()
         for batch in batches:
             owner, number, starts, lengths, sums = [], [], [], [], []
             for row, ids in enumerate(encoder.encode(texts(batch.column(1)))):
@@ -137,7 +140,7 @@ def numbered(cut: DataFrame) -> DataFrame:
     return sliced.withColumn("_inner", inner).join(starts, ["length", "_slice"]).withColumn("rank", F.col("_before") + F.col("_inner")).drop("_slice", "_before", "_inner")
 
 
-def pack(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: Callable[[], Encoder], text: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     cut = staged(pieces(docs, tokenizer, text, capacity, end), "pieces")
     counts = np.zeros(capacity + 1, np.int64)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +11,13 @@ from pyspark.sql import functions as F
 import revlens.llm
 from revlens.llm import hilbert_shards, license_scan, mixing, packing, parity_join, quality, surrogates, token_trees, url_rules, vantage
 from revlens.llm.common import table
+from revlens.llm.tokens import byte_bpe_50k
 from revlens.llm.oracles import ORACLES  # noqa: F401
 
 # workers of a session that was started elsewhere may not find the package; its functions travel with the job
 cloudpickle.register_pickle_by_value(revlens.llm)
 
 SURROGATE_KEY = b"registered query"
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,7 +31,7 @@ def op2_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_edit_aware_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("edits", token_trees.cleaning_edits("text"))
-    counted = token_trees.edited(token_trees.trees(docs, TOKENIZER, keep=("edits",)), TOKENIZER)
+    counted = token_trees.edited(token_trees.trees(docs, byte_bpe_50k, keep=("edits",)), byte_bpe_50k)
     return counted.select("doc_id", "tokens_before", "n_tokens", F.length("text").cast("long").alias("n_chars"), "reencoded", "refused", F.size("lengths").alias("n_segments"))
 
 
@@ -54,7 +53,7 @@ def op7_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), TOKENIZER)
+    return packing.pack(table(spark, folder, "documents"), byte_bpe_50k)
 
 
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

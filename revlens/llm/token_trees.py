@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.common import texts
-from revlens.llm.tokens import ChunkTokenizer
+from revlens.llm.tokens import Encoder
 
 SEGMENT = 256
 CONTEXT = 2
@@ -106,15 +106,15 @@ def change(text: str, lengths: list[int], tree: list[int], edits: list[tuple[int
     return "".join(out), lengths, tree, sum(map(len, flat)), refused
 
 
-def _counter(encoder: ChunkTokenizer) -> Callable[[list[str]], list[int]]:
-    return lambda parts: [len(ids) for ids in encoder.encode(pa.array(parts, pa.string()))]
+def _counter(encoder: Encoder) -> Callable[[list[str]], list[int]]:
+    return lambda parts: [len(encoder.ids(part)) for part in parts]
 
 
-def trees(docs: DataFrame, tokenizer: str, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, text, lengths (characters per segment), tree, n_tokens, and the columns to keep."""
+def trees(docs: DataFrame, tokenizer: Callable[[], Encoder], text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, lengths (characters per segment), tree, n_tokens, and the columns to keep. `tokenizer()` makes the encoder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(ChunkTokenizer(tokenizer))
+        count = _counter(tokenizer())
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -136,12 +136,12 @@ def trees(docs: DataFrame, tokenizer: str, text: str = "text", keep: tuple[str,
     return docs.select("doc_id", F.col(text), *keep).mapInArrow(run, f"doc_id {kind}, text string, lengths array<int>, tree array<int>, n_tokens long{kinds}")
 
 
-def edited(built: DataFrame, tokenizer: str, edits: str = "edits") -> DataFrame:
+def edited(built: DataFrame, tokenizer: Callable[[], Encoder], edits: str = "edits") -> DataFrame:
     """The trees after the edits in a column of (start, stop, replacement), offsets in characters: doc_id, text,
     lengths, tree, n_tokens, tokens_before, reencoded (characters) and refused (edits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(ChunkTokenizer(tokenizer))
+        count = _counter(tokenizer())
         for batch in batches:
             out = []
             for text, lengths, tree, wanted in zip(*(batch.column(i) for i in range(1, 5)), strict=True):

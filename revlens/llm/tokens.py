@@ -1,89 +1,47 @@
-"""Token ids of whole texts, each distinct chunk of text encoded once per task.
-
-A text is cut before a space that follows a visible character and precedes an ASCII letter. There the pre-tokenizer of
-a byte-level vocabulary always begins a new piece, whatever stands around, so that the ids of the chunks, end to end,
-are the ids of the text. Chunks repeat far more often than texts; a chunk's ids are looked up by its 64-bit hash and
-length.
-"""
+"""Token ids of whole texts by a public vocabulary file."""
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from tokenizers import Tokenizer
 
-from revlens.llm.common import pieces
-from revlens.llm.kernel import Texts
-
-VISIBLE = np.isin(np.arange(256), np.arange(0x21, 0x7F))
-LETTER = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", np.uint8))
-MEMORY = 1 << 22
-
 
-def cuts(data: np.ndarray) -> np.ndarray:
-    """Byte offsets at which a text may be cut: spaces after a visible ASCII or accented Latin letter, before a letter."""
-    if len(data) < 3:
-        return np.zeros(0, np.int64)
-    seen = VISIBLE[data[:-2]]
-    seen[1:] |= (data[:-3] == 0xC3) & (data[1:-2] >= 0x80)
-    return np.flatnonzero(seen & (data[1:-1] == 0x20) & LETTER[data[2:]]) + 1
+class Encoder:
+    """Encodes texts by a file for `tokenizers` (.json) or by the same vocabulary as ranks (.tiktoken), which is faster.
 
+    Both give the same ids, those of special tokens that stand in a text included; the tests compare them. A text that
+    the faster library refuses, such as a run of a million blanks, is encoded by the other file if it is given.
+    """
 
-class ChunkTokenizer:
-    """Encodes texts with a `tokenizers` file of the byte-level kind. Its memory of chunks starts afresh when full."""
+    def __init__(self, path: str, special: dict[str, int] | None = None, fallback: str | None = None):
+        self.plain = Tokenizer.from_file(path if path.endswith(".json") else fallback) if path.endswith(".json") or fallback else None
+        self.fast = None
+        if not path.endswith(".json"):
+            with open(path, "rb") as lines:
+                ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            self.fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special or {})
 
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint16 if self.tokenizer.get_vocab_size() < 1 << 16 else np.uint32)
-        self.first = np.zeros(1 << 14, np.int64)
-
-    def _learn(self, keys: list[int], chunks: list[str]) -> None:
-        end = int(self.first[len(self.known)])
-        encoded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        for key, one in zip(keys, encoded, strict=True):
-            ids, n = one.ids, len(self.known)
-            while end + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            if n + 2 > len(self.first):
-                self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-            self.ids[end : end + len(ids)] = ids
-            end += len(ids)
-            self.known[key] = n
-            self.first[n + 1] = end
+    def ids(self, text: str) -> np.ndarray:
+        if self.fast is not None:
+            try:
+                return self.fast.encode_to_numpy(text, allowed_special="all")
+            except BaseException as refused:  # the library's own panics are no Exceptions
+                if self.plain is None or isinstance(refused, KeyboardInterrupt | SystemExit):
+                    raise
+        return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every text, in order."""
-        for start, stop in pieces(column):
-            if len(self.ids) > MEMORY:
-                self._clear()
-            yield from self._encode(column.slice(start, stop - start))
+        for text in column:
+            yield self.ids(text.as_py())
+
 
-    def _encode(self, column: pa.Array) -> Iterator[np.ndarray]:
-        t = Texts(column)
-        inner = cuts(t.bytes)
-        border = np.zeros(len(t.bytes) + 2, bool)
-        border[t.first] = True
-        inner = inner[~border[inner] & ~border[inner + 1]]
-        borders = np.unique(np.concatenate([t.first, inner]))
-        starts, ends = borders[:-1], borders[1:]
-        hashes = t.hashes(starts, ends)
-        distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.known]
-        if new:
-            data = t.bytes.tobytes()
-            self._learn([keys[i] for i in new], [data[starts[where[i]] : ends[where[i]]].decode() for i in new])
-        index = np.fromiter((self.known[k] for k in keys), np.int64, len(keys))
-        chunk = index[back]
-        begin, sizes = self.first[chunk], self.first[chunk + 1] - self.first[chunk]
-        upto = np.concatenate([[0], np.cumsum(sizes)])
-        flat = self.ids[np.repeat(begin - upto[:-1], sizes) + np.arange(upto[-1])]
-        text_first = upto[np.searchsorted(starts, t.first)] if len(starts) else np.zeros(t.n + 1, np.int64)
-        for a, b in zip(text_first, text_first[1:], strict=False):
-            yield flat[a:b]
+def byte_bpe_50k() -> Encoder:
+    """The byte-level vocabulary of 50,257 ids."""
+    return Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), {"<|endoftext|>": 50256}, public_tokenizers.path("byte_bpe_50k.json"))

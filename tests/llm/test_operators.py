@@ -3,15 +3,17 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from revlens.llm import hilbert_shards, mixing, packing, parity_join, quality, queries
-from revlens.llm.tokens import ChunkTokenizer
+from revlens.llm import hilbert_shards, mixing, packing, parity_join, quality
+from revlens.llm.tokens import byte_bpe_50k
 from tests.llm import brute
 
 FOLDER = "/root/testdata/sf0.001"
+JSON = public_tokenizers.path("byte_bpe_50k.json")
 LONG = " ".join(f"w{i * i % 997} x{i % 31}" for i in range(30_000))
 BASE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega"
 ODD = [
@@ -198,20 +200,21 @@ def test_every_stretch_of_the_mix_holds_the_shares(spark, documents):
             assert all(abs(ranks[s] - n * t / sum(share.values())) < 6 for s, t in share.items())
 
 
-def test_ids_of_chunks_are_ids_of_texts(case):
+def test_ids_equal_those_of_the_vocabulary_file(case):
     import pyarrow as pa
 
     _, rows = case
-    plain, texts = Tokenizer.from_file(queries.TOKENIZER), [t or "" for _, t, *_ in rows]
-    found = list(ChunkTokenizer(queries.TOKENIZER).encode(pa.array(texts)))
+    plain, texts = Tokenizer.from_file(JSON), [t or "" for _, t, *_ in rows]
+    texts += [" " * 3000 + "x", "\n" * 5000, "a\u3000\u00a0b \u0085 c'S 'll''ve", "<|endoftext|><|endoftext|> x", "\U0001f600\u200d" * 50, "1234567 ½ ٣٤", " " * 1_500_000]
+    found = list(byte_bpe_50k().encode(pa.array(texts)))
     for text, ids in zip(texts, found, strict=True):
         assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
 def test_packing(case):
     df, rows = case
-    found = packing.pack(df, queries.TOKENIZER).collect()
-    plain, by_doc = Tokenizer.from_file(queries.TOKENIZER), Counter()
+    found = packing.pack(df, byte_bpe_50k).collect()
+    plain, by_doc = Tokenizer.from_file(JSON), Counter()
     for d, t, *_ in rows:
         data = np.array([*plain.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
         first = len(data) % 1024 or 1024
@@ -251,7 +254,7 @@ def test_plan_fills_exactly_where_it_can():
         quality.quality,
         mixing.mix,
         lambda df: hilbert_shards.hilbert_shards(df, 16),
-        lambda df: packing.pack(df, queries.TOKENIZER),
+        lambda df: packing.pack(df, byte_bpe_50k),
     ],
 )
 def test_empty_tables_give_empty_results(spark, operator):
