@@ -8,12 +8,12 @@ from catalogue.lexicon_sql import compound_ctes
 from catalogue.registry import query, table
 from catalogue.reviews import CLEANED_SQL, REVIEWS_SQL, cleaned, reviews
 from catalogue.text import TOKEN, _WHENS, _emoji_sql, normal_ctes, term_ctes
-from revlens.functions.vocab import NO_THEME
+from revlens.functions.vocab import LEXICON, NO_THEME
 from revlens.operators import language, sentiment
-from revlens.operators.lexicon import add_compound
-from revlens.plans.enrich import enrich_reviews, run_pipeline, stage
+from revlens.operators.lexicon import add_compound, add_compound_from_table
+from revlens.plans.enrich import enrich_reviews, run_pipeline
 from revlens.plans.explore import explore
-from revlens.session import fresh_path
+from revlens.session import fresh_path, stage
 from revlens.sources.files import report_export, text_as_lists, write_csv
 
 RAW = f"WITH {REVIEWS_SQL} "
@@ -26,6 +26,12 @@ def lexicon_scores(spark, folder):
     return add_compound(cleaned(spark, folder), "review").select("review_id", F.round("compound", 6).alias("compound"))
 
 
+@query("lexicon_scores_by_table", CLEANED + f", {compound_ctes('cleaned', 'review_id', 'review')} SELECT id AS review_id, round(compound, 6) AS compound FROM compounds")
+def lexicon_scores_by_table(spark, folder):
+    words = spark.createDataFrame([(w, float(v)) for w, v in LEXICON.items()], "word string, valence double")
+    return add_compound_from_table(cleaned(spark, folder), "review_id", "review", words).select("review_id", F.round("compound", 6).alias("compound"))
+
+
 def model_ctes(source: str, text: str, rating: str) -> str:
     """CTEs ending in `model(token, weight)`, trained on the rows of `source`."""
     return rf"""rated AS (SELECT {text} AS t, CASE WHEN {rating} >= 4 THEN 1 WHEN {rating} <= 2 THEN 0 END AS pos FROM {source}),

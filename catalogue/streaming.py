@@ -12,8 +12,7 @@ from revlens import schemas
 from revlens.functions.vocab import NO_THEME
 from revlens.operators.sentiment import label_from_rating, train_word_model
 from revlens.operators.warehouse import review_key
-from revlens.plans.enrich import stage
-from revlens.session import fresh_path
+from revlens.session import fresh_path, stage
 from revlens.streaming import jobs
 
 

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from revlens.functions.text import each, is_blank, words
+from revlens.session import stage
 
 MAX_TERMS = 1_000
-FOLLOWERS_PER_TERM = 10
 
 
 def word_pairs(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
@@ -32,25 +32,20 @@ def vocabulary(df: DataFrame, row_id: str, text: str, max_terms: int = MAX_TERMS
     The words are counted first. A pair is no more frequent than either of its words, so when its
     first word is not among the `max_terms` leading words, or its second word is rarer than the last
     of them, those words all rank before the pair. Only the other pairs are counted, and the long
-    tail of rare pairs is never shuffled.
+    tail of rare pairs is never shuffled. The words as frequent as the last leader are staged, so that
+    their number, which ties can make large, is known where they meet the pairs.
     """
     pairs = word_pairs(df.select(text), [], text)
     singles = df.select(each(words(text)).alias("word")).where("word is not null")
     counts = singles.groupBy("word").agg(F.count("*").alias("corpus_count"))
-    leaders = counts.orderBy(F.desc("corpus_count"), "word").limit(max_terms)
-    least = leaders.agg(F.min("corpus_count")).scalar()
-    # Words as frequent as the last leader: about `max_terms`, but ties can make them many. Beyond
-    # the bound of the broadcast every second word passes.
-    bound = FOLLOWERS_PER_TERM * max_terms
-    followers = counts.where(F.col("corpus_count") >= least)
-    n_followers = followers.agg(F.count("*")).scalar()
-    listed = followers.orderBy(F.desc("corpus_count"), "word").limit(bound)
-    listed = listed.select(F.col("word").alias("next"), F.lit(True).alias("_listed"))
+    first = [F.desc("corpus_count"), F.col("word")]
+    least = counts.orderBy(*first).limit(max_terms).agg(F.min("corpus_count")).scalar()
+    followers = stage(counts.where(F.col("corpus_count") >= least), "frequent-words")
+    leaders = followers.orderBy(*first).limit(max_terms)
     candidates = (
         pairs.where("next is not null")
         .join(F.broadcast(leaders.select("word")), "word")
-        .join(F.broadcast(listed), "next", "left")
-        .where(F.col("_listed") | (n_followers > bound))
+        .join(followers.select(F.col("word").alias("next")), "next", "left_semi")
     )
     paired = candidates.groupBy("word", "next").agg(F.count("*").alias("corpus_count"))
     terms = paired.select(F.concat("word", F.lit(" "), "next").alias("term"), "corpus_count")

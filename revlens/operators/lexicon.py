@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.functions.text import _col, words
 from revlens.functions.vocab import BOOSTERS, LEXICON, NEGATORS
+from revlens.operators.joins import spread_join
 
 # Fixed values of the published rule-based scorer (Hutto & Gilbert, 2014).
 NEGATION = -0.74
@@ -38,11 +39,21 @@ def compound(
     Each lexicon word is shifted by boosters and flipped by negators among the three words before
     it, weighed by its side of the first "but", summed, and raised by `!` and repeated `?`.
     """
+    valences = _table(lexicon)
+
+    def hits(tokens: Column) -> Column:
+        placed = F.transform(tokens, lambda word, i: F.struct(word.alias("word"), i.alias("i")))
+        known = F.filter(placed, lambda hit: hit["word"].isin(list(lexicon)))
+        return F.transform(known, lambda hit: F.struct(hit["i"].alias("i"), F.element_at(valences, hit["word"]).alias("own")))
+
+    return _compound(text, hits, negators, boosters)
+
+
+def _compound(text: Column | str, hits: Callable[[Column], Column], negators: Sequence[str], boosters: Mapping[str, float]) -> Column:
+    """The score, given the array (i, own) of the places and valences of a text's lexicon words."""
     scored = _let(
         sentiment_tokens(text),
-        lambda tokens: _let(
-            F.array_position(tokens, "but"), lambda but_at: _valence_sum(tokens, but_at, lexicon, negators, boosters)
-        ),
+        lambda tokens: _let(F.array_position(tokens, "but"), lambda but_at: _valence_sum(tokens, but_at, hits(tokens), negators, boosters)),
     )
     bangs = F.least(F.length(_col(text)) - F.length(F.replace(_col(text), F.lit("!"), F.lit(""))), F.lit(MAX_EXCLAMATIONS))
     questions = F.length(_col(text)) - F.length(F.replace(_col(text), F.lit("?"), F.lit("")))
@@ -58,15 +69,11 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _valence_sum(tokens: Column, but_at: Column, lexicon, negators, boosters) -> Column:
-    valences, boosts = _table(lexicon), _table(boosters)
-    hits = F.filter(
-        F.transform(tokens, lambda word, i: F.struct(word.alias("word"), i.alias("i"))),
-        lambda hit: hit["word"].isin(list(lexicon)),
-    )
+def _valence_sum(tokens: Column, but_at: Column, hits: Column, negators: Sequence[str], boosters: Mapping[str, float]) -> Column:
+    boosts = _table(boosters)
 
     def valence(hit: Column) -> Column:
-        own = F.element_at(valences, hit["word"])
+        own = hit["own"]
         value = own
         negated = F.lit(False)
         for distance, damping in enumerate(DAMPING, start=1):
@@ -81,6 +88,21 @@ def _valence_sum(tokens: Column, but_at: Column, lexicon, negators, boosters) ->
     return F.aggregate(hits, F.lit(0.0), lambda total, hit: total + valence(hit))
 
 
+def add_compound_from_table(
+    df: DataFrame, row_id: str, text: str, lexicon: DataFrame, out: str = "compound", negators: Sequence[str] = NEGATORS, boosters: Mapping[str, float] = BOOSTERS
+) -> DataFrame:
+    """The score under a lexicon given as a table `(word, valence)`, one row per word, of any size.
+
+    Ids, places and words meet the lexicon; the found places return to their rows.
+    """
+    tokens = df.select(row_id, F.posexplode(sentiment_tokens(text)).alias("i", "word"))
+    found = spread_join(tokens, lexicon.select("word", F.col("valence").cast("double").alias("own")), ["word"], spread_on=row_id)
+    lists = found.groupBy(row_id).agg(F.array_sort(F.collect_list(F.struct("i", "own"))).alias("_hits"))
+    none = F.array().cast("array<struct<i:int,own:double>>")
+    joined = df.join(lists, row_id, "left")
+    return joined.withColumn(out, _compound(text, lambda _: F.coalesce("_hits", none), negators, boosters)).drop("_hits")
+
+
 def add_compound(df: DataFrame, text: str, out: str = "compound", **tables) -> DataFrame:
     return df.withColumn(out, compound(text, **tables))
 

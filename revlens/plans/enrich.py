@@ -10,7 +10,7 @@ from revlens.operators.keywords import MAX_TERMS, attach_keywords, keyword_lists
 from revlens.operators.lexicon import lexicon_sentiment
 from revlens.operators.sentiment import add_sentiment, label_from_rating, train_word_model
 from revlens.operators.themes import add_themes
-from revlens.session import fresh_path
+from revlens.session import stage
 from revlens.sources.files import lists_as_text, load, read_csv, write_csv, write_parquet
 
 _ROW = "_row"
@@ -26,13 +26,6 @@ def prepare_text(reviews: DataFrame, text: str = "review_text", emoji_first: boo
     return reviews.withColumn("cleaned_text", cleaned)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """The table written once to the shared folder and read back: a lost executor repeats no work before it."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def enrich_reviews(
     reviews: DataFrame,
     model: DataFrame | None = None,

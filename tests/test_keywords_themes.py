@@ -5,7 +5,6 @@ from collections import Counter
 
 import pytest
 
-from revlens.operators import keywords
 from revlens.operators.keywords import add_keywords, term_weights, vocabulary
 from revlens.operators.themes import add_themes, assign_themes, themes_of_text
 
@@ -82,10 +81,8 @@ def test_keywords_equal_brute_force(spark, max_terms):
     assert all(weights[k] == pytest.approx(flat[k]) for k in flat)
 
 
-@pytest.mark.parametrize("per_term", [0, 1, 10])
 @pytest.mark.parametrize("max_terms", [1, 3, 7, 20, 500])
-def test_vocabulary_equals_brute_force_with_many_ties(spark, monkeypatch, per_term, max_terms):
-    monkeypatch.setattr(keywords, "FOLLOWERS_PER_TERM", per_term)
+def test_vocabulary_equals_brute_force_with_many_ties(spark, max_terms):
     rng = random.Random(max_terms)
     names = [f"{a}{b}" for a in "abcdef" for b in "xyz"]
     texts = [" ".join(rng.choices(names, weights=[30, 9, 9, 5] + [1] * 14, k=rng.randrange(12))) for _ in range(40)]

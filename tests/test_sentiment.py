@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revlens.operators import language, sentiment
-from revlens.operators.lexicon import compound
+from revlens.operators.lexicon import add_compound_from_table, compound
 
 TRAINING = [
     ("I love this amazing app", "positive"),
@@ -43,7 +43,7 @@ def test_blank_texts_and_texts_of_unknown_words_are_neutral(spark, model):
 
 def test_the_whole_text_counts(spark, model):
     long = "love " * 9_000
-    assert [label for label, _ in scored(spark, model, [long, long + "terrible " * 11_000])] == ["positive", "negative"]
+    assert [label for label, _ in scored(spark, model, [long, long + "terrible " * 30_000])] == ["positive", "negative"]
 
 
 def test_a_model_without_its_prior_still_scores(spark, model):
@@ -125,6 +125,17 @@ def test_compound_stays_in_range_and_takes_a_lexicon(one):
     assert one(compound("t", lexicon={"gut": 2.0}), "gut good") == pytest.approx(norm(2.0))
 
 
+def test_a_lexicon_of_ten_thousand_words_as_a_table(spark):
+    lexicon = {f"word{i}": (i % 9 - 4) / 2 for i in range(10_000)}
+    texts = [" ".join(f"word{(i * j * 37) % 12_000}" for j in range(40)) + " but not very word7!" * (i % 3) for i in range(30)] + ["", None, "none here"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    table = spark.createDataFrame(list(lexicon.items()), "word string, valence double")
+    got = {r["id"]: r["compound"] for r in add_compound_from_table(rows, "id", "t", table).collect()}
+    used = {w: v for w, v in lexicon.items() if any(t and w in t.split() for t in texts) or w == "word7"}
+    wanted = {r["id"]: r["c"] for r in rows.select("id", compound("t", used).alias("c")).collect()}
+    assert got == pytest.approx(wanted) and len(got) == 33
+
+
 def test_languages_are_told_apart(spark):
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     # Each text is on one side only: copies fall on the side of their text.
