@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from revlens.llm.common import map_batches, pieces, staged, texts
 from revlens.llm.kernel import SPACE, Texts, windows
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_digits", "n_upper", "n_stops")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_digits", "n_upper", "n_stops", "n_symbol_words", "n_doubled")
 
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 DIGITS = np.isin(np.arange(256), np.arange(48, 58))
@@ -31,6 +31,12 @@ CAPITALS = np.isin(np.arange(256), np.arange(65, 91))
 STOPS = np.isin(np.arange(256), np.frombuffer(b".,!?;:", np.uint8))
 
 
+def _per_text(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each text, how many of its words are flagged."""
+    running = np.concatenate([[0], np.cumsum(words)])
+    return running[first[1:]] - running[first[:-1]]
+
+
 def _repeated(flat: np.ndarray, width: int) -> int:
     """How many of the words lie in a run of `width` words that occurs twice or more."""
     if len(flat) <= width:
@@ -84,6 +90,12 @@ def counts(column: pa.Array) -> dict[str, np.ndarray]:
         found["n_digits"].append(t.sums(DIGITS[t.bytes]))
         found["n_upper"].append(t.sums(CAPITALS[t.bytes]))
         found["n_stops"].append(t.sums(STOPS[t.bytes]))
+        symbols = np.concatenate([[0], np.cumsum(SYMBOLS[t.bytes])])
+        found["n_symbol_words"].append(_per_text(symbols[t.ends] > symbols[t.starts], first))
+        doubled = np.zeros(len(hashes), bool)
+        doubled[1:] = hashes[1:] == hashes[:-1]
+        doubled[first[:-1][first[:-1] < len(hashes)]] = False
+        found["n_doubled"].append(_per_text(doubled, first))
     return {name: np.concatenate(parts).astype(np.int64) for name, parts in found.items()}
 
 
@@ -99,23 +111,29 @@ def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
     return map_batches(docs.select(*(F.col(f"`{c}`") for c in rest), F.col(text)), run, ", ".join([*kept, *(f"{c} long" for c in COUNTS)]))
 
 
-def _vote(good: Column, bad: Column) -> Column:
-    return F.when(good, 1).when(bad, -1).otherwise(0)
+def _bad(condition: Column) -> Column:
+    return F.when(condition, -1).otherwise(0)
 
 
 def votes() -> dict[str, Column]:
-    """The rules over the counts. A rule abstains between its two bounds."""
+    """The rules over the counts: a rule votes against a document or abstains, and one votes for plain prose.
+
+    Passing a rule says little for a document, so that most rules abstain then. Short texts and repeated runs of
+    words are the base rule's matter.
+    """
     words, chars = F.col("n_words"), F.col("word_chars")
-    share = lambda part, whole: F.when(whole > 0, part / whole).otherwise(0.0)
+    mean = F.when(words > 0, chars / words).otherwise(0.0)
+    plain = (F.col("n_symbols") == 0) & (F.col("n_dup_lines") == 0) & (F.col("n_doubled") * 50 <= words)
     return {
-        "length": _vote(words >= 50, words < 20),
-        "word_length": _vote(share(chars, words).between(3, 10), ~share(chars, words).between(2, 14)),
-        "symbols": _vote(F.col("n_symbols") * 100 <= words, F.col("n_symbols") * 10 > words),
-        "dup_lines": _vote(F.col("n_dup_lines") == 0, F.col("n_dup_lines") * 10 > F.col("n_lines") * 3),
-        "repeats": _vote(F.col("n_repeat_words") * 50 <= words, F.col("n_repeat_words") * 20 > words * 3),
-        "digits": _vote(F.col("n_digits") * 20 <= chars, F.col("n_digits") * 5 > chars),
-        "capitals": _vote(F.col("n_upper") * 10 <= chars, F.col("n_upper") * 10 > chars * 3),
-        "stops": _vote(F.col("n_stops") * 50 >= words, (words >= 50) & (F.col("n_stops") * 200 < words)),
+        "word_length": _bad(~mean.between(3, 12)),
+        "symbols": _bad(F.col("n_symbols") * 10 > words),
+        "symbol_words": _bad(F.col("n_symbol_words") * 20 > words),
+        "dup_lines": _bad(F.col("n_dup_lines") * 10 > F.col("n_lines") * 6),
+        "doubled": _bad(F.col("n_doubled") * 10 > words),
+        "digits": _bad(F.col("n_digits") * 2 > chars),
+        "capitals": _bad(F.col("n_upper") * 10 > chars * 3),
+        "stops": _bad((words >= 50) & (F.col("n_stops") * 200 < words)),
+        "prose": F.when((words >= 50) & plain & (F.col("n_stops") * 50 >= words), 1).otherwise(0),
     }
 
 
@@ -135,28 +153,28 @@ class VoteModel:
         return total
 
 
+ANCHOR_GOOD, ANCHOR_BAD, ANCHOR_PRIOR = (0.05, 0.45, 0.5), (0.5, 0.45, 0.05), 0.9
+ANCHOR_WEIGHT = 0.02
+
+
 def fit_patterns(patterns: np.ndarray, weights: np.ndarray, rounds: int = 200) -> VoteModel:
     """Expectation-maximisation over vote patterns (rows of -1, 0, 1) and how often each occurs.
 
-    It starts from rules that are right four times in five and 90 % good documents. A rule's odds never turn round:
-    a vote for good is kept at least as likely on good documents as on bad ones, and the reverse.
+    It starts from rules that are right when they speak and from 90 % good documents. The same belief stays
+    in every round with the weight of a fiftieth of the documents, so that classes cannot change sides and a rule that
+    hardly ever speaks keeps sensible odds.
     """
-    rules = patterns.shape[1]
-    good = np.tile([0.1, 0.3, 0.6], (rules, 1))
-    bad = np.tile([0.6, 0.3, 0.1], (rules, 1))
-    prior = 0.9
+    rules, belief = patterns.shape[1], ANCHOR_WEIGHT * weights.sum() + 1
+    good, bad, prior = np.tile(ANCHOR_GOOD, (rules, 1)), np.tile(ANCHOR_BAD, (rules, 1)), ANCHOR_PRIOR
     hot = patterns[:, :, None] == np.array([-1, 0, 1])
     for _ in range(rounds if weights.sum() else 0):
         odds = math.log(prior / (1 - prior)) + (hot * np.log(good / bad)).sum(axis=(1, 2))
         posterior = 1 / (1 + np.exp(-odds))
         before = prior
         yes, no = weights * posterior, weights * (1 - posterior)
-        prior = float(np.clip((yes.sum() + 9) / (weights.sum() + 10), 0.5, 0.999))
-        good = ((hot * yes[:, None, None]).sum(axis=0) + 1) / (yes.sum() + 3)
-        bad = ((hot * no[:, None, None]).sum(axis=0) + [2, 1, 1]) / (no.sum() + 4)
-        for i in range(rules):
-            if good[i, 2] < bad[i, 2] or good[i, 0] > bad[i, 0]:
-                good[i] = bad[i] = (good[i] + bad[i]) / 2
+        prior = float((yes.sum() + belief * ANCHOR_PRIOR) / (weights.sum() + belief))
+        good = ((hot * yes[:, None, None]).sum(axis=0) + belief * np.array(ANCHOR_GOOD)) / (yes.sum() + belief)
+        bad = ((hot * no[:, None, None]).sum(axis=0) + belief * np.array(ANCHOR_BAD)) / (no.sum() + belief)
         if abs(prior - before) < 1e-12:
             break
     return VoteModel(prior, tuple(map(tuple, good.tolist())), tuple(map(tuple, bad.tolist())))

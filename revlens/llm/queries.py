@@ -4,19 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import revlens.llm
 from revlens.llm import hilbert_shards, license_scan, mixing, packing, parity_join, quality, surrogates, token_trees, url_rules, vantage
 from revlens.llm.common import table
 from revlens.llm.tokens import byte_bpe_50k
 from revlens.llm.oracles import ORACLES  # noqa: F401
 
-# workers of a session that was started elsewhere may not find the package; its functions travel with the job
-cloudpickle.register_pickle_by_value(revlens.llm)
-
 SURROGATE_KEY = b"registered query"
 
 
