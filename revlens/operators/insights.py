@@ -108,6 +108,7 @@ def report_lines(df: DataFrame, top_n: int = 3) -> DataFrame:
         ranked.groupBy("bank").agg(lines(DRIVER).alias("_d"), lines(PAIN).alias("_p")), "bank", "left"
     )
     none = F.array().cast("array<string>")
+    # The headings of the page.
     page = F.concat(
         F.array(
             F.concat(F.lit("📌 Insights for "), F.col("bank")), F.lit(""), F.lit("✅ Top Drivers (Positive Themes):")

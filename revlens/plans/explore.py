@@ -18,6 +18,7 @@ from revlens.operators.columns import (
 from revlens.operators.language import keep_language
 from revlens.operators.rows import drop_duplicate_rows, drop_missing
 
+# Column names of the store's export.
 UNUSED = ("reviewId", "userImage", "reviewCreatedVersion", "replyContent", "repliedAt")
 NAMES = {"content": "review", "score": "rating", "at": "date"}
 

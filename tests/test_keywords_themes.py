@@ -8,6 +8,7 @@ import pytest
 from revlens.operators.keywords import add_keywords, term_weights, vocabulary
 from revlens.operators.themes import add_themes, assign_themes, themes_of_text
 
+# Keyword lists and the themes they must give.
 THEMES = [
     (["login issue", "password reset"], ["Account Access Issues"]),
     (["app crash", "very slow"], ["Reliability", "Transaction Performance"]),

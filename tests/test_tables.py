@@ -202,6 +202,7 @@ def test_catalog_listing(spark):
     assert got == [("listed_view", "TEMPORARY", "id", "bigint"), ("listed_view", "TEMPORARY", "note", "string")]
 
 
+# Reviews of the scoring chain.
 REVIEWS = [
     (1, "I can't log in to my account. Very frustrating!", 1),
     (2, "Great app! Love the new design and features. 😍", 5),

@@ -5,6 +5,7 @@ from revlens.functions import dates, lists, text
 from revlens.functions.vocab import EMOJI_WORDS, LEMMAS, STOP_WORDS
 from revlens.operators.normalise import add_cleaned_text_from_tables
 
+# Texts and their normal forms.
 NORMALISED = [
     ("Best Mobile Banking App EVER!", "good mobile banking app"),
     ("It was good, but it doesn't work right.", "good not work right"),
