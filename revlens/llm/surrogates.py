@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -151,19 +152,16 @@ def rendered(kind: str, value: str, replacement: str) -> str:
 SPANS = "array<struct<kind:string,start:int,stop:int,value:string>>"
 
 
-def _wrapped(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(text).alias("body"))
-
-
 def _detected(docs: DataFrame, text: str, with_entities: bool) -> DataFrame:
     """(doc, spans) of the documents with entities, or (doc) of those without."""
-    inner = _wrapped(docs, text)
+    inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("value", pa.string())]))
         for batch in batches:
             rows, spans = [], []
-            for row, value in enumerate(batch.column(1).to_pylist()):
+            for row, value in enumerate(batch.column(0).field(text)):
+                value = value.as_py()
                 found = find(value)
                 if bool(found) == with_entities:
                     rows.append(row)
@@ -219,16 +217,16 @@ def replace_pii(docs: DataFrame, key: bytes, text: str = "text", count: str | No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for value, changes in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                parts, at = [], 0
+            for value, changes in zip(batch.column(0).field(text), batch.column(1), strict=True):
+                value, changes, parts, at = value.as_py(), changes.as_py(), [], 0
                 for c in sorted(changes, key=lambda c: c["start"]):
                     parts += [value[at : c["start"]], rendered(c["kind"], value[c["start"] : c["stop"]], c["surrogate"])]
                     at = c["stop"]
                 out.append("".join([*parts, value[at:]]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array([len(c) for c in batch.column(2).to_pylist()], pa.int64())], names=["doc", "body", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array(pc.list_value_length(batch.column(1)), pa.int64())], names=["doc", "body", "n"])
 
     doc = f"doc {found.schema['doc'].dataType.simpleString()}"
-    changed = found.select("row", "doc").join(named, "row").select("doc", F.col("doc").getField(text).alias("body"), "changes").mapInArrow(run, f"{doc}, body string, n long")
+    changed = found.select("row", "doc").join(named, "row").select("doc", "changes").mapInArrow(run, f"{doc}, body string, n long")
     plain = _detected(docs, text, False).select("doc", F.col("doc").getField(text).alias("body"), F.lit(0).cast("long").alias("n"))
     both = changed.union(plain)
     columns = [F.col("body").alias(c) if c == text else F.col("doc").getField(c).alias(c) for c in docs.columns if c != count]
