@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.operators.warehouse import new_facts, report_extract
 
+MONTH = "month"
+
 # Names of the tables and columns of the store.
 REPORT_QUERY = """
     SELECT b.NAME AS bank_name, r.REVIEW_TEXT AS review_text, r.RATING AS rating, r.REVIEW_DATE AS review_date,
@@ -46,15 +48,24 @@ def write_facts_jdbc(facts: DataFrame, url: str, table: str = "REVIEWS", batch_s
     writer.save()
 
 
-def append_facts(facts: DataFrame, path: str) -> None:
-    """Append the facts that the stored table lacks, so that a repeated load changes nothing."""
+def append_facts(facts: DataFrame, path: str, date: str = "review_date") -> None:
+    """Append the facts that the stored table lacks, so that a repeated load changes nothing.
+
+    Facts with a date are stored by its month. An id comes from its fact's content, the date included, so that a load is
+    compared with the months it touches alone; the others are pruned. Facts without such a column meet all stored ids.
+    """
+    dated = date in facts.columns
+    if dated:
+        facts = facts.withColumn(MONTH, F.coalesce(F.date_format(date, "yyyy-MM"), F.lit("none")))
     try:
         stored = facts.sparkSession.read.schema(facts.schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         stored = facts.limit(0)
-    new_facts(facts, stored).write.mode("append").parquet(path)
+    if dated:
+        stored = stored.join(facts.select(MONTH).distinct(), MONTH, "left_semi")
+    new_facts(facts, stored).write.mode("append").partitionBy(*([MONTH] if dated else [])).parquet(path)
 
 
 def list_columns(spark: SparkSession, database: str | None = None) -> DataFrame:

@@ -171,6 +171,10 @@ def test_repeated_load_appends_nothing(spark):
     warehouse.append_facts(first, path)
     warehouse.append_facts(facts_of(spark, [("A", "x", "4", "2024-01-01"), ("B", "n", "4", "2024-01-01")]), path)
     assert spark.read.parquet(path).count() == 2
+    undated = facts_of(spark, [("A", "x", "4", None), ("A", "y", "4", "2024-03-05")])
+    for _ in range(2):
+        warehouse.append_facts(undated, path)
+    assert spark.read.parquet(path).count() == 4
 
 
 def test_jdbc_options():
