@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,8 +29,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def texts(column: pa.Array) -> pa.Array:
-    """The column as plain strings, null as empty."""
-    return pc.fill_null(column.cast(pa.string()), "")
+    """The column as plain strings, null as empty; not copied if nothing is to be done."""
+    column = column if column.type == pa.string() else column.cast(pa.string())
+    return pc.fill_null(column, "") if column.null_count else column
 
 
 def pieces(column: pa.Array, target: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -43,11 +45,22 @@ def pieces(column: pa.Array, target: int = 1 << 20) -> Iterator[tuple[int, int]]
         start = stop
 
 
+def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what the one before left behind is given back to the system, because workers live on between tasks."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        if trim is not None:
+            trim(0)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply a function to every Arrow batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             if batch.num_rows:
                 yield function(batch)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import LOWER, UPPER, texts
+from revlens.llm.common import LOWER, UPPER, one_by_one, texts
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD = 0.9
@@ -70,7 +70,7 @@ def block_frequencies(docs: DataFrame, tokens: frozenset[str], text: str = "text
     """In how many blocks of all documents each of the tokens stands. Counted per batch before they move."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             counts: Counter[str] = Counter()
             for value in texts(batch.column(0)):
                 for line in value.as_py().split("\n"):
@@ -137,7 +137,7 @@ def license_scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), match_type]
         names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches"]
-        for batch in batches:
+        for batch in one_by_one(batches):
             if batch.num_rows:
                 columns = zip(*(scan(v.as_py()) for v in texts(batch.column(1))), strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=["doc_id", *names])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from revlens.llm.common import staged, texts
+from revlens.llm.common import one_by_one, staged, texts
 from revlens.llm.tokens import Encoder
 
 CAPACITY = 1024
@@ -36,7 +36,7 @@ def pieces(docs: DataFrame, tokenizer: Callable[[], Encoder], text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer()
-        for batch in batches:
+        for batch in one_by_one(batches):
             owner, number, starts, lengths, sums = [], [], [], [], []
             for row, ids in enumerate(encoder.encode(texts(batch.column(1)))):
                 data = np.append(ids, end).astype("<u4")
@@ -149,7 +149,7 @@ def pack(docs: DataFrame, tokenizer: Callable[[], Encoder], text: str = "text",
     where = places(plan(counts, capacity), capacity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             lengths, ranks = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             sequence, offset = np.zeros(len(ranks), np.int64), np.zeros(len(ranks), np.int64)
             for length in np.unique(lengths):

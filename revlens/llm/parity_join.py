@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from revlens.llm.bloom import bit_set, held, may_hold
-from revlens.llm.common import components, pieces, staged, texts
+from revlens.llm.common import components, one_by_one, pieces, staged, texts
 from revlens.llm.kernel import Texts, mixed, windows
 
 WIDTH = 4
@@ -109,12 +109,12 @@ def band_keys(elements: np.ndarray, threshold: int, sizes: np.ndarray) -> np.nda
     return np.concatenate(out)
 
 
-def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
+def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The sets of a column, a few texts at a time: the first row's number and a list."""
     for start, stop in pieces(column):
         t = Texts(column.slice(start, stop - start), lower=True)
         words, first = t.word_hashes(), t.word_first
-        for i in range(t.n):
-            yield shingle_set(words[first[i] : first[i + 1]], width)
+        yield start, [shingle_set(words[first[i] : first[i + 1]], width) for i in range(t.n)]
 
 
 def sketches(docs: DataFrame, text: str, width: int, threshold: int) -> DataFrame:
@@ -122,20 +122,21 @@ def sketches(docs: DataFrame, text: str, width: int, threshold: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, seen = layouts(threshold), set()
-        for batch in batches:
-            n, ids, narrow, keys = [], [], [], []
-            for elements in _sets(texts(batch.column(1)), width):
-                n.append(len(elements))
-                ids.append(fingerprint(elements) if len(elements) else None)
-                new = len(elements) > 0 and ids[-1] not in seen
-                if new:
-                    seen.add(ids[-1])
-                narrow.append(narrow_sketch(elements) if new else None)
-                keys.append(band_keys(elements, threshold, sizes) if new else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), pa.array(narrow, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_id", "sketch", "keys"],
-            )
+        for batch in one_by_one(batches):
+            for start, sets in _sets(texts(batch.column(1)), width):
+                n, ids, narrow, keys = [], [], [], []
+                for elements in sets:
+                    n.append(len(elements))
+                    ids.append(fingerprint(elements) if len(elements) else None)
+                    new = len(elements) > 0 and ids[-1] not in seen
+                    if new:
+                        seen.add(ids[-1])
+                    narrow.append(narrow_sketch(elements) if new else None)
+                    keys.append(band_keys(elements, threshold, sizes) if new else None)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, len(sets)), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), pa.array(narrow, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "set_id", "sketch", "keys"],
+                )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, n_shingles long, set_id long, sketch binary, keys array<long>")
@@ -147,17 +148,18 @@ def wanted_sets(docs: DataFrame, text: str, width: int, wanted: np.ndarray) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
-            ids, sets = [], []
-            for elements in _sets(texts(batch.column(0)), width):
-                if len(elements):
-                    one = fingerprint(elements)
-                    if one not in seen and may_hold(shared.value, np.array([one], np.int64))[0]:
-                        seen.add(one)
-                        ids.append(one)
-                        sets.append(elements.tobytes())
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["set_id", "elements"])
+        for batch in one_by_one(batches):
+            for _, some in _sets(texts(batch.column(0)), width):
+                ids, sets = [], []
+                for elements in some:
+                    if len(elements):
+                        one = fingerprint(elements)
+                        if one not in seen and may_hold(shared.value, np.array([one], np.int64))[0]:
+                            seen.add(one)
+                            ids.append(one)
+                            sets.append(elements.tobytes())
+                if ids:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["set_id", "elements"])
 
     return docs.select(text).mapInArrow(run, "set_id long, elements binary")
 
@@ -175,7 +177,7 @@ def bounded(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) that sizes and the Hamming distance of the narrow sketches leave."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             if batch.num_rows:
                 differing = np.bitwise_count(_bits(batch.column("sa")) ^ _bits(batch.column("sb"))).sum(axis=1, dtype=np.int64)
                 na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
@@ -191,7 +193,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) whose sets meet the threshold, compared whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             keep = []
             for x, y in zip(batch.column("ea"), batch.column("eb"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
@@ -217,8 +219,8 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
     def pairs(part: dict[str, np.ndarray], key: int, i: int, j: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         left = np.flatnonzero(part["part"] == i)
         right = np.flatnonzero(part["part"] == j)
-        for start in range(0, len(left), 256):
-            rows = left[start : start + 256]
+        for start in range(0, len(left), 64):
+            rows = left[start : start + 64]
             differing = np.bitwise_count(part["sketch"][rows][:, None, :] ^ part["sketch"][right][None, :, :]).sum(axis=2, dtype=np.int64)
             na, nb = part["n"][rows][:, None], part["n"][right][None, :]
             good = _linked(na, nb, np.maximum(differing, np.abs(na - nb)), threshold) & (part["component"][rows][:, None] != part["component"][right][None, :])
@@ -248,7 +250,7 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
                 if new:
                     yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*new, strict=True)], names=["a", "b"])
 
-        for batch in batches:
+        for batch in one_by_one(batches):
             if not batch.num_rows:
                 continue
             rows = {c: batch.column(c).to_numpy() for c in ("key", "i", "j", "part", "set_id", "n", "component")}
@@ -330,11 +332,11 @@ def one_per_class(docs: DataFrame, text: str = "text", width: int = WIDTH, thres
     marks = bit_set(touched, "mark")
     flagged = docs.withColumn("_held", held(F.xxhash64("doc_id"), marks))
     plain = flagged.where(~F.col("_held")).drop("_held")
-    inner = docs.where(held(F.xxhash64("doc_id"), marks)).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(text).alias("body"))
+    inner = docs.where(held(F.xxhash64("doc_id"), marks)).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [fingerprint(e) if len(e) else None for e in _sets(texts(batch.column(1)), width)]
+        for batch in one_by_one(batches):
+            ids = [fingerprint(e) if len(e) else None for _, sets in _sets(texts(batch.column(0).field(text)), width) for e in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.int64())], names=["doc", "set_id"])
 
     told = staged(inner.mapInArrow(run, f"doc {inner.schema['doc'].dataType.simpleString()}, set_id long"), "told_apart")

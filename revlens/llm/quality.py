@@ -203,5 +203,11 @@ def quality(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> Data
 def kept_documents(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The documents that are kept, all columns. The model is fitted on all of them; verdicts are then made row by row."""
     model = fit_votes(text_features(docs.select(text), text))
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(text).alias("_text"))
-    return judged(text_features(whole, "_text"), model, threshold).where("kept").select("doc.*")
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = counts(texts(batch.column(0).field(text)))
+        return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[c]) for c in COUNTS)], names=["doc", *COUNTS])
+
+    counted = map_batches(whole, run, ", ".join([f"doc {whole.schema['doc'].dataType.simpleString()}", *(f"{c} long" for c in COUNTS)]))
+    return judged(counted, model, threshold).where("kept").select("doc.*")

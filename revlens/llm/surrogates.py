@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from revlens.llm.common import staged
+from revlens.llm.common import one_by_one, staged
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 PATTERNS = (
@@ -158,7 +158,7 @@ def _detected(docs: DataFrame, text: str, with_entities: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("value", pa.string())]))
-        for batch in batches:
+        for batch in one_by_one(batches):
             rows, spans = [], []
             for row, value in enumerate(batch.column(0).field(text)):
                 value = value.as_py()
@@ -182,7 +182,7 @@ def mapping(entities: DataFrame, key: bytes) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             kinds, values, attempts = (batch.column(i).to_pylist() for i in range(3))
             drawn = [surrogate(key, k, v, n) for k, v, n in zip(kinds, values, attempts, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(drawn, pa.string())], names=["kind", "value", "attempt", "surrogate"])
@@ -215,7 +215,7 @@ def replace_pii(docs: DataFrame, key: bytes, text: str = "text", count: str | No
     named = spans.join(drawn, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("start", "stop", "kind", "surrogate")).alias("changes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             out = []
             for value, changes in zip(batch.column(0).field(text), batch.column(1), strict=True):
                 value, changes, parts, at = value.as_py(), changes.as_py(), [], 0

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import texts
+from revlens.llm.common import one_by_one, texts
 from revlens.llm.tokens import Encoder
 
 SEGMENT = 256
@@ -115,7 +115,7 @@ def trees(docs: DataFrame, tokenizer: Callable[[], Encoder], text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(tokenizer())
-        for batch in batches:
+        for batch in one_by_one(batches):
             if not batch.num_rows:
                 continue
             column = texts(batch.column(1))
@@ -142,7 +142,7 @@ def edited(built: DataFrame, tokenizer: Callable[[], Encoder], edits: str = "edi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(tokenizer())
-        for batch in batches:
+        for batch in one_by_one(batches):
             out = []
             for text, lengths, tree, wanted in zip(*(batch.column(i) for i in range(1, 5)), strict=True):
                 wanted = [(e["start"], e["stop"], e["replacement"]) if e else (None, None, None) for e in wanted.as_py() or ()]

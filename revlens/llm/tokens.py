@@ -20,8 +20,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, special: dict[str, int] | None = None, fallback: str | None = None):
-        self.plain = Tokenizer.from_file(path if path.endswith(".json") else fallback) if path.endswith(".json") or fallback else None
-        self.fast = None
+        self.path, self.plain, self.fast = path if path.endswith(".json") else fallback, None, None
         if not path.endswith(".json"):
             with open(path, "rb") as lines:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -32,8 +31,10 @@ class Encoder:
             try:
                 return self.fast.encode_to_numpy(text, allowed_special="all")
             except BaseException as refused:  # the library's own panics are no Exceptions
-                if self.plain is None or isinstance(refused, KeyboardInterrupt | SystemExit):
+                if self.path is None or isinstance(refused, KeyboardInterrupt | SystemExit):
                     raise
+        if self.plain is None:
+            self.plain = Tokenizer.from_file(self.path)
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
