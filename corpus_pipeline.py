@@ -12,6 +12,8 @@ from revlens.llm.tokens import byte_bpe_50k
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 KEY = b"corpus pipeline"
+# Near copies: runs of five words with a Jaccard of 0.8. The other values of op5 are that query's own.
+NEAR_WIDTH, NEAR_THRESHOLD = 5, 80
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +23,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group that links connect."""
-    return parity_join.one_per_class(docs)
+    return parity_join.one_per_class(docs, width=NEAR_WIDTH, threshold=NEAR_THRESHOLD)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,3 +67,22 @@ def test_one_document_of_each_class_stays(spark):
     assert not set(found) - set(rows)
     kept = {r[0] for r in found if brute.shingles(r[1])}
     assert 1 in kept and 20 in kept and 7 not in kept and len([r for r in found if r[0] == 20]) == 2
+
+
+def test_near_duplicates_take_five_words_and_four_fifths(spark):
+    words = [f"w{i}" for i in range(1000)]
+    longer = [*words, *(f"x{i}" for i in range(200))]
+    scattered = [f"y{i}" if i % 47 == 20 else w for i, w in enumerate(words)]
+    apart = [f"z{i}" if i % 40 == 20 else w for i, w in enumerate(words)]
+    other = [f"v{i}" for i in range(500)]
+    rows = [(21, words), (22, longer), (23, scattered), (24, words[:830]), (25, apart), (26, other), (27, other[:390])]
+    rows = [(i, " ".join(t), "en", "a") for i, t in rows]
+    sets = {i: brute.shingles(t, 5) for i, t, *_ in rows}
+    share = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert all(0.8 <= share(21, i) < 0.85 for i in (22, 23, 24)) and all(share(i, 25) < 0.8 for i in sets if i != 25) and share(26, 27) < 0.8
+    docs = spark.createDataFrame([*rows, *((i + 50, *r[1:]) for i, r in enumerate(rows)), *ODD[:4]], "doc_id long, text string, lang string, source string")
+    had = rows_of(docs)
+    firsts = {c for _, _, c in brute.jaccard_components([r[:2] for r in had], width=5, threshold=80)}
+    kept = rows_of(dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, FOLDER))
+    assert {r[0] for r in kept if r[1] and r[1].split()} == {r[0] for r in had if r[0] in firsts and r[1] and r[1].split()}
+    assert {21, 25, 26, 27} <= {r[0] for r in kept} and not {22, 23, 24, 71} & {r[0] for r in kept}
