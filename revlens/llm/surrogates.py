@@ -1,7 +1,13 @@
 """Personal data replaced by keyed surrogates of the same type, format, script and gender.
 
 Entities are found by pattern, and each is known by its canonical form (letter case and separators aside), so that one
-person's number is one entity however it is written. A keyed hash of type and canonical form draws the surrogate:
+person's number is one entity however it is written: phones, social security numbers and bare digits are of one kind.
+Names follow a title: all capitalised words up to the first that is none, lower-case particles between them ("van der")
+aside. Each word of a name is an entity, so that full name, title with surname and bare surname get the same surrogates.
+Where a document has a titled name, its words (initials aside) are names in the whole document, and so are known given
+names and initials right before them. Words in lower case are no names, nor are the function words of `NOT_NAMES`.
+
+A keyed hash of type and canonical form draws the surrogate:
 digits for digits, letters for letters of the same script, case and kind; given names that tell a gender become names
 of that gender. All distinct entities of the corpus then go through a collision check: surrogates that two entities
 share, or that are real entities themselves, are drawn again until all are distinct. Every occurrence gets its entity's
@@ -19,7 +25,6 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,17 +41,108 @@ PATTERNS = (
     ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\w)|(?<![\w+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w)")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
     ("number", re.compile(r"(?<!\w)\d(?:[ -]?\d){12,18}(?!\w)|(?<!\w)\d{7,}(?!\w)")),
-    ("name", re.compile(r"\b(?:Mr|Mrs|Ms|Miss|Mme|Mlle|Herr|Frau|Señora?|Monsieur|Madame|Господин|Госпожа)\.? ((?:[^\W\d_]+[ -])?[^\W\d_]+)")),
 )
-_HINT = re.compile(r"[@0-9]|(?i:password|passwd|secret|token|api_?key)|Mr|Ms|Miss|Mme|Mlle|Herr|Frau|Señor|Monsieur|Madame|Госп")
+TITLES = "Mr Mrs Ms Miss Mme Mlle Dr Prof Doctor Professor Herr Frau Señor Señora Monsieur Madame Господин Госпожа".split()
+_BREAK = r"(?:[^\S\n]{0,8}\n)?[^\S\n]{0,8}"
+_TITLE = re.compile(rf"\b(?:(?:{'|'.join(TITLES)})(?:\.|(?=\s)){_BREAK})+")
+_NAME_WORD = re.compile(r"(?<!\w)(?:[^\W\d_]{1,2}['’])?[^\W\d_]+(?!\w)")
+_GAP = re.compile(r"[ \xa0]{1,2}|-")
+_INITIAL_GAP = re.compile(r"\.?[ \xa0]{0,2}-?")
+_HINT = re.compile(r"[@0-9]|(?i:password|passwd|secret|token|api_?key)|Mr|Ms|Miss|Mme|Mlle|Dr|Prof|Doctor|Herr|Frau|Señor|Monsieur|Madame|Госп")
 
 # Given names that tell a gender.
 MALE = ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Louis", "Marco", "Noah", "Oscar", "Paul", "Robert", "Simon", "Thomas", "Victor")
 FEMALE = ("Alice", "Berta", "Clara", "Diana", "Emma", "Flora", "Greta", "Helena", "Irene", "Julia", "Klara", "Laura", "Maria", "Nora", "Olga", "Paula", "Rosa", "Sofia", "Teresa", "Vera")
 
+# Lower-case words inside a name, capitalised words that end one, and those that stand in names too but are not sought elsewhere.
+PARTICLES = frozenset("van von der den de la le di da dos del du el bin ibn ter ten zu zur".split())
+NOT_NAMES = frozenset(
+    "a after all also although and any are as at because been before both but by can could did does each every for from had has have he here his how i if in is it its jr "
+    "my nor not of on once or our she should since some sr such than that the their them then there these they this those though to until was we were what when where which "
+    "while whose why with would yes you your ii iii iv "
+    "aber als am auch auf aus bei das dem der die doch ein eine er es für hat ich ihr im in ist mit nach nicht nun oder seit sie sind und vom von vor war warum was wenn wer wie wir wo zu zum zur "
+    "après avec ce cette dans des elle elles en est et il ils je les leur lui mais nous ou où par pour qui sans ses son sur un une vous "
+    "con cuando del ella ellos en es esta este fue ha las los no para pero por que se si sin su sus un una y "
+    "в и из к на не но о он она они от по с это".split()
+) | {t.casefold() for t in TITLES}
+EITHER = frozenset("an do few her many may more most no now one so who will yet ambassador chairman director judge justice mayor minister president secretary senator speaker".split())
+
+GIVEN = frozenset(n.casefold() for n in MALE + FEMALE)
 _SCRIPTS = (("aeiou", "bcdfghjklmnprstvwxyz"), ("аеиоу", "бвгдзклмнпрстфхц"), ("αεηιου", "βγδζκλμνπρστφχ"))
 
 
+def _name(text: str, at: int) -> list[tuple[int, int]]:
+    """The places of the words of a name that begins there; none if the first word is no name."""
+    out: list[tuple[int, int]] = []
+    first = at
+    while m := _NAME_WORD.match(text, at):
+        word = m[0]
+        if not (word in PARTICLES and (out or word not in ("der", "den", "zur") or at > first)):
+            if _low(word) or word.casefold() in NOT_NAMES and not (len(word) == 1 and text[m.end() : m.end() + 1] == "."):
+                break
+            out.append(m.span())
+        gap = (_INITIAL_GAP if len(word) == 1 else _GAP).match(text, m.end())
+        if not gap or gap.end() == m.end():
+            break
+        at = gap.end()
+    return out
+
+
+def names(text: str) -> list[tuple[int, int]]:
+    """(start, stop) of the titled names and of the other places where words of these names stand."""
+    titled = {m.end(): words for m in _TITLE.finditer(text) if (words := _name(text, m.end()))}
+    if not titled:
+        return []
+    known = {_folded(text[a:b]) for words in titled.values() for a, b in words} - EITHER
+    out: list[tuple[int, int]] = []
+    lead: tuple[int, int] | None = None  # given names and initials that a known word may follow
+    at = 0
+    while m := _NAME_WORD.search(text, at):
+        start, at = m.span()
+        if start in titled:
+            at = titled[start][-1][1]
+            out.append((titled[start][0][0], at))
+            lead = None
+            continue
+        word, low = m[0], _folded(m[0])
+        if lead and not _joined(text, lead[1], start):
+            lead = None
+        if len(word) > 1 and not _low(word) and low in known:
+            start = lead[0] if lead else start
+            if out and _joined(text, out[-1][1], start):
+                start = out.pop()[0]
+            out.append((start, at))
+            lead = None
+        elif not _low(word) and (low in GIVEN or len(word) == 1 and text[at : at + 1] == "."):
+            lead = (lead[0] if lead else start, at)
+        else:
+            lead = None
+    return out
+
+
+def _joined(text: str, stop: int, start: int) -> bool:
+    """Whether a word that ends and one that starts there are one name: one gap lies between them."""
+    gap = _INITIAL_GAP if stop < 2 or not text[stop - 2].isalpha() else _GAP
+    return stop < start and gap.fullmatch(text, stop, start) is not None
+
+
+def _low(word: str) -> bool:
+    """Whether a word is written small; d'Angelo is not."""
+    return word[0].islower() and not re.match(r"\w\w?['’](?=\w)", word[:4]) or word.islower()
+
+
+def _folded(word: str) -> str:
+    return word.casefold().replace("’", "'")
+
+
+def entities(kind: str, text: str, start: int, stop: int) -> list[dict]:
+    """The entities of a place: the words of a name, or the one that it is; the first is marked."""
+    if kind != "name":
+        return [{"kind": "number" if kind in ("phone", "ssn") else kind, "start": start, "stop": stop, "value": canonical(kind, text[start:stop]), "first": True}]
+    places = [m.span() for m in _NAME_WORD.finditer(text, start, stop) if text[m.start() : m.end()] not in PARTICLES]
+    return [{"kind": kind, "start": a, "stop": b, "value": _folded(text[a:b]), "first": n == 0} for n, (a, b) in enumerate(places)]
+
+
 def find(text: str | None) -> list[tuple[str, int, int]]:
     """(type, start, stop) of the entities, in order, none overlapping."""
     if not text or not _HINT.search(text):
@@ -56,6 +152,7 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
         for m in pattern.finditer(text):
             group = m.lastindex or 0
             found.append((m.start(group), -m.end(group), order, kind))
+    found += [(start, -stop, len(PATTERNS), "name") for start, stop in names(text)]
     out, at = [], 0
     for start, stop, _, kind in sorted(found):
         if start >= at:
@@ -114,10 +211,11 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     if kind == "iban":
         return value[:2] + "".join(map(draw.like, value[2:] + "0" * longer))
     if kind == "name":
+        longer = attempt if len(value) == 1 else longer
         parts = re.split(r"([ -])", value)
         for pool in (MALE, FEMALE):
             if parts[0] in {n.casefold() for n in pool}:
-                parts[0] = pool[draw.below(len(pool))].casefold()
+                parts[0] = "-".join(pool[draw.below(len(pool))].casefold() for _ in range(1 if attempt < 3 else 2))  # double names when single ones run out
                 rest = range(2, len(parts), 2)
                 break
         else:
@@ -141,15 +239,15 @@ def rendered(kind: str, value: str, replacement: str) -> str:
             out.append(next(left, "") if c.isalnum() else c)
         return "".join(out) + "".join(left)
     if kind == "name":
-        if value.isupper():
+        if value.isupper() and len(value) > 1:
             return replacement.upper()
-        return re.sub(r"(^|[ -])(\w)", lambda m: m[1] + m[2].upper(), replacement) if value[:1].isupper() else replacement
+        return re.sub(r"(^|[ '-])(\w)", lambda m: m[1] + m[2].upper(), replacement) if value[:1].isupper() else replacement
     if kind == "email" and value.isupper():
         return replacement.upper()
     return replacement
 
 
-SPANS = "array<struct<kind:string,start:int,stop:int,value:string>>"
+SPANS = "array<struct<kind:string,start:int,stop:int,value:string,first:boolean>>"
 
 
 def _detected(docs: DataFrame, text: str, with_entities: bool) -> DataFrame:
@@ -157,7 +255,7 @@ def _detected(docs: DataFrame, text: str, with_entities: bool) -> DataFrame:
     inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("value", pa.string())]))
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("value", pa.string()), ("first", pa.bool_())]))
         for batch in one_by_one(batches):
             rows, spans = [], []
             for row, value in enumerate(batch.column(0).field(text)):
@@ -165,7 +263,7 @@ def _detected(docs: DataFrame, text: str, with_entities: bool) -> DataFrame:
                 found = find(value)
                 if bool(found) == with_entities:
                     rows.append(row)
-                    spans.append([{"kind": k, "start": a, "stop": b, "value": canonical(k, value[a:b])} for k, a, b in found])
+                    spans.append([e for k, a, b in found for e in entities(k, value, a, b)])
             if rows:
                 doc = batch.column(0).take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays([doc, pa.array(spans, kind)] if with_entities else [doc], names=["doc", "spans"] if with_entities else ["doc"])
@@ -212,18 +310,19 @@ def replace_pii(docs: DataFrame, key: bytes, text: str = "text", count: str | No
     found = staged(_detected(docs, text, True).withColumn("row", F.monotonically_increasing_id()), "pii")
     spans = found.select("row", F.explode("spans").alias("s")).select("row", "s.*")
     drawn = mapping(spans.select("kind", "value"), key)
-    named = spans.join(drawn, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("start", "stop", "kind", "surrogate")).alias("changes"))
+    named = spans.join(drawn, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("start", "stop", "kind", "surrogate", "first")).alias("changes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_by_one(batches):
-            out = []
+            out, n = [], []
             for value, changes in zip(batch.column(0).field(text), batch.column(1), strict=True):
                 value, changes, parts, at = value.as_py(), changes.as_py(), [], 0
                 for c in sorted(changes, key=lambda c: c["start"]):
                     parts += [value[at : c["start"]], rendered(c["kind"], value[c["start"] : c["stop"]], c["surrogate"])]
                     at = c["stop"]
                 out.append("".join([*parts, value[at:]]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array(pc.list_value_length(batch.column(1)), pa.int64())], names=["doc", "body", "n"])
+                n.append(sum(c["first"] for c in changes))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array(n, pa.int64())], names=["doc", "body", "n"])
 
     doc = f"doc {found.schema['doc'].dataType.simpleString()}"
     changed = found.select("row", "doc").join(named, "row").select("doc", "changes").mapInArrow(run, f"{doc}, body string, n long")

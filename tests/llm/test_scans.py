@@ -190,6 +190,39 @@ def test_surrogates(spark):
     assert re.sub(r"\D", "", re.search(r"\+\d \(\d+\) [\d-]+", texts[1])[0]) == re.sub(r"\D", "", texts[6].split(" and ")[0])
 
 
+NAMED = [
+    (1, "Mr Smith said that Mr Smith, later Smith, and Mr Smith went. SMITH's car and Smithson, a smith."),
+    (2, "Mr John Paul Keller-Braun met Dr. O'Brien and Prof. Dr. Jan van der Berg. Later Keller, O'Brien and Berg left; Paul Keller and J. Berg stayed."),
+    (3, "The Mr and the Dr said so. Oak Dr.\nThe end. Mr President Holm, the President. Mr May will. May I?"),
+    (4, "Call 208-555-3235, (208) 555-3235 or 2085553235; 123-45-6789 is 123456789."),
+    (5, "Smith and Keller have no title here."),
+    (6, "Mr van Dyke, Frau von der Leyen and Mr d'Angelo; der Herr der Ringe."),
+]
+
+
+def test_a_person_or_a_number_has_one_surrogate_in_all_forms(spark):
+    found = surrogates.replace_pii(spark.createDataFrame(NAMED, "doc_id long, text string"), b"key", count="n").collect()
+    texts, counts = {r.doc_id: r.text for r in found}, {r.doc_id: r.n for r in found}
+    smith = re.fullmatch(r"Mr (\w+) said that Mr (\w+), later (\w+), and Mr (\w+) went\. (\w+)'s car and Smithson, a smith\.", texts[1]).groups()
+    assert {s.lower() for s in smith} == {smith[0].lower()} and smith[0] != "Smith" and smith[4].isupper()
+    name = r"([\w']+)"
+    people = re.fullmatch(f"Mr {name} {name} {name}-{name} met Dr\\. {name} and Prof\\. Dr\\. {name} van der {name}\\. Later {name}, {name} and {name} left; {name} {name} and {name}\\. {name} stayed\\.", texts[2])
+    john, paul, keller, braun, brien, jan, berg, *later = people.groups()
+    assert later[:5] == [keller, brien, berg, paul, keller] and later[6] == berg
+    assert len({john, paul, keller, braun, brien, jan, berg}) == 7 and not {"John", "Paul", "Keller", "Braun", "O'Brien", "Jan", "Berg"} & set(people.groups())
+    assert re.fullmatch(r"The Mr and the Dr said so\. Oak Dr\.\nThe end\. Mr \w+ (?!Holm)\w+, the President\. Mr (?!May)\w+ will\. May I\?", texts[3]) and texts[5] == NAMED[4][1]
+    first, second, third, ssn, bare = (re.sub(r"\D", "", x) for x in re.fullmatch(r"Call ([\d-]+), (\(\d+\) [\d-]+) or (\d+); ([\d-]+) is (\d+)\.", texts[4]).groups())
+    assert first == second == third != "2085553235" and ssn == bare != "123456789"
+    assert re.fullmatch(r"Mr van (?!Dyke)\w+, Frau von der (?!Leyen)\w+ and Mr (?!d'Angelo)[\w']+; der Herr der Ringe\.", texts[6])
+    assert counts == {1: 5, 2: 8, 3: 2, 4: 5, 5: 0, 6: 3}
+
+
+def test_given_names_never_run_out(spark):
+    names = [n.casefold() for n in surrogates.MALE + surrogates.FEMALE] + list("abcdefghijklmnopqrstuvwxyz")
+    found = surrogates.mapping(spark.createDataFrame([("name", n) for n in names], "kind string, value string"), b"k").collect()
+    assert len(found) == len(names) == len({r.surrogate for r in found}) and not {r.surrogate for r in found} & set(names)
+
+
 def test_surrogates_stay_distinct_in_a_narrow_format(spark):
     entities = spark.createDataFrame([("name", f"{a}{b}") for a in "abcdefgh" for b in "abcdefgh"] + [("ip", f"10.0.0.{i}") for i in range(250)], "kind string, value string")
     found = surrogates.mapping(entities.union(entities), b"k").collect()
