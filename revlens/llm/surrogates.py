@@ -35,7 +35,7 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 PATTERNS = (
     ("email", re.compile(r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")),
     ("secret", re.compile(r"(?i)\b(?:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9+/_-]{8,})")),
-    ("secret", re.compile(r"(?<!\w)(?:(?:AKIA|sk-|gh[pousr]_)([A-Za-z0-9]{16,64})|([0-9a-f]{32,128}))(?!\w)")),
+    ("secret", re.compile(r"(?<!\w)(?:(?:AKIA|sk-|gh[pousr]_)([A-Za-z0-9]{16,}+)|([0-9A-Fa-f]{32,}+))(?!\w)")),
     ("ip", re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\w]|\.\d)")),
     ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]){9,30}(?!\w)")),
     ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\w)|(?<![\w+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w)")),
@@ -48,7 +48,7 @@ _TITLE = re.compile(rf"\b(?:(?:{'|'.join(TITLES)})(?:\.|(?=\s)){_BREAK})+")
 _NAME_WORD = re.compile(r"(?<!\w)(?:[^\W\d_]{1,2}['’])?[^\W\d_]+(?!\w)")
 _GAP = re.compile(r"[ \xa0]{1,2}|-")
 _INITIAL_GAP = re.compile(r"\.?[ \xa0]{0,2}-?")
-_HINT = re.compile(r"[@0-9]|(?i:password|passwd|secret|token|api_?key)|Mr|Ms|Miss|Mme|Mlle|Dr|Prof|Doctor|Herr|Frau|Señor|Monsieur|Madame|Госп")
+_HINT = re.compile(r"[@0-9]|(?i:password|passwd|secret|token|api_?key)|Mr|Ms|Miss|Mme|Mlle|Dr|Prof|Doctor|Herr|Frau|Señor|Monsieur|Madame|Госп|AKIA|sk-|gh[pousr]_|[A-Fa-f]{32}")
 
 # Given names that tell a gender.
 MALE = ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Louis", "Marco", "Noah", "Oscar", "Paul", "Robert", "Simon", "Thomas", "Victor")
@@ -226,8 +226,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return "".join(parts)
     if kind in ("phone", "number", "ssn"):
         return "".join(str((1 if i == 0 else 0) + draw.below(9 if i == 0 else 10)) for i in range(len(value) + longer))
-    if re.fullmatch(r"[0-9a-f]+", value):
-        return "".join("0123456789abcdef"[draw.below(16)] for _ in range(len(value) + longer))
+    for digits in ("0123456789abcdef", "0123456789ABCDEF", "0123456789abcdefABCDEF"):
+        if set(value) <= set(digits):
+            return "".join(digits[draw.below(len(digits))] for _ in range(len(value) + longer))
     return "".join(map(draw.like, value + "0" * longer))
 
 

@@ -217,6 +217,18 @@ def test_a_person_or_a_number_has_one_surrogate_in_all_forms(spark):
     assert counts == {1: 5, 2: 8, 3: 2, 4: 5, 5: 0, 6: 3}
 
 
+def test_keys_of_any_length_and_case_are_found(spark):
+    keys = ["AKIA" + "Q" * 16, "sk-" + "aB" * 60, "ghp_" + "Zx9" * 30, "0A1B" * 8, "0a1b" * 40, "aB3d" * 20, "ABCDEF" * 6, "fedcba" * 30]
+    rows = [(i, f"the key {k} is here") for i, k in enumerate(keys)] + [(50, "sk-short AKIAQQQ ABCDEF and sk-" + "a" * 20 + "_b")]
+    found = {r.doc_id: r for r in surrogates.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), b"key", count="n").collect()}
+    for i, key in enumerate(keys):
+        new = re.fullmatch(r"the key (\S+) is here", found[i].text)[1]
+        assert found[i].n == 1 and new != key and len(new) == len(key)
+        assert all(re.fullmatch(p, new) for p in ("[0-9a-f]+", "[0-9A-F]+", "[0-9a-fA-F]+") if re.fullmatch(p, key))
+        assert all(new.startswith(p) for p in ("AKIA", "sk-", "ghp_") if key.startswith(p))
+    assert found[50].n == 0 and found[50].text == rows[-1][1]
+
+
 def test_given_names_never_run_out(spark):
     names = [n.casefold() for n in surrogates.MALE + surrogates.FEMALE] + list("abcdefghijklmnopqrstuvwxyz")
     found = surrogates.mapping(spark.createDataFrame([("name", n) for n in names], "kind string, value string"), b"k").collect()
