@@ -7,6 +7,12 @@ has enough tokens of templates at all (length), and has enough tokens left on bo
 (position); what passes is counted exactly. Words that no template has cannot count, so that a block is represented
 by its template words; the index is as small as the templates, which are the caller's list.
 
+With `windows`, a block is any run of consecutive words, whatever line breaks are in it, so that a wrapped notice is found
+and words scattered over a long line are not. A run is as long as the template's notice over the threshold, so that
+it holds the notice and the words that may be put into it. The rarest token of a run that meets a template is one of the
+template's first (prefix); only the runs around such a token are looked at, if the text has enough tokens (length) and
+enough that are no rarer stand around it (position). Among them every run is counted exactly.
+
 Beside that, places where the words of given phrases stand consecutively are found in the whole text.
 
 Null and empty texts have no words, no places and score 0. Repeated rows give repeated results. Templates that tie
@@ -16,6 +22,7 @@ give all their labels. An empty table gives an empty result. Columns other than
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -89,6 +96,7 @@ class TemplateIndex:
         self.templates = [(label, sorted({self.rank[w] for w in words(body)})) for label, body in templates if words(body)]
         self.need = [max(1, -(-len(t) * round(threshold * 1000) // 1000)) for _, t in self.templates]
         self.least = min(self.need, default=1)
+        self.lengths = [-(-len(words(body)) * 1000 // max(1, round(threshold * 1000))) for _, body in templates if words(body)]
         self.prefix: dict[int, list[tuple[int, int]]] = {}
         for k, (_, tokens) in enumerate(self.templates):
             for i, token in enumerate(tokens[: len(tokens) - self.need[k] + 1]):
@@ -112,10 +120,67 @@ class TemplateIndex:
                 out.append((label, common / len(tokens)))
         return out
 
+    def window_matches(self, found: list[str]) -> list[tuple[int, str, float]]:
+        """(first word, label, containment) of the runs of words that meet a template; of runs that begin at consecutive
+        words, the best, and the first of these."""
+        hits = [(at, self.rank[w]) for at, w in enumerate(found) if w in self.rank]
+        there = {token for _, token in hits}
+        if len(there) < self.least:
+            return []
+        anchors: dict[int, set[int]] = {}
+        for token in there:
+            for k, _ in self.prefix.get(token, ()):
+                anchors.setdefault(k, set()).add(token)
+        out = []
+        for k, rare in sorted(anchors.items()):
+            label, tokens = self.templates[k]
+            if len(there.intersection(tokens)) < self.need[k]:
+                continue
+            wanted, length = set(tokens), self.lengths[k]
+            own = [hit for hit in hits if hit[1] in wanted]
+            ranges: list[list[int]] = []  # of first words, merged
+            for at, token in own:
+                if token not in rare:
+                    continue
+                around = own[bisect_left(own, (at - length + 1, -1)) : bisect_left(own, (at + length, -1))]
+                if len({t for _, t in around if t >= token}) < self.need[k]:
+                    continue
+                low, high = max(0, min(at - length + 1, len(found) - length)), max(0, min(at, len(found) - length))
+                if ranges and low <= ranges[-1][1] + 1:
+                    ranges[-1][1] = max(high, ranges[-1][1])
+                else:
+                    ranges.append([low, high])
+            for low, high in ranges:
+                out += [(at, label, common / len(tokens)) for at, common in self._best_of_runs(own, low, high, k)]
+        return out
 
-def license_scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, phrases: tuple[tuple[str, str], ...] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
+    def _best_of_runs(self, own: list[tuple[int, int]], low: int, high: int, k: int) -> Iterator[tuple[int, int]]:
+        """(first word, common tokens) of the best window of each stretch of first words in low..high that pass."""
+        counts: Counter[int] = Counter()
+        left = right = bisect_left(own, (low, -1))
+        best: tuple[int, int] | None = None
+        for first in range(low, high + 1):
+            while right < len(own) and own[right][0] < first + self.lengths[k]:
+                counts[own[right][1]] += 1
+                right += 1
+            while left < right and own[left][0] < first:
+                counts[own[left][1]] -= 1
+                if not counts[own[left][1]]:
+                    del counts[own[left][1]]
+                left += 1
+            if len(counts) >= self.need[k]:
+                if best is None or len(counts) > best[1]:
+                    best = (first, len(counts))
+            elif best is not None:
+                yield best
+                best = None
+        if best is not None:
+            yield best
+
+
+def license_scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, phrases: tuple[tuple[str, str], ...] = PHRASES, threshold: float = THRESHOLD, windows: bool = False) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, and matches, the blocks
-    (line number from 0, label, containment) that meet a template. Score is the best containment among them, else 0."""
+    (line number from 0, label, containment) that meet a template; with `windows`, runs of words by their first word. Score is the best containment among them, else 0."""
     tokens = frozenset(w for _, body in templates for w in words(body))
     index = TemplateIndex(templates, block_frequencies(docs, tokens, text), threshold)
     wanted = [(words(phrase), label) for phrase, label in phrases]
@@ -127,7 +192,9 @@ def license_scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str
         found = words(value)
         base = [(at, label) for phrase, label in wanted for at in places(found, phrase)]
         matches = []
-        if len(index.rank.keys() & set(found)) >= index.least:
+        if windows:
+            matches = [{"block": at, "label": label, "containment": share} for at, label, share in index.window_matches(found)]
+        elif len(index.rank.keys() & set(found)) >= index.least:
             for number, line in enumerate(value.split("\n")):
                 matches += [{"block": number, "label": label, "containment": share} for label, share in index.matches(words(line))]
         starts, own = [at for at, _ in base], {label for _, label in base}

@@ -20,6 +20,10 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("matches")
 
 
+def op1_license_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, folder, "documents"), windows=True).drop("matches")
+
+
 def op2_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan,
+        op1_license_windows,
         op2_url_rules,
         op3_edit_aware_counts,
         op4_vantage_trees,

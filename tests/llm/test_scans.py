@@ -1,6 +1,7 @@
 """License scan, URL rules, token trees, vantage-point trees and surrogates against brute force."""
 
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -48,6 +49,56 @@ def test_containment_at_many_thresholds(spark):
             assert (set(filter(None, r.labels.split(","))), r.score) == (labels, score)
 
 
+def window_labels(text, templates, threshold):
+    """Labels, best containment and first words of the best windows, over every window of every template."""
+    found, labels, score, starts = license_scan.words(text or ""), set(), 0.0, set()
+    for label, body in templates:
+        notice = license_scan.words(body)
+        length, best = -(-len(notice) * 1000 // round(threshold * 1000)), None
+        for at in range(max(0, len(found) - length) + 1):
+            share = len(set(notice) & set(found[at : at + length])) / len(set(notice))
+            if share >= threshold - 1e-12:
+                labels.add(label)
+                score, best = max(score, share), max(best or (0, 0), (share, -at))
+            elif best:
+                starts, best = starts | {(-best[1], label, best[0])}, None
+        starts |= {(-best[1], label, best[0])} if best else set()
+    return labels, score, starts
+
+
+def scanned(spark, rows, **more):
+    found = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), phrases=(), windows=True, **more).collect()
+    return {r.doc_id: (set(filter(None, r.labels.split(","))), r.score, {tuple(m) for m in r.matches}) for r in found}
+
+
+def test_windows_find_wrapped_notices_and_no_scattered_words(spark):
+    mit, bsd = (next(body for label, body in license_scan.TEMPLATES if label == x and len(body) > 100) for x in ("mit", "bsd"))
+    wrapped = lambda body, mark="": "\n".join(mark + line for line in textwrap.wrap(body, 70))
+    rows = [
+        (1, "Some head\n" + wrapped(mit) + "\nand a tail"),
+        (2, wrapped(bsd, " * ") + "\n\n" + wrapped(mit, "// ")),
+        (3, "This work is licensed under\nthe GNU General Public License, version 3."),
+        (4, "licensed " + "x " * 50 + "under cc " + "y " * 50 + "by nc 4 " + "z " * 50 + "0"),
+        (5, "word " * 3000 + mit + " word" * 3000 + " Licensed under CC BY-NC 4.0." + " cc" * 500),
+        (6, None),
+        (7, "Licensed under\nCC BY-NC\n4.0."),
+        (8, " ".join(mit.split()[:20])),
+    ]
+    found = scanned(spark, rows)
+    assert {i: labels for i, (labels, *_) in found.items()} == {1: {"mit"}, 2: {"mit", "bsd"}, 3: {"gpl-3"}, 4: set(), 5: {"mit", "cc-by-nc"}, 6: set(), 7: {"cc-by-nc"}, 8: set()}
+    assert found == {i: window_labels(t, license_scan.TEMPLATES, license_scan.THRESHOLD) for i, t in rows}
+    by_line = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), phrases=()).collect()
+    assert {r.doc_id for r in by_line if not r.labels} >= {1, 2, 3, 7} and next(r.labels for r in by_line if r.doc_id == 4) == "cc-by-nc"
+
+
+def test_windows_at_many_thresholds(spark):
+    rng = np.random.default_rng(7)
+    templates = tuple((f"t{i}", " ".join(f"w{x}" for x in rng.choice(30, rng.integers(1, 20)))) for i in range(12))
+    rows = [(i, " \n".join(f"w{x}" for x in rng.choice(34, rng.integers(0, 150)))) for i in range(60)]
+    for threshold in (0.3, 0.5, 0.8, 0.9, 1.0):
+        assert scanned(spark, rows, templates=templates, threshold=threshold) == {i: window_labels(t, templates, threshold) for i, t in rows}
+
+
 URLS = [None, "", "no scheme", "http://", "https://A.Example.NET/en/x?q#f", "ftp://x.net", "http://x.net/a://b", "http://org/fr/", "http://a.org/fr/1", "http://a.org/fr", "http://borg/fr/x", "HTTP://WWW.EXAMPLE.COM/de/\n/z", "http://example.com?x=/de/", "http://m.casino-win.example.com/en/1"]
 
 
