@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from catalogue.lexicon_sql import compound_ctes
@@ -16,15 +19,27 @@ from revlens.session import fresh_path, stage
 from revlens.streaming import jobs
 
 
+DELAY = timedelta(days=7)
+
+
 def _documents(spark, folder):
     return jobs.read_landing(spark, folder, schemas.DOCUMENTS, "documents.parquet")
 
 
+def _stretches(first, last):
+    """The bounds between six or more stretches of time, none longer than the watermarks' delay."""
+    n = max(6, math.ceil((last - first) / DELAY))
+    return [first + (last - first) * i / n for i in range(1, n)]
+
+
 def _events(spark, folder):
-    """The events as they land: a load for each of six stretches of time, a file to a micro-batch."""
+    """The events as they land: a load for each stretch of time, a file to a micro-batch.
+
+    A load may come as several files in any order; its stretch is no longer than the delay, so that no file is late for another.
+    """
     landed, events = fresh_path(spark, "landed-events"), table(spark, folder, "events")
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    bounds = [first + (last - first) * i / 6 for i in range(1, 6)]
+    bounds = _stretches(first, last)
     for low, high in zip([None, *bounds], [*bounds, None], strict=True):
         later, earlier = F.lit(True) if low is None else F.col("ts") >= low, F.lit(True) if high is None else F.col("ts") < high
         events.where(later & earlier).write.mode("append").parquet(landed)
@@ -76,6 +91,18 @@ def stream_weekly_counts(spark, folder):
     return weeks.withColumn("week_ending", F.col("week_ending").cast("string"))
 
 
+@query(
+    "stream_weekly_counts_so_far",
+    """SELECT CAST(CAST(date_trunc('week', ts) AS DATE) + 6 AS VARCHAR) AS week_ending, event_type, count(*) AS count FROM events GROUP BY ALL""",
+)
+def stream_weekly_counts_so_far(spark, folder):
+    """All weeks, the open ones with what has come until now: the table is written anew after each batch."""
+    counts = jobs.weekly_counts(_events(spark, folder), "ts", "event_type")
+    path = fresh_path(spark, "weekly-so-far")
+    jobs.replace_table(counts, path, fresh_path(spark, "weekly-so-far-checkpoint")).awaitTermination()
+    return spark.read.parquet(path).withColumn("week_ending", F.col("week_ending").cast("string"))
+
+
 @query("stream_fact_load", "SELECT DISTINCT sha256('=' || source || chr(31) || '=' || text) AS id, source AS bank FROM documents")
 def stream_fact_load(spark, folder):
     def to_facts(batch):
