@@ -71,4 +71,44 @@ def _mix() -> str:
     SELECT p.doc_id, p.source, p.size, p.source_size, p.target, CAST(coalesce(w.taken, 0) AS BIGINT) AS taken FROM placed p LEFT JOIN words w ON w.doc_id = p.doc_id"""
 
 
-ORACLES: dict[str, str] = {"op1_license_scan": _license_scan(), "op5_ngram_jaccard": _jaccard(), "op10_source_mix": _mix()}
+def _repair() -> str:
+    def step(label: str, cost: str, edit: str, line: str = "''", when: str = "true") -> str:
+        return f"CASE WHEN {label} IS NOT NULL AND {when} THEN {{'c': {label}.c + {cost}, 'a': {label}.a || '{edit}', 't': {label}.t || {line}}} END"
+
+    def least(*labels: str) -> str:
+        return f"list_min([{', '.join(labels)}])"
+
+    bits = ", ".join(["CAST(0 AS BIGINT)"] * 8)
+    kept = "chr(10) || x.role || ':' || x.text"
+    user, assistant = "chr(10) || 'user:' || x.text", "chr(10) || 'assistant:' || x.text"
+    empty_user, empty_assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    to_user = [y for state in ("l0", "l1", "l3") for y in (step(state, "x.extra", "K", kept, "x.free AND x.initial = 'u'"), step(state, "2 + x.extra", "R", user, "x.free"))]
+    read = {
+        "r0": step("l0", "3", "D"),
+        "r1": least(step("l1", "3", "D"), step("l0", "x.extra", "K", kept, "x.free AND x.initial = 's'")),
+        "r2": least(step("l2", "3", "D"), *to_user),
+        "r3": least(step("l3", "3", "D"), step("l2", "x.extra", "K", kept, "x.free AND x.initial = 'a'"), step("l2", "2 + x.extra", "R", assistant, "x.free")),
+    }
+    inserted = least("r2", *(step(state, "2", "I", empty_user) for state in ("r0", "r1", "r3")))
+    return rf"""WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+    marked AS (SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substr(k, CAST(i AS INT), 1)) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [{bits}]), lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 20 AS kind FROM keyed),
+    rows AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+      unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM marked WHERE kind <> 0),
+    placed AS (SELECT conv_id, turn, role, text, left(role, 1) AS initial, regexp_extract_all(text, '[^ 	-]') AS inked, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM rows),
+    judged AS (SELECT *, CASE WHEN len(inked) = 0 THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate' WHEN inked[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+      lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair FROM placed),
+    x AS (SELECT conv_id, pos, role, text, initial, fault IN ('', 'truncated') AS free, CAST(fault = 'truncated' AS BIGINT) AS extra FROM judged),
+    walk AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS pos, {{'c': CAST(0 AS BIGINT), 'a': '', 't': ''}} AS l0, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)) AS l1,
+        {{'c': CAST(2 AS BIGINT), 'a': 'I', 't': {empty_user}}} AS l2, {{'c': CAST(4 AS BIGINT), 'a': 'II', 't': {empty_user} || {empty_assistant}}} AS l3 FROM conversations
+      UNION ALL SELECT conv_id, pos, r0, r1, l2, {least("r3", step("l2", "2", "I", empty_assistant))} FROM (SELECT conv_id, pos, r0, r1, r3, {inserted} AS l2 FROM
+        (SELECT w.conv_id, x.pos, {", ".join(f"{e} AS {n}" for n, e in read.items())} FROM walk w JOIN x ON x.conv_id IS NOT DISTINCT FROM w.conv_id AND x.pos = w.pos + 1))),
+    ends AS (SELECT conv_id, arg_max(least_of, pos) AS found FROM (SELECT conv_id, pos, {least("l0", "l3")} AS least_of FROM walk) GROUP BY conv_id),
+    stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+      count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id)
+    SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+      found.c AS cost, found.a AS audit, sha256(substr(found.t, 2)) AS repaired_sha256 FROM ends e LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+ORACLES: dict[str, str] = {"op1_license_scan": _license_scan(), "op5_ngram_jaccard": _jaccard(), "op10_source_mix": _mix(), "op11_conversation_repair": _repair()}

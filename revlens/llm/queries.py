@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import hilbert_shards, license_scan, mixing, packing, parity_join, quality, surrogates, token_trees, url_rules, vantage
+from revlens.llm import byte_pieces, conversations, hilbert_shards, license_scan, mixing, packing, parity_join, quality, surrogates, token_trees, url_rules, vantage
 from revlens.llm.common import table
 from revlens.llm.tokens import byte_bpe_50k
 from revlens.llm.oracles import ORACLES  # noqa: F401
@@ -63,6 +63,15 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", F.col("source"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations")
+    return conversations.repair_report(given, conversations.damaged(given))
+
+
+def op12_byte_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_pieces.round_trip(table(spark, folder, "documents"), byte_pieces.multi_50k())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_quality_rules,
         op10_source_mix,
+        op11_conversation_repair,
+        op12_byte_pieces,
     )
 }
 

@@ -134,3 +134,83 @@ def nearest(rows, queries, k):
             ranked = sorted(scores.items(), key=lambda x: (-round(x[1], 12), x[0]))[:k]
             out += [(q, n, i, s) for n, (i, s) in enumerate(ranked, 1)]
     return out
+
+
+def damaged_conversations(rows):
+    """{conv_id: its rows (turn, role, text) after damage, by turn} for (conv_id, turn, role, text) rows."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        out[conv]
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        out[conv] += [(turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return {c: sorted(v, key=lambda r: (r[0] is not None, r[0] or 0, r[1])) for c, v in out.items()}
+
+
+def conversation_faults(rows):
+    """The fault of each row of a conversation, or None."""
+    seen, out = set(), []
+    for _, role, text in rows:
+        kept = "".join(c for c in text if c not in " \t\n\x0b\x0c\r")
+        out.append("blank" if not kept else "duplicate" if (role, text) in seen else "truncated" if kept[-1] not in ".!?" else None)
+        seen.add((role, text))
+    return out
+
+
+def repaired_conversation(rows):
+    """(cost, audit, the repaired `role:text` lines) by trying every edit at every row, from the last row back."""
+    faults = conversation_faults(rows)
+    n = len(rows)
+    after = {"": "u", "s": "u", "u": "a", "a": "u"}
+    names = {"u": "user", "a": "assistant"}
+    best = {}
+    for i in range(n, -1, -1):
+        here = {}
+        for state in after:
+            found = [(0, "", ())] if i == n and state in ("", "a") else []
+            if i < n:
+                _, role, text = rows[i]
+                extra = faults[i] == "truncated"
+                if best[i + 1][state] is not None:
+                    cost, audit, lines = best[i + 1][state]
+                    found.append((cost + 3, "D" + audit, lines))
+                if faults[i] not in ("blank", "duplicate"):
+                    own = role[:1]
+                    if (own == after[state] or (state == "" and own == "s")) and best[i + 1][own] is not None:
+                        cost, audit, lines = best[i + 1][own]
+                        found.append((cost + extra, "K" + audit, (f"{role}:{text}", *lines)))
+                    new = after[state]
+                    if best[i + 1][new] is not None:
+                        cost, audit, lines = best[i + 1][new]
+                        found.append((cost + extra + 2, "R" + audit, (f"{names[new]}:{text}", *lines)))
+            here[state] = min(found, key=lambda f: f[:2], default=None)
+        for _ in range(4):
+            for state in after:
+                onward = here[after[state]]
+                if onward is not None:
+                    longer = (onward[0] + 2, "I" + onward[1], (f"{names[after[state]]}:", *onward[2]))
+                    here[state] = longer if here[state] is None else min(here[state], longer, key=lambda f: f[:2])
+        best[i] = here
+    return best[0][""]
+
+
+def conversation_report(rows):
+    """The rows of the registered query for (conv_id, turn, role, text) rows."""
+    import hashlib
+
+    out = []
+    for conv, kept in damaged_conversations(rows).items():
+        turns = [t for t, _, _ in kept if t is not None]
+        faults = Counter(conversation_faults(kept))
+        initials = [r[:1] for _, r, _ in kept]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+        cost, audit, lines = repaired_conversation(kept)
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        out.append((conv, gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()))
+    return out
