@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from revlens.llm import license_scan, mixing
+from revlens.llm import collocations, license_scan, mixing
 from revlens.llm.common import LOWER, UPPER
 
 SPACED = r"[^\x20\x09-\x0D]+"
@@ -96,7 +96,8 @@ def _repair() -> str:
       lambda c, b: list_reduce(list_prepend(xor(c, b), [{bits}]), lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 20 AS kind FROM keyed),
     rows AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
       unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM marked WHERE kind <> 0),
-    placed AS (SELECT conv_id, turn, role, text, left(role, 1) AS initial, regexp_extract_all(text, '[^ 	-]') AS inked, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM rows),
+    placed AS (SELECT conv_id, turn, role, text, left(role, 1) AS initial, regexp_extract_all(text, '[^ 	-
+]') AS inked, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM rows),
     judged AS (SELECT *, CASE WHEN len(inked) = 0 THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate' WHEN inked[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
       lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair FROM placed),
     x AS (SELECT conv_id, pos, role, text, initial, fault IN ('', 'truncated') AS free, CAST(fault = 'truncated' AS BIGINT) AS extra FROM judged),
@@ -111,4 +112,23 @@ def _repair() -> str:
       found.c AS cost, found.a AS audit, sha256(substr(found.t, 2)) AS repaired_sha256 FROM ends e LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM e.conv_id"""
 
 
-ORACLES: dict[str, str] = {"op1_license_scan": _license_scan(), "op5_ngram_jaccard": _jaccard(), "op10_source_mix": _mix(), "op11_conversation_repair": _repair()}
+def _collocations() -> str:
+    least, longest, top = collocations.LEAST, collocations.LONGEST, collocations.TOP
+    return rf"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, coalesce(translate(text, '{UPPER}', '{LOWER}'), '') AS t FROM documents),
+    p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS s FROM d),
+    w AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS ws FROM p),
+    totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+    runs AS (SELECT lang, unnest(flatten(list_transform(range(1, {longest + 1}), lambda k: list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])))) AS x FROM w),
+    f AS (SELECT lang, x, len(x) AS k, count(*) AS a FROM runs GROUP BY lang, x HAVING count(*) >= {least}),
+    c AS (SELECT * FROM f WHERE k >= 2),
+    inner_runs AS (SELECT lang, a, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda i: x[i:i + m - 1])))) AS x FROM c),
+    covered AS (SELECT DISTINCT c.lang, c.x FROM c JOIN inner_runs i ON i.lang = c.lang AND i.x = c.x WHERE 100 * i.a >= 100 * c.a),
+    kept AS (SELECT c.* FROM c ANTI JOIN covered v ON v.lang = c.lang AND v.x = c.x),
+    cuts AS (SELECT *, unnest(range(1, k)) AS j FROM kept),
+    scored AS (SELECT u.lang, u.x, u.a, u.j, g.a AS l, h.a AS r, t.n, CAST(CAST(1000 AS HUGEINT) * u.a * t.n // (CAST(g.a AS HUGEINT) * h.a) AS BIGINT) AS score
+      FROM cuts u JOIN f g ON g.lang = u.lang AND g.x = u.x[1:u.j] JOIN f h ON h.lang = u.lang AND h.x = u.x[u.j + 1:] JOIN totals t ON t.lang = u.lang),
+    lowest AS (SELECT lang, array_to_string(x, ' ') AS phrase, a, l, r, n, score FROM scored QUALIFY row_number() OVER (PARTITION BY lang, x ORDER BY score, j) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM lowest QUALIFY rank <= {top}"""
+
+
+ORACLES: dict[str, str] = {"op1_license_scan": _license_scan(), "op5_ngram_jaccard": _jaccard(), "op10_source_mix": _mix(), "op11_conversation_repair": _repair(), "op13_collocations": _collocations()}

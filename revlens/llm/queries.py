@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import byte_pieces, conversations, hilbert_shards, license_scan, mixing, packing, parity_join, quality, surrogates, token_trees, url_rules, vantage
+from revlens.llm import byte_pieces, collocations, conversations, hilbert_shards, license_scan, mixing, packing, parity_join, quality, surrogates, token_trees, url_rules, vantage
 from revlens.llm.common import table
 from revlens.llm.tokens import byte_bpe_50k
 from revlens.llm.oracles import ORACLES  # noqa: F401
@@ -72,6 +72,10 @@ def op12_byte_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pieces.round_trip(table(spark, folder, "documents"), byte_pieces.multi_50k())
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_source_mix,
         op11_conversation_repair,
         op12_byte_pieces,
+        op13_collocations,
     )
 }
 

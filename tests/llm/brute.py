@@ -214,3 +214,30 @@ def conversation_report(rows):
         gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
         out.append((conv, gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()))
     return out
+
+
+def collocations(rows, least=100, longest=5, top=2000):
+    """[(lang, rank, phrase, a, l, r, n, score)] for (text, lang) rows, by counting every phrase."""
+    counts, total = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (text or "").translate(UPPER)):
+            found = re.findall("[^ \t]+", piece)
+            total[lang] += len(found)
+            for k in range(1, longest + 1):
+                counts[lang].update(tuple(found[i : i + k]) for i in range(len(found) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        inside = set()
+        for p, a in candidates.items():
+            for k in range(2, len(p)):
+                inside.update(p[i : i + k] for i in range(len(p) - k + 1) if a >= f[p[i : i + k]])
+        scored = []
+        for p, a in candidates.items():
+            if p not in inside:
+                score, _, l, r = min((1000 * a * total[lang] // (f[p[:k]] * f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+                scored.append((-score, -a, " ".join(p).encode(), l, r))
+        for rank, (score, a, p, l, r) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, l, r, total[lang], -score))
+    return out
