@@ -118,7 +118,7 @@ def mix(docs: DataFrame, text: str = "text", block: int = BLOCK, weights: tuple[
         .groupBy(F.col("source").alias("_source"), (F.col("rank") % F.col("_blocks")).alias("_block"))
         .agg(F.count("*").alias("_times"))
     )
-    placed = staged(spans(slim), "mix_spans").withColumn("_row", F.monotonically_increasing_id())
+    placed = staged(spans(slim).withColumn("_row", F.monotonically_increasing_id()), "mix_spans")
     last = F.col("begin") + F.col("size") - 1
     on_blocks = placed.where("size > 0").withColumn("_at", F.explode(F.sequence(_div(F.col("begin"), F.lit(block)), _div(last, F.lit(block)))))
     shared = F.least(last + 1, (F.col("_at") + 1) * block) - F.greatest(F.col("begin"), F.col("_at") * block)
@@ -133,6 +133,7 @@ def repeated(docs: DataFrame, taken: DataFrame) -> DataFrame:
 
     Rows meet by doc_id, null with null; of rows that share an id, each is repeated as their mean says.
     """
-    copies = taken.groupBy(F.col("doc_id").alias("_id")).agg(F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("_copies")).where("_copies > 0")
-    times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id"))).withColumn("_copy", times).select(*(F.col(f"`{c}`") for c in docs.columns))
+    copies = taken.groupBy(F.col("doc_id").alias("id")).agg(F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("copies")).where("copies > 0")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    met = rows.join(copies, F.col("doc").getField("doc_id").eqNullSafe(F.col("id")))
+    return met.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

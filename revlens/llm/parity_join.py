@@ -6,14 +6,16 @@ differ never outnumber the elements that differ. Two sets that link differ in at
 differ and at least m - D are equal: sets that link share the sketch of a whole band.
 
 Bands belong to layouts by set size. A set of size n is in the layout of its size, and in the next one if a partner
-may be there, so that partners always meet in a layout. A set emits its fullest bands only: those with at least as
-many elements as its (D + 1)-th fullest. Of the m - D or more bands that are equal for two linked sets, at least one is
-among the fullest of both, because equal bands are equally full; no link is lost. A band's sketch is wide (2**64
-places for a bit) and carried as the XOR of a hash of each place; a narrow sketch of 256 bits travels along for
-the bound by Hamming distance. Candidates that pass the bounds are compared element by element (64-bit hashes).
+may be there, so that partners always meet in a layout. A set emits its D + 1 fullest bands only, equally full ones by
+their keys. Of the m - D or more bands that are equal for two linked sets, the first in this order is among the D + 1 first of both, because
+at most D other bands come before it and equal bands have equal places in the order; no link is lost. A band's sketch is wide (2**64
+places for a bit) and carried as the XOR of a hash of each place; a narrow sketch with about a bit for an element (256 to 4,096, a power
+of two by the size of the set, folded to the narrower of two) travels along for the bound by Hamming distance. Candidates
+that pass the bounds are compared element by element (64-bit hashes).
 
 Sets are known by a 64-bit fingerprint, so that copies are one set. Members of a band's bucket are first compared with
-the bucket's smallest; where they link, one component has them all, and only members of different components are
+its centre, the member that meets most others over all its buckets, which in a group of edited copies is what they were copied
+from; where they link, one component has them all, and only members of different components are
 compared with each other, large buckets in pairs of slices.
 
 Null, empty and blank texts have an empty set and link with nothing. Repeated rows and repeated ids are rows of
@@ -37,7 +39,7 @@ from revlens.llm.kernel import Texts, mixed, windows
 
 WIDTH = 4
 THRESHOLD = 85
-SKETCH = 256
+NARROWEST, WIDEST = 256, 4096
 SLICE = 2048
 LOWS = 8
 
@@ -78,8 +80,21 @@ def fingerprint(elements: np.ndarray) -> int:
 
 
 def narrow_sketch(elements: np.ndarray) -> bytes:
-    """The parity of the number of elements at each of `SKETCH` places."""
-    return np.packbits(np.bincount(((elements >> np.uint64(24)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1).tobytes()
+    """The parity of the number of elements at each place, of as many places as the set's size asks for."""
+    width = min(WIDEST, max(NARROWEST, 1 << (len(elements) - 1).bit_length()))
+    place = ((elements >> np.uint64(24)) % np.uint64(width)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=width).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes], places: int) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all with so many places: a wider one's halves are laid over each other."""
+    out = np.empty((len(sketches), places // 64), np.uint64)
+    lengths = np.array([len(x) for x in sketches]) * 8
+    for width in np.unique(lengths):
+        of_width = np.flatnonzero(lengths == width)
+        words = np.frombuffer(b"".join([sketches[i] for i in of_width]), np.uint64).reshape(len(of_width), width // places, places // 64)
+        out[of_width] = np.bitwise_xor.reduce(words, axis=1)
+    return out
 
 
 def band_keys(elements: np.ndarray, threshold: int, sizes: np.ndarray) -> np.ndarray:
@@ -99,13 +114,12 @@ def band_keys(elements: np.ndarray, threshold: int, sizes: np.ndarray) -> np.nda
         band = ((elements >> np.uint64(32)) * np.uint64(bands) >> np.uint64(32)).astype(np.int64)
         fill = np.bincount(band, minlength=bands)
         must = min(most, within) + 1
-        least = int(np.partition(fill, bands - must)[bands - must])
         sketch = np.zeros(bands, np.uint64)
         first = np.append(True, band[1:] != band[:-1])
         sketch[band[first]] = np.bitwise_xor.reduceat(flips, np.flatnonzero(first))
-        chosen = np.flatnonzero(fill >= least)
-        label = (np.uint64(layout) << np.uint64(48)) + chosen.astype(np.uint64) + np.uint64(1)
-        out.append(mixed(sketch[chosen] ^ mixed(label)).view(np.int64))
+        label = (np.uint64(layout) << np.uint64(48)) + np.arange(1, bands + 1, dtype=np.uint64)
+        keys = mixed(sketch ^ mixed(label)).view(np.int64)
+        out.append(keys[np.lexsort((keys, -fill))[:must]])
     return np.concatenate(out)
 
 
@@ -169,8 +183,15 @@ def _linked(sizes_a: np.ndarray, sizes_b: np.ndarray, differing: np.ndarray, thr
     return 100 * (sizes_a + sizes_b - differing) >= threshold * (sizes_a + sizes_b + differing)
 
 
-def _bits(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), SKETCH // 64)
+def _differing(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """The Hamming distance of each two sketches, at the places of the narrower one."""
+    widths = np.minimum([len(x) for x in left], [len(x) for x in right]) * 8
+    out = np.zeros(len(left), np.int64)
+    for width in np.unique(widths):
+        rows = np.flatnonzero(widths == width)
+        a, b = (folded([side[i] for i in rows], int(width)) for side in (left, right))
+        out[rows] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
@@ -179,7 +200,7 @@ def bounded(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_by_one(batches):
             if batch.num_rows:
-                differing = np.bitwise_count(_bits(batch.column("sa")) ^ _bits(batch.column("sb"))).sum(axis=1, dtype=np.int64)
+                differing = _differing(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())
                 na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
                 keep = pa.array(_linked(na, nb, np.maximum(differing, np.abs(na - nb)), threshold))
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
@@ -237,7 +258,9 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
         seen: set[tuple[int, int]] = set()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            part = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+            part = {c: np.concatenate([h[c] for h in held]) for c in held[0] if c != "sketch"}
+            sketches = [x for h in held for x in h["sketch"]]
+            part["sketch"] = folded(sketches, 8 * min(map(len, sketches)))
             _, once = np.unique(np.stack([part["part"], part["set_id"]]), axis=1, return_index=True)
             part = {c: v[once] for c, v in part.items()}
             if part["component"].min() == part["component"].max():
@@ -254,7 +277,7 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             rows = {c: batch.column(c).to_numpy() for c in ("key", "i", "j", "part", "set_id", "n", "component")}
-            rows["sketch"] = _bits(batch.column("sketch"))
+            rows["sketch"] = batch.column("sketch").to_pylist()
             rows["lows"] = batch.column("lows").flatten().to_numpy().reshape(batch.num_rows, LOWS)
             change = (rows["key"][1:] != rows["key"][:-1]) | (rows["i"][1:] != rows["i"][:-1]) | (rows["j"][1:] != rows["j"][:-1])
             borders = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
@@ -281,19 +304,18 @@ def jaccard_classes(docs: DataFrame, text: str = "text", width: int = WIDTH, thr
     known = rows.where("set_id IS NOT NULL")
     lows = F.slice(F.concat(F.array_sort("keys"), F.array_repeat(F.lit((1 << 63) - 1), LOWS)), 1, LOWS)
     nodes = staged(known.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"), F.max(lows).alias("lows")), "sets")
-    bucket = Window.partitionBy("key")
     bands = known.where("size(keys) > 0").select("set_id", F.explode("keys").alias("key"))
-    members = staged(
-        bands.withColumns({"least": F.min("set_id").over(bucket), "most": F.max("set_id").over(bucket), "count": F.count("*").over(bucket)}).where("least < most").drop("most"),
-        "buckets",
-    )
+    bucket, own = Window.partitionBy("key"), Window.partitionBy("set_id")  # a set has no more keys than elements
+    shared = bands.withColumns({"low": F.min("set_id").over(bucket), "high": F.max("set_id").over(bucket), "count": F.count("*").over(bucket)}).where("low < high")
+    members = staged(shared.select("set_id", "key", "count").withColumn("met", F.sum("count").over(own)), "buckets")
     sets = wanted_sets(docs, text, width, bit_set(members.select("set_id").distinct(), "set_id"))
     sets = staged(sets.join(members.select("set_id").distinct(), "set_id", "left_semi").groupBy("set_id").agg(F.first("elements").alias("elements")), "elements")
-    stars = members.where("set_id > least").select(F.col("least").alias("a"), F.col("set_id").alias("b")).distinct()
+    centres = members.groupBy("key").agg(F.max(F.struct("met", "set_id")).alias("centre")).select("key", F.col("centre.set_id").alias("centre"))
+    stars = members.join(centres, "key").where("set_id <> centre").select(F.least("centre", "set_id").alias("a"), F.greatest("centre", "set_id").alias("b")).distinct()
     links = staged(verified(bounded(stars, nodes, threshold), sets, threshold), "star_links")
     first = components(links)
     labelled = nodes.join(first.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "n", "sketch", "lows", F.coalesce("component", "set_id").alias("component"))
-    placed = members.drop("least").join(labelled, "set_id")
+    placed = members.drop("met").join(labelled, "set_id")
     open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     slices = F.ceil(F.col("count") / SLICE).cast("int")
     part = F.pmod(F.col("set_id"), F.col("slices")).cast("int")
@@ -330,9 +352,9 @@ def one_per_class(docs: DataFrame, text: str = "text", width: int = WIDTH, thres
     kept = firsts.select(F.col("first.doc_id").alias("_id"), F.col("first.set_id").alias("_set"))
     touched = classes.join(firsts.where("n > 1").select("component"), "component", "left_semi").select(F.xxhash64("doc_id").alias("mark")).distinct()
     marks = bit_set(touched, "mark")
-    flagged = docs.withColumn("_held", held(F.xxhash64("doc_id"), marks))
-    plain = flagged.where(~F.col("_held")).drop("_held")
-    inner = docs.where(held(F.xxhash64("doc_id"), marks)).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    flagged = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), held(F.xxhash64("doc_id"), marks).alias("held"))
+    plain = flagged.where(~F.col("held")).select("doc.*")
+    inner = flagged.where("held").select("doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_by_one(batches):
@@ -341,5 +363,5 @@ def one_per_class(docs: DataFrame, text: str = "text", width: int = WIDTH, thres
 
     told = staged(inner.mapInArrow(run, f"doc {inner.schema['doc'].dataType.simpleString()}, set_id long"), "told_apart")
     same = (told["set_id"] == kept["_set"]) & told["doc"].getField("doc_id").eqNullSafe(kept["_id"])
-    chosen = told.join(kept, same, "left_semi").withColumn("_id", F.col("doc").getField("doc_id")).dropDuplicates(["_id", "set_id"]).select("doc.*")
+    chosen = told.join(kept, same, "left_semi").withColumn("id", F.col("doc").getField("doc_id")).dropDuplicates(["id", "set_id"]).select("doc.*")
     return plain.union(chosen).union(told.where("set_id IS NULL").select("doc.*"))

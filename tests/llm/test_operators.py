@@ -105,11 +105,17 @@ def test_buckets_in_slices(spark, monkeypatch):
 
 def test_hamming_distance_bounds_the_difference():
     rng = np.random.default_rng(0)
-    for _ in range(50):
-        a = np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64))
-        b = np.unique(np.concatenate([a[: rng.integers(250, 300)], rng.integers(0, 1 << 63, 20).astype(np.uint64)]))
-        x, y = (np.frombuffer(parity_join.narrow_sketch(s), np.uint8) for s in (a, b))
-        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+    for size in (20, 300, 2000, 9000):
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            b = np.unique(np.concatenate([a[: rng.integers(size // 2, size)], rng.integers(0, 1 << 63, size // 5).astype(np.uint64)]))
+            x, y = parity_join.narrow_sketch(a), parity_join.narrow_sketch(b)
+            assert parity_join._differing([x], [y])[0] <= len(np.setxor1d(a, b))
+            own = np.unpackbits(np.frombuffer(x, np.uint8), bitorder="little")
+            assert np.array_equal(np.unpackbits(parity_join.folded([x], 256).view(np.uint8), bitorder="little"), own.reshape(-1, 256).sum(axis=0) % 2)
+    unrelated = [np.unique(rng.integers(0, 1 << 63, 1000).astype(np.uint64)) for _ in range(2)]
+    far = parity_join._differing(*([parity_join.narrow_sketch(s)] for s in unrelated))
+    assert not parity_join._linked(np.array([1000]), np.array([1000]), far, 80)[0]
 
 
 def test_quality_counts(case):

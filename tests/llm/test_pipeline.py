@@ -1,7 +1,10 @@
 """The corpus pipeline, stage by stage against brute force, and on awkward rows."""
 
+import random
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from revlens.llm import mixing, parity_join, quality, surrogates
 from tests.llm import brute
@@ -24,7 +27,7 @@ def test_every_stage_on_the_documents(spark):
             kept = {r.doc_id for r in quality.quality(before).where("kept").collect()}
             assert Counter(has) == Counter(r for r in had if r[0] in kept) and 0 < len(has) < len(had)
         elif name == "near_duplicates":
-            firsts = {c for _, n, c in brute.jaccard_components([r[:2] for r in had])}
+            firsts = {c for _, n, c in brute.jaccard_components([r[:2] for r in had], 5, 80)}
             assert Counter(has) == Counter(r for r in had if r[0] in firsts) and len(has) < len(had)
         elif name == "personal_data":
             old = {r[0]: r for r in had}
@@ -86,3 +89,34 @@ def test_near_duplicates_take_five_words_and_four_fifths(spark):
     kept = rows_of(dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, FOLDER))
     assert {r[0] for r in kept if r[1] and r[1].split()} == {r[0] for r in had if r[0] in firsts and r[1] and r[1].split()}
     assert {21, 25, 26, 27} <= {r[0] for r in kept} and not {22, 23, 24, 71} & {r[0] for r in kept}
+
+
+def test_clashing_columns(spark):
+    """Columns that are called like the stages' own helpers stay as they are."""
+    rows = odd(spark)
+    for clash in ("_held", "held", "_id", "id", "_copies", "copies", "_copy", "doc", "col", "component", "source_size", "taken"):
+        rows = rows.withColumn(clash, F.lit("clash"))
+    kept = parity_join.one_per_class(rows)
+    assert kept.columns == rows.columns and 0 < kept.count() < len(ODD)
+    mixed = mixing.repeated(rows, mixing.mix(rows))
+    assert mixed.columns == rows.columns and {r["_copy"] for r in mixed.collect()} == {"clash"}
+
+
+def test_planted_copies_of_the_near_duplicate_stage(spark):
+    """Runs of five words at 0.8: copies with a fifth more words link, those with a third more do not; long texts that share half don't."""
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(1000)]
+    rows = [(1, base), (2, base + [word() for _ in range(200)]), (3, base + [word() for _ in range(330)])]
+    shared = [word() for _ in range(1500)]
+    rows += [(10 + i, shared + [word() for _ in range(1000 + 300 * i)]) for i in range(8)]
+    hub = [word() for _ in range(700)]
+    rows.append((60, hub))
+    for i in range(20):  # edited copies that link with what they were copied from, but not with each other
+        copy = list(hub)
+        for at in draw.sample(range(0, 700, 6), 15):
+            copy[at] = word()
+        rows.append((100 + i, copy))
+    rows = [(i, " ".join(words), "en", "a") for i, words in rows]
+    found = parity_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), width=5, threshold=80)
+    assert sorted(map(tuple, found.collect())) == sorted(brute.jaccard_components([r[:2] for r in rows], 5, 80))
