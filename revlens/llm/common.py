@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,6 +49,7 @@ def pieces(column: pa.Array, target: int = 1 << 20) -> Iterator[tuple[int, int]]
 def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches; what the one before left behind is given back to the system, because workers live on between tasks."""
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    gc.collect()  # functions that travelled with earlier tasks, and the arrays they hold, refer to each other in circles
     for batch in batches:
         yield batch
         del batch
