@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from revlens.functions.text import each, words
 from revlens.functions.vocab import STOP_WORDS
 from revlens.operators.quantiles import box_stats
-from revlens.operators.joins import spread_join
 
 
 def frequency(df: DataFrame, *keys: str) -> DataFrame:
@@ -55,7 +54,7 @@ def score_density(df: DataFrame, group: str, value: str, points: int = 21, low:
     grid = [low + i * ((high - low) / (points - 1)) for i in range(points)]
     z = [(F.lit(x) - F.col("_x")) / F.col("_h") for x in grid]
     sums = (
-        spread_join(values, widths, [group], spread_on="_x")
+        values.join(widths, group)
         .groupBy(group, "_n", "_h")
         .agg(F.array(*[F.struct(F.lit(x).alias("x"), F.sum(F.exp(-0.5 * zi * zi)).alias("s")) for x, zi in zip(grid, z, strict=True)]).alias("_g"))
     )

@@ -1,8 +1,9 @@
-"""Exact quantiles per group from one pass over the rows.
+"""Exact quantiles per group.
 
-Rows are counted per group and value, so that equal values are one row before they move. The distinct values of a
-group are cut into slices by value; a value's rank is the count of the slices before plus the running count inside its
-slice, so that no task orders a whole group.
+A mergeable sketch brackets each quantile between two values whose ranks surely or almost surely enclose it; how many rows lie below and up to
+a bracket is then counted exactly, and only the values inside it, a small share of the group, are ordered. A bracket
+that the counts prove wrong becomes the group's whole range, so that results are exact whatever the sketch says. Rows are
+counted per group and value first, so that equal values are one row before they move. Nothing depends on how values are spread.
 """
 
 from __future__ import annotations
@@ -11,40 +12,59 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from revlens.operators.joins import spread_join
+ACCURACY = 50_000
 
-SLICES = 4096
 
+def _rows(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    return df.select(*group, F.col(value).cast("double").alias("_v")).dropna()
 
-def _cells(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    values = df.select(*group, F.col(value).cast("double").alias("_v")).dropna()
-    return values.groupBy(*group, "_v").agg(F.count("*").alias("_c"))
 
+def _cells(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*group, "_v").agg(F.count("*").alias("_c"))
 
-def _of_cells(cells: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    stats = cells.groupBy(*group).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-    place = F.when(F.col("_max") > F.col("_min"), (F.col("_v") - F.col("_min")) / (F.col("_max") - F.col("_min")) * (SLICES - 1))
-    cut = spread_join(cells, stats, group, spread_on="_v").withColumn("_s", F.coalesce(F.floor(F.nanvl(place, F.lit(0.0))), F.lit(0)))
-    totals = cut.groupBy(*group, "_s").agg(F.sum("_c").alias("_t"))
-    before = Window.partitionBy(*group).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select(*group, "_s", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_shift"))
-    upto = Window.partitionBy(*group, "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.col("_shift") + F.sum("_c").over(upto) - 1
-    ranked = cut.join(shifts, [*group, "_s"]).withColumn("_last", last).withColumn("_first", F.col("_last") - F.col("_c") + 1)
 
-    def value_at(rank):
-        return F.max(F.when((F.col("_first") <= rank) & (rank <= F.col("_last")), F.col("_v")))
-
-    ends = []
-    for i, p in enumerate(probs):
-        position = (F.col("_n") - 1) * float(p)
-        ends += [value_at(F.floor(position)).alias(f"_lo{i}"), value_at(F.ceil(position)).alias(f"_hi{i}")]
-    found = ranked.groupBy(*group, "_n", "_min", "_max").agg(*ends)
-    exact = []
+def _quantiles(rows: DataFrame, cells: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    reach = 2.0 / ACCURACY
+    ends = [min(1.0, max(0.0, p + side * reach)) for p in probs for side in (-1, 1)]
+    sketch = rows.groupBy(*group).agg(
+        F.count("*").alias("_n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", ends, ACCURACY).alias("_ends"),
+    )
+    counts = [F.sum(F.when(F.col("_v") < F.col("_ends")[2 * i], F.col("_c")).otherwise(0)).alias(f"_b{i}") for i in range(len(probs))]
+    counts += [F.sum(F.when(F.col("_v") <= F.col("_ends")[2 * i + 1], F.col("_c")).otherwise(0)).alias(f"_u{i}") for i in range(len(probs))]
+    facts = [*group, "_n", "_min", "_max"]
+    counted = cells.join(sketch, list(group)).groupBy(*facts, "_ends").agg(*counts)
+    brackets = []
     for i, p in enumerate(probs):
         position = (F.col("_n") - 1) * float(p)
-        exact.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (position - F.floor(position)))
-    return found.select(*group, F.col("_n").alias("n"), F.col("_min").alias("min_value"), F.col("_max").alias("max_value"), F.array(*exact).alias("quantiles"))
+        first, last = F.floor(position), F.ceil(position)
+        right = (F.col(f"_b{i}") <= first) & (last < F.col(f"_u{i}"))
+        brackets.append(
+            F.struct(
+                F.lit(i).alias("i"),
+                position.alias("position"),
+                F.when(right, F.col("_ends")[2 * i]).otherwise(F.col("_min")).alias("low"),
+                F.when(right, F.col("_ends")[2 * i + 1]).otherwise(F.col("_max")).alias("high"),
+                F.when(right, F.col(f"_b{i}")).otherwise(F.lit(0).cast("long")).alias("below"),
+            )
+        )
+    wanted = counted.select(*facts, F.array(*brackets).alias("_brackets"))
+    met = cells.join(wanted, list(group)).withColumn("_brackets", F.filter("_brackets", lambda b: (b["low"] <= F.col("_v")) & (F.col("_v") <= b["high"])))
+    inside = met.where(F.size("_brackets") > 0).withColumn("_b", F.explode("_brackets")).select(*facts, "_v", "_c", "_b.*")
+    upto = Window.partitionBy(*group, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("below") + F.sum("_c").over(upto)
+    ranked = inside.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c"))
+
+    def value_at(place):
+        return F.max(F.when((F.col("_start") <= place) & (place < F.col("_end")), F.col("_v")))
+
+    low, high, beyond = F.col("_low"), F.col("_high"), F.col("position") - F.floor("position")
+    exact = F.when((low == high) | (beyond == 0), low).otherwise(low + (high - low) * beyond)
+    pairs = ranked.groupBy(*facts, "i", "position").agg(value_at(F.floor("position")).alias("_low"), value_at(F.ceil("position")).alias("_high"))
+    found = pairs.groupBy(*facts).agg(F.array_sort(F.collect_list(F.struct("i", exact.alias("x")))).alias("_x"))  # one entry per wanted quantile
+    return found.select(*group, F.col("_n").alias("n"), F.col("_min").alias("min_value"), F.col("_max").alias("max_value"), F.transform("_x", lambda x: x["x"]).alias("quantiles"))
 
 
 def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
@@ -52,16 +72,18 @@ def group_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequ
 
     Quantiles interpolate linearly between neighbouring values. Rows with a NULL group or value are left out.
     """
-    return _of_cells(_cells(df, group, value), group, probs)
+    rows = _rows(df, group, value)
+    return _quantiles(rows, _cells(rows, group), group, probs)
 
 
 def box_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers inside 1.5 box lengths, outlier count.
 
-    Quartiles, whiskers and outliers read the same counts, which Spark computes once.
+    Quartiles, whiskers and outliers read the same counts. Infinite values lie outside a finite box.
     """
-    cells = _cells(df, group, value)
-    quartiles = _of_cells(cells, group, (0.25, 0.5, 0.75)).select(
+    rows = _rows(df, group, value)
+    cells = _cells(rows, group)
+    quartiles = _quantiles(rows, cells, group, (0.25, 0.5, 0.75)).select(
         *group,
         "n",
         F.col("quantiles")[0].alias("q1"),
@@ -71,7 +93,7 @@ def box_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("_v") >= F.col("q1") - reach) & (F.col("_v") <= F.col("q3") + reach)
     return (
-        spread_join(cells, quartiles, group, spread_on="_v")
+        cells.join(quartiles, list(group))
         .groupBy(*group, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),

@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from revlens.operators import distributions, trends
+from revlens.operators import distributions, quantiles, trends
 from revlens.operators.quantiles import box_stats, group_quantiles
-from revlens.operators.joins import spread_join
+from revlens.operators.joins import hot_keys, spread_join
 from revlens.operators.topk import top_per_group
 
 PROBS = (0.0, 0.05, 0.25, 0.5, 0.75, 0.99, 1.0)
@@ -94,6 +94,50 @@ def test_one_value_that_is_nearly_all_of_a_group(spark):
     assert box["n"] == 20_000 and box["median"] == 7.0 and box["n_outliers"] == int((values != 7.0).sum())
 
 
+def test_quantiles_whatever_the_spread(spark):
+    """An outlier, infinities and few rows leave quantiles exact; only values near a quantile are ordered."""
+    even = spark.range(1, 100_001).select(F.lit("far").alias("g"), F.col("id").cast("double").alias("v"))
+    rows = even.union(spark.createDataFrame([("far", 1e12), ("inf", 1.0), ("inf", 2.0), ("inf", float("inf")), ("inf", float("-inf")), ("one", 3.0), ("all", float("inf")), ("all", float("inf"))], "g string, v double"))
+    got = {r["g"]: r for r in group_quantiles(rows, ["g"], "v", PROBS).collect()}
+    values = np.append(np.arange(1.0, 100_001.0), 1e12)
+    assert got["far"]["quantiles"] == pytest.approx(np.quantile(values, PROBS).tolist(), rel=1e-12) and got["far"]["max_value"] == 1e12
+    assert set(got["one"]["quantiles"]) == {3.0} and set(got["all"]["quantiles"]) == {float("inf")}
+    assert group_quantiles(rows.where("g = 'inf'"), ["g"], "v", (0.5,)).first()["quantiles"] == [1.5]
+    box = {r["g"]: r for r in box_stats(rows, ["g"], "v").collect()}
+    assert box["far"]["n_outliers"] == 1 and box["far"]["whisker_high"] == 100_000.0
+
+
+def test_a_wrong_sketch_does_not_matter(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "ACCURACY", 2)
+    rows = spark.range(5000).select((F.col("id") % 3).alias("g"), F.pow(F.col("id") % 977, F.lit(2)).cast("double").alias("v"))
+    local = rows.toPandas()
+    for r in group_quantiles(rows, ["g"], "v", PROBS).collect():
+        assert r["quantiles"] == pytest.approx(np.quantile(local[local.g == r["g"]].v, PROBS).tolist(), abs=1e-9)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_hot_keys_are_sliced_alone(spark, how):
+    """One key of nine rows in ten, and null keys."""
+    facts = spark.range(3000).select("id", F.when(F.col("id") % 10 > 0, "hot").when(F.col("id") % 100 == 0, None).otherwise(F.concat(F.lit("k"), F.col("id") % 450)).alias("k"))
+    lookup = spark.createDataFrame([("hot", 1), ("k10", 2), ("zz", 3)], "k string, x int")
+    if how in ("left_semi", "left_anti"):
+        lookup = lookup.select("k")
+    hot = hot_keys(facts, ["k"])
+    marks = {r[0]: r[1] for r in facts.select("k", F.xxhash64("k")).distinct().collect()}
+    assert marks["hot"] in hot and len(hot) < len(marks)
+    found = spread_join(facts, lookup, ["k"], how, spread_on="id", hot=hot)
+    assert sorted(map(str, found.collect())) == sorted(map(str, facts.join(lookup, "k", how).collect()))
+    assert "_slice" not in found.columns
+
+
+def test_a_plan_without_hot_keys_repeats_no_lookup(spark):
+    facts = spark.range(5000).select("id", (F.col("id") % 2500).cast("string").alias("k"))
+    lookup = spark.range(2500).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("x"))
+    assert hot_keys(facts, ["k"]) == []
+    plan = spread_join(facts, lookup, ["k"], spread_on="id", hot=hot_keys(facts, ["k"]))._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "explode" not in plan.lower()
+
+
 def test_histogram_has_every_bin(spark):
     df = spark.createDataFrame([("a", 0.0), ("a", 1.0), ("a", 0.55), ("b", 0.1), ("b", None), ("c", -2.0), ("c", 1.5)], "bank string, s double")
     rows = {(r["bank"], r["bin"]): r["count"] for r in distributions.score_histogram(df, "bank", "s", 10).collect()}
