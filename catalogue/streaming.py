@@ -16,6 +16,7 @@ from revlens.functions.vocab import NO_THEME
 from revlens.operators.sentiment import label_from_rating, train_word_model
 from revlens.operators.warehouse import review_key
 from revlens.session import fresh_path, stage
+from revlens.sources.warehouse import read_facts
 from revlens.streaming import jobs
 
 
@@ -100,7 +101,7 @@ def stream_weekly_counts_so_far(spark, folder):
     counts = jobs.weekly_counts(_events(spark, folder), "ts", "event_type")
     path = fresh_path(spark, "weekly-so-far")
     jobs.replace_table(counts, path, fresh_path(spark, "weekly-so-far-checkpoint")).awaitTermination()
-    return spark.read.parquet(path).withColumn("week_ending", F.col("week_ending").cast("string"))
+    return jobs.read_table(spark, path).withColumn("week_ending", F.col("week_ending").cast("string"))
 
 
 @query("stream_fact_load", "SELECT DISTINCT sha256('=' || source || chr(31) || '=' || text) AS id, source AS bank FROM documents")
@@ -113,7 +114,9 @@ def stream_fact_load(spark, folder):
         jobs.load_facts(_documents(spark, folder), to_facts, path, f"{checkpoint}/1").awaitTermination()
         return jobs.load_facts(_documents(spark, folder), to_facts, path, f"{checkpoint}/2")
 
-    return _finish(spark, start, "facts")
+    path = fresh_path(spark, "facts")
+    start(path, fresh_path(spark, "facts-checkpoint")).awaitTermination()
+    return read_facts(spark, path)
 
 
 @query(

@@ -10,7 +10,7 @@ from revlens.functions.text import squeeze
 from revlens.operators import warehouse as ops
 from revlens.operators.joins import spread_join
 from revlens.session import fresh_path
-from revlens.sources.warehouse import append_facts
+from revlens.sources.warehouse import append_facts, read_facts
 
 RAW = f"WITH {REVIEWS_SQL} "
 LABELLED = f"WITH {LABELLED_SQL} "
@@ -163,5 +163,5 @@ def facts_loaded_twice(spark, folder):
     path = fresh_path(spark, "facts")
     for _ in range(2):
         append_facts(_facts(spark, folder), path)
-    stored = spark.read.parquet(path)
+    stored = read_facts(spark, path)
     return stored.select("id", "bank", F.col("rating").cast("int").alias("rating"), "themes")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from revlens.operators.warehouse import new_facts, report_extract
+from revlens.session import stage
+from revlens.sources import ledger
 
-MONTH = "month"
+MONTH, LOAD = "month", "load"
 
 # Names of the tables and columns of the store.
 REPORT_QUERY = """
@@ -48,24 +50,54 @@ def write_facts_jdbc(facts: DataFrame, url: str, table: str = "REVIEWS", batch_s
     writer.save()
 
 
-def append_facts(facts: DataFrame, path: str, date: str = "review_date") -> None:
-    """Append the facts that the stored table lacks, so that a repeated load changes nothing.
+def load_name(facts: DataFrame) -> tuple[str, int]:
+    """A name that a load has in every run, whatever its order and files, and its number of rows."""
+    marks = [F.sum(F.xxhash64(*([F.lit(salt)] if salt else []), "id").cast("decimal(38,0)")) for salt in (0, 1)]
+    n, *sums = facts.agg(F.count("*"), *marks).first()
+    return f"{n:x}-" + "-".join(f"{int(s or 0) % (1 << 64):016x}" for s in sums), n
 
-    Facts with a date are stored by its month. An id comes from its fact's content, the date included, so that a load is
-    compared with the months it touches alone; the others are pruned. Facts without such a column meet all stored ids.
+
+def read_facts(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """The facts of all recorded loads; what a broken load left is not among them."""
+    names = [row[0] for row in ledger.records(spark, path).where("n_rows > 0").select("name").distinct().collect()]  # one per load
+    if not names:
+        return spark.createDataFrame([], schema or "id string")
+    reader = spark.read.option("basePath", path)
+    return (reader.schema(schema) if schema else reader).parquet(*(f"{path}/{LOAD}={name}" for name in sorted(names))).drop(LOAD)
+
+
+def append_facts(facts: DataFrame, path: str, date: str = "review_date") -> bool:
+    """Append the facts that the stored table lacks, as a load of its own; whether it wrote anything.
+
+    A load is named by its facts and recorded last. A load that was recorded is known by its name and meets no stored fact; one that broke
+    off left no record, is not read, and is written anew in its place. Only a new load is compared with stored facts: with a date,
+    which is part of a fact's id, those of the months it touches in the loads that touched them; without one, all.
     """
+    spark = facts.sparkSession
     dated = date in facts.columns
     if dated:
         facts = facts.withColumn(MONTH, F.coalesce(F.date_format(date, "yyyy-MM"), F.lit("none")))
-    try:
-        stored = facts.sparkSession.read.schema(facts.schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = facts.limit(0)
+    facts = stage(facts, "load")
+    name, n = load_name(facts)
+    known = ledger.records(spark, path)
+    if n == 0 or not known.where(F.col("name") == name).isEmpty():
+        return False
+    months = [row[0] for row in facts.select(MONTH).distinct().collect()] if dated else []  # a load's months
+    met = known.where("n_rows > 0")
     if dated:
-        stored = stored.join(facts.select(MONTH).distinct(), MONTH, "left_semi")
-    new_facts(facts, stored).write.mode("append").partitionBy(*([MONTH] if dated else [])).parquet(path)
+        met = met.where(F.arrays_overlap("parts", F.lit(months)))
+    loads = sorted({row[0] for row in met.select("name").collect()})
+    new = facts
+    if loads:
+        stored = spark.read.schema(facts.schema).option("basePath", path).parquet(*(f"{path}/{LOAD}={one}" for one in loads))
+        new = new_facts(facts, stored.where(F.col(MONTH).isin(months)) if dated else stored)
+    else:
+        new = new_facts(facts, facts.limit(0))
+    folder = f"{path}/{LOAD}={name}"
+    new.write.mode("overwrite").partitionBy(*([MONTH] if dated else [])).parquet(folder)
+    written = spark.read.schema(facts.schema).parquet(folder).count()
+    ledger.record(spark, path, name, written, months)
+    return written > 0
 
 
 def list_columns(spark: SparkSession, database: str | None = None) -> DataFrame:

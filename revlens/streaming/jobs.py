@@ -6,6 +6,7 @@ trigger. Checkpoints belong in the shared folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -14,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from revlens.operators.lexicon import compound
 from revlens.operators.sentiment import add_sentiment
 from revlens.operators.themes import themes_of_text
+from revlens.sources import ledger
 from revlens.sources.warehouse import append_facts
 
 ALL_AVAILABLE = {"availableNow": True}
@@ -54,14 +56,28 @@ def weekly_sentiment(stream: DataFrame, event_time: str = "review_ts", delay: st
 
 
 def replace_table(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Keep a small aggregate up to date: after each batch the folder holds the complete result."""
+    """Keep an aggregate up to date: each batch writes the complete result as a new version and then records it.
+
+    Readers follow the record (`read_table`), so that a version is never overwritten while it is read and a broken one is never
+    seen. Old versions stay until the caller removes them.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        name = uuid.uuid4().hex
+        batch.write.parquet(f"{path}/version={name}")
+        ledger.record(batch.sparkSession, path, name, batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/version={name}").count())
 
     return for_each_batch(stream, write, checkpoint, trigger, "complete")
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest recorded version of a table that `replace_table` keeps."""
+    name = ledger.newest(spark, path)
+    if name is None:
+        raise ValueError(f"no version of {path} is recorded")
+    return spark.read.parquet(f"{path}/version={name}")
+
+
 def for_each_batch(
     stream: DataFrame,
     work: Callable[[DataFrame, int], None],
@@ -74,7 +90,7 @@ def for_each_batch(
 
 
 def load_facts(stream: DataFrame, to_facts: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Load each batch into the fact table; a batch that runs again adds nothing."""
+    """Load each batch into the fact table; a batch that runs again, from the same checkpoint or another, adds nothing."""
 
     def load(batch: DataFrame, _: int) -> None:
         append_facts(to_facts(batch), path)
