@@ -9,6 +9,7 @@ from catalogue.reviews import CLEANED_SQL, LABELLED_SQL, REVIEWS_SQL, cleaned, l
 from revlens.functions.text import is_blank
 from revlens.functions.vocab import INVALID_MARKERS
 from revlens.operators import profile, rows as ops
+from revlens.session import stage
 
 RAW = f"WITH {REVIEWS_SQL} "
 LABELLED = f"WITH {LABELLED_SQL} "
@@ -194,6 +195,7 @@ def text_profile(spark, folder):
     return profile.text_profile(reviews(spark, folder))
 
 
+SKETCHED = ["event_id", "user_id", "event_type", "value"]
 EVENT_COLUMNS = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
 
 
@@ -213,6 +215,27 @@ def distinct_counts(spark, folder):
     return profile.distinct_counts(table(spark, folder, "events")).orderBy(F.desc("n_distinct"), "column_name")
 
 
+def _in_bounds(span):
+    return " UNION ALL ".join(f"SELECT '{name}' AS span, '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, true AS within_bounds FROM events WHERE {where}" for name, where in span for c in SKETCHED)
+
+
+@query("distinct_counts_by_sketch", _in_bounds([("all", "true"), ("first ten days", "CAST(ts AS DATE) < (SELECT CAST(min(ts) AS DATE) + 10 FROM events)")]))
+def distinct_counts_by_sketch(spark, folder):
+    """Sketches kept per day, merged for two spans, beside the exact counts: whether each estimate is within four deviations."""
+    events = table(spark, folder, "events")
+    daily = stage(profile.distinct_sketches(events, F.to_date("ts"), SKETCHED), "sketches")
+    first = events.agg(F.date_add(F.to_date(F.min("ts")), 10)).scalar()
+    spans = {"all": (F.lit(True), F.lit(True)), "first ten days": (F.col("part") < first, F.to_date("ts") < first)}
+    out = None
+    for name, (parts, rows) in spans.items():
+        both = profile.distinct_over(daily.where(parts)).join(profile.distinct_counts(events.where(rows).select(*SKETCHED)), "column_name")
+        error = 4 * 1.04 / 2 ** (profile.SKETCH_LG / 2)
+        near = F.abs(F.col("n_estimated") - F.col("n_distinct")) <= F.greatest(F.lit(1.0), F.col("n_distinct") * error)
+        one = both.select(F.lit(name).alias("span"), "column_name", "n_distinct", near.alias("within_bounds"))
+        out = one if out is None else out.union(one)
+    return out
+
+
 @query("table_shape", RAW + "SELECT count(*) AS n_rows, CAST(8 AS BIGINT) AS n_columns FROM reviews")
 def table_shape(spark, folder):
     return profile.table_shape(reviews(spark, folder))

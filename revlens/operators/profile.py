@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from revlens.functions.text import percent_text, strip
 from revlens.functions.vocab import INVALID_MARKERS
@@ -12,6 +12,8 @@ from revlens.operators.columns import is_missing
 from revlens.operators.quantiles import group_quantiles
 from revlens.operators.topk import top_per_group
 
+SKETCH_LG = 12
+
 
 def _per_column(df: DataFrame, expressions: dict[str, dict[str, object]]) -> DataFrame:
     """One aggregation over the table, turned into one row per column."""
@@ -127,5 +129,20 @@ def distinct_counts(df: DataFrame) -> DataFrame:
     return _per_column(df, {name: {"n_distinct": F.count_distinct(F.col(f"`{name}`"))} for name in df.columns})
 
 
+def distinct_sketches(df: DataFrame, part: Column, columns: Sequence[str], lg: int = SKETCH_LG) -> DataFrame:
+    """`(part, column_name, sketch)`: a HyperLogLog sketch of each column's distinct values in each part, such as a day.
+
+    Sketches of days are kept and merged for any span without reading its rows again. A sketch has 2**lg cells whatever it has seen;
+    its estimate is off by more than three times 1.04 / sqrt(2**lg) about once in four hundred.
+    """
+    sketched = df.groupBy(part.alias("part")).agg(*(F.hll_sketch_agg(F.col(f"`{c}`").cast("string"), lg).alias(f"_s{i}") for i, c in enumerate(columns)))
+    return sketched.select("part", F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"_s{i}").alias("sketch")) for i, c in enumerate(columns)))).alias("_s")).select("part", "_s.*")
+
+
+def distinct_over(sketches: DataFrame) -> DataFrame:
+    """`(column_name, n_estimated)` of the merged sketches; keep the wanted parts before."""
+    return sketches.groupBy("column_name").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_estimated"))
+
+
 def table_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)).cast("long"))
