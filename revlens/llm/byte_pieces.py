@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -118,10 +119,14 @@ class Codec:
             known.clear()
         return out
 
-    def decode(self, ids: list[int]) -> bytes:
+    def parts_of(self, ids: list[int]) -> list[bytes]:
+        """The bytes of each id."""
         if not self.bytes:
             self.bytes = {rank: unmapped(self.processor.id_to_piece(place)) for place, rank in enumerate(self.ranks)}
-        return b"".join(map(self.bytes.__getitem__, ids))
+        return list(map(self.bytes.__getitem__, ids))
+
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(self.parts_of(ids))
 
 
 def multi_50k() -> dict[bytes, int]:
@@ -158,7 +163,10 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Dat
         for batch in one_by_one(batches):
             for start in range(0, batch.num_rows, 256):
                 some = batch.slice(start, 256)
-                found = [None if one is None else codec.decode(one) for one in (x.as_py() for x in some.column(place))]
+                column = some.column(place)
+                ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)).tolist()
+                parts = codec.parts_of(column.flatten().to_numpy(zero_copy_only=False).tolist())
+                found = [b"".join(parts[begin:end]) if there else None for begin, end, there in zip([0, *ends], ends, column.is_valid().to_pylist(), strict=False)]
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(found, pa.binary())], names=names)
 
     return carried.mapInArrow(run, carried.withColumn("decoded", F.lit(None).cast("binary")).schema)
