@@ -165,8 +165,8 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Dat
                 some = batch.slice(start, 256)
                 column = some.column(place)
                 ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)).tolist()
-                parts = codec.parts_of(column.flatten().to_numpy(zero_copy_only=False).tolist())
-                found = [b"".join(parts[begin:end]) if there else None for begin, end, there in zip([0, *ends], ends, column.is_valid().to_pylist(), strict=False)]
+                bits = codec.parts_of(column.flatten().to_numpy(zero_copy_only=False).tolist())
+                found = [b"".join(bits[begin:end]) if there else None for begin, end, there in zip([0, *ends], ends, column.is_valid().to_pylist(), strict=False)]
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(found, pa.binary())], names=names)
 
     return carried.mapInArrow(run, carried.withColumn("decoded", F.lit(None).cast("binary")).schema)
