@@ -33,8 +33,9 @@ FACTOR = 0.6
 class Tree:
     """A vantage-point tree over rows of `points`, as flat arrays; rows of a leaf lie together in `order`."""
 
-    def __init__(self, points: np.ndarray, leaf: int = LEAF):
+    def __init__(self, points: np.ndarray, leaf: int = LEAF, labels: np.ndarray | None = None):
         self.points, self.leaf = points, leaf
+        self.labels = np.append(np.arange(len(points)) if labels is None else labels, np.iinfo(np.int64).max)  # the last one is of no row
         self.order = np.arange(len(points))
         self.nodes: list[tuple[int, int, int, float, int, int]] = []
         self.root = self._build(0, len(points))
@@ -57,7 +58,7 @@ class Tree:
         return number
 
     def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest rows of each query and their distances, nearest first; missing ones have row -1."""
+        """The k nearest rows of each query and their squared distances, nearest first, ties (to 12 places) to the smaller label; missing ones have row -1."""
         best = np.full((len(queries), k), np.inf)
         rows = np.full((len(queries), k), -1)
 
@@ -65,10 +66,10 @@ class Tree:
             start, stop, vantage, radius, inner, outer = self.nodes[node]
             if vantage < 0:
                 inside = self.order[start:stop]
-                square = np.maximum(2 - 2 * queries[who] @ self.points[inside].T, 0)
-                distance = np.concatenate([best[who], np.sqrt(square)], axis=1)
+                square = np.round(np.maximum(2 - 2 * queries[who] @ self.points[inside].T, 0), 12)
+                distance = np.concatenate([best[who], square], axis=1)
                 names = np.concatenate([rows[who], np.broadcast_to(inside, (len(who), len(inside)))], axis=1)
-                first = np.argsort(distance, axis=1, kind="stable")[:, :k]
+                first = np.lexsort((self.labels[names], distance), axis=1)[:, :k]
                 best[who] = np.take_along_axis(distance, first, axis=1)
                 rows[who] = np.take_along_axis(names, first, axis=1)
                 return
@@ -78,7 +79,7 @@ class Tree:
                 if len(group):
                     visit(near, group)
                     # the slack covers rounding in distances taken from dot products
-                    left = group[margin * factor_inverse <= best[group, -1] + 1e-7]
+                    left = group[margin * factor_inverse <= np.sqrt(best[group, -1]) + 2e-6]
                     if len(left):
                         visit(far, left)
 
@@ -127,7 +128,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, vector: str = "embed
             wanted = _matrix(right.column("vector").combine_chunks())
             scaled = original / np.sqrt((original / np.abs(original).max(axis=1, keepdims=True)) ** 2 @ np.ones((original.shape[1], 1))) / np.abs(original).max(axis=1, keepdims=True)
             probes = wanted / np.sqrt((wanted / np.abs(wanted).max(axis=1, keepdims=True)) ** 2 @ np.ones((wanted.shape[1], 1))) / np.abs(wanted).max(axis=1, keepdims=True)
-            rows, _ = Tree(scaled).search(probes, min(k + 1, len(original)), factor)
+            rows, _ = Tree(scaled, labels=np.array([some[0] for some in ids], np.int64)).search(probes, min(k + 1, len(original)), factor)
             for name, probe, found in zip(right.column("vec_id").to_pylist(), wanted, rows, strict=True):
                 found = found[found >= 0]
                 near = original[found]

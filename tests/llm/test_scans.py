@@ -304,3 +304,12 @@ def test_surrogates_stay_distinct_in_a_narrow_format(spark):
 )
 def test_empty_tables_give_empty_results(spark, operator):
     assert operator(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("factor", [0.6, 1.0])
+def test_ties_of_directions_go_to_smaller_ids(spark, factor):
+    """One direction at many lengths: all cosines are equal, in one tree of many leaves."""
+    rows = [(i, [float(3 * 2**i), float(5 * 2**i), float(7 * 2**i)]) for i in range(40)] + [(100 + i, [1.0, float(i), -2.0]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = sorted((r.rank, r.vec_id) for r in vantage.nearest(df, df.where("vec_id = 0"), 5, factor=factor).collect())
+    assert found == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
