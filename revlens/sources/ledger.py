@@ -6,6 +6,7 @@ folders that the records name, so that half-written ones are never seen and noth
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -19,7 +20,7 @@ def _path(path: str) -> str:
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """Every recorded write: its number, name, rows and the parts (such as months) it touched. Nothing recorded: no rows."""
+    """Every recorded write: its number, name, rows if they were counted, and the parts (such as months) it touched. Nothing recorded: no rows."""
     try:
         return spark.read.schema(RECORD).parquet(_path(path))
     except AnalysisException as error:
@@ -28,11 +29,9 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], RECORD)
 
 
-def record(spark: SparkSession, path: str, name: str, n_rows: int, parts: Sequence[str] = ()) -> None:
-    """Add one record; its number is one above the highest."""
-    highest = records(spark, path).selectExpr("max(number)").first()[0]
-    number = 0 if highest is None else highest + 1
-    row = spark.createDataFrame([(number, name, n_rows, list(parts))], RECORD.rsplit(",", 1)[0]).selectExpr("*", "current_timestamp() AS recorded")
+def record(spark: SparkSession, path: str, name: str, n_rows: int | None = None, parts: Sequence[str] = ()) -> None:
+    """Add one record, numbered by the writer's clock: a table has one writer at a time."""
+    row = spark.createDataFrame([(time.time_ns(), name, n_rows, list(parts))], RECORD.rsplit(",", 1)[0]).selectExpr("*", "current_timestamp() AS recorded")
     row.coalesce(1).write.mode("append").parquet(_path(path))
 
 
