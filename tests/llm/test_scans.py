@@ -3,6 +3,7 @@
 import re
 import textwrap
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -139,6 +140,45 @@ def test_mined_rules_block_what_brute_force_finds(spark):
         assert verdicts[i] == ("block" if bad(u) else "allow")
 
 
+def rules_by_brute_force(data, need, confidence):
+    """Every set of tokens of a bad URL that implies block often and surely enough and surer than each of its parts."""
+    sets = {frozenset(c) for t, bad in data if bad for k in range(1, len(t) + 1) for c in combinations(sorted(t), k)}
+    found = {}
+    for x in sets:
+        having = [bad for t, bad in data if x <= t]
+        if sum(having) >= need and sum(having) / len(having) >= confidence:
+            found[x] = sum(having) / len(having)
+    return {x: c for x, c in found.items() if not any(y < x and d >= c for y, d in found.items())}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rules_equal_brute_force(spark, seed):
+    """Tokens that always stand together, tokens of bad URLs only, and tokens of all URLs among others."""
+    rng = np.random.default_rng(seed)
+    data = []
+    for _ in range(120):
+        t = {"all"} | {f"w{x}" for x in rng.choice(5, rng.integers(0, 4))}
+        t |= {"twin1", "twin2", "twin3"} if rng.random() < 0.4 else set()
+        bad = bool("w1" in t and "twin1" in t or rng.random() < 0.1)
+        data.append((t | ({"sure"} if bad and rng.random() < 0.3 else set()), bad))
+    examples = spark.createDataFrame([(sorted(t), bad) for t, bad in data] + [([], True)], "tokens array<string>, bad boolean")
+    for confidence in (0.3, 0.7):
+        found = {frozenset(r.antecedent): r for r in url_rules.mine(examples, 0.05, confidence).collect()}
+        expected = rules_by_brute_force(data, 6, confidence)
+        assert {x: round(r.confidence, 9) for x, r in found.items()} == {x: round(c, 9) for x, c in expected.items()}
+        assert all(r.key in x and abs(r.support * len(data) - sum(bad for t, bad in data if x <= t)) < 1e-6 for x, r in found.items())
+
+
+def test_a_site_of_many_shared_parts_is_mined_as_one(spark):
+    shared = "/".join(f"part{i}" for i in range(25))
+    pages = spark.range(2000).selectExpr("id AS page_id", f"concat('http://site', id % 3, '.example.org/{shared}/', id) AS url")
+    labels = pages.selectExpr("page_id AS doc_id", "1 AS quality", "CAST(page_id % 3 = 1 OR page_id % 10 = 0 AS INT) AS toxic")
+    rules = url_rules.class_rules(url_rules.labelled(pages, labels, seeds=("none",)))
+    assert [r.antecedent for r in rules.collect()] == [[["h:site1"]]]
+    found = {r.page_id: r.verdict for r in url_rules.judge(pages, labels, rules=(("none/", "block"),), seeds=("none",)).collect()}
+    assert found == {i: "block" if i % 3 == 1 else "allow" for i in range(2000)}
+
+
 def test_token_trees(spark, case):  # noqa: F811
     df, rows = case
     plain = Tokenizer.from_file(JSON)
