@@ -36,6 +36,34 @@ def _license_scan() -> str:
     FROM b LEFT JOIN f ON f.doc_id = b.doc_id"""
 
 
+def _license_windows() -> str:
+    word = license_scan.WORD
+    places, marks = [], []
+    for phrase, label in license_scan.PHRASES:
+        wanted = license_scan.words(phrase)
+        places.append(f"list_transform(list_filter(range(1, len(ws) - {len(wanted)} + 2), lambda i: ws[i:i + {len(wanted) - 1}] = {_list(wanted)}), lambda i: {{'at': i - 1, 'label': '{label}'}})")
+    for label, body in license_scan.TEMPLATES:
+        notice = license_scan.words(body)
+        wanted = sorted(set(notice))
+        need = -(-len(wanted) * round(license_scan.THRESHOLD * 1000) // 1000)
+        length = -(-len(notice) * 1000 // round(license_scan.THRESHOLD * 1000))
+        starts = f"range(1, greatest(1, len(ws) - {length - 1}) + 1)"
+        # no window has a template's words if the whole text has not
+        best = f"list_max(list_transform({starts}, lambda i: len(list_intersect(ws[i:i + {length - 1}], {_list(wanted)}))))"
+        marks.append(f"SELECT doc_id, '{label}' AS label, {need} AS need, {len(wanted)} AS size, {best} AS common FROM w WHERE len(list_intersect(ws, {_list(wanted)})) >= {need}")
+    return rf"""WITH d AS (SELECT doc_id, coalesce(translate(text, '{UPPER}', '{LOWER}'), '') AS t FROM documents),
+    w AS (SELECT doc_id, regexp_extract_all(t, '{word}') AS ws FROM d),
+    b AS (SELECT doc_id, len(ws) AS n_words, flatten([{", ".join(places)}]) AS hits FROM w),
+    m AS ({" UNION ALL ".join(marks)}),
+    f AS (SELECT doc_id, list(DISTINCT label) AS own, max(common / size) AS score FROM m WHERE common >= need GROUP BY doc_id)
+    SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(hits) AS BIGINT) AS n_base,
+      list_min(list_transform(hits, lambda h: h.at)) AS first_word, list_max(list_transform(hits, lambda h: h.at)) AS last_word,
+      coalesce(array_to_string(list_sort(list_distinct(list_transform(hits, lambda h: h.label))), ','), '') AS base_labels,
+      coalesce(array_to_string(list_sort(list_distinct(list_concat(list_transform(hits, lambda h: h.label), coalesce(f.own, [])))), ','), '') AS labels,
+      coalesce(f.score, 0.0) AS score
+    FROM b LEFT JOIN f ON f.doc_id = b.doc_id"""
+
+
 def _jaccard() -> str:
     return rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(translate(text, '{UPPER}', '{LOWER}'), ''), '{SPACED}') AS ws FROM documents),
     sets AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
@@ -131,4 +159,4 @@ def _collocations() -> str:
     SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM lowest QUALIFY rank <= {top}"""
 
 
-ORACLES: dict[str, str] = {"op1_license_scan": _license_scan(), "op5_ngram_jaccard": _jaccard(), "op10_source_mix": _mix(), "op11_conversation_repair": _repair(), "op13_collocations": _collocations()}
+ORACLES: dict[str, str] = {"op1_license_scan": _license_scan(), "op1_license_windows": _license_windows(), "op5_ngram_jaccard": _jaccard(), "op10_source_mix": _mix(), "op11_conversation_repair": _repair(), "op13_collocations": _collocations()}
