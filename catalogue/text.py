@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.registry import query, table
 from catalogue.reviews import CLEANED_SQL, LABELLED_SQL, REVIEWS_SQL, cleaned, labelled, reviews
 from revlens.functions import lists, text as fn
+from revlens.functions.lemmas import KEPT, RULES, base_form
 from revlens.functions.vocab import EMOJI_WORDS, LEMMAS, NO_THEME, STOP_WORDS, THEME_RULES
 from revlens.operators import keywords as kw, normalise, themes
 from revlens.operators.distributions import keyword_frequencies
@@ -66,12 +67,12 @@ STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
 BASES = ", ".join(f"('{form}', '{base}')" for form, base in LEMMAS.items())
 
 
-def normal_ctes(source: str, row_id: str, text: str) -> str:
+def normal_ctes(source: str, row_id: str, text: str, otherwise: str = "p.w") -> str:
     """CTEs ending in `normal(id, cleaned_text)` for the rows of `source`."""
     return rf"""bases(form, base) AS (VALUES {BASES}),
     splits AS (SELECT {row_id} AS id, string_split_regex(regexp_replace(lower(coalesce({text}, '')), '{NON_WORD}', '', 'g'), '\s+') AS ws FROM {source}),
     pieces AS (SELECT id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM splits),
-    joined AS (SELECT p.id, string_agg(coalesce(b.base, p.w), ' ' ORDER BY p.i) AS t FROM pieces p LEFT JOIN bases b ON b.form = p.w
+    joined AS (SELECT p.id, string_agg(coalesce(b.base, {otherwise}), ' ' ORDER BY p.i) AS t FROM pieces p LEFT JOIN bases b ON b.form = p.w
       WHERE p.w <> '' AND p.w NOT IN ({STOPS}) GROUP BY p.id),
     normal AS (SELECT s.id, coalesce(j.t, '') AS cleaned_text FROM splits s LEFT JOIN joined j ON j.id = s.id)"""
 
@@ -89,6 +90,20 @@ def normalised_text_by_tables(spark, folder):
     return cleaned_text.select("review_id", "cleaned_text")
 
 
+BY_RULES = " ".join(
+    [
+        "CASE WHEN p.w IN (" + ", ".join(f"'{w}'" for w in sorted(KEPT)) + ") THEN p.w",
+        *(f"WHEN regexp_matches(p.w, '{pattern}') THEN regexp_extract(p.w, '{pattern}', 1) || '{ending}'" for pattern, ending in RULES),
+        "ELSE p.w END",
+    ]
+)
+
+
+@query("normalised_text_by_rules", RAW + f", {normal_ctes('reviews', 'review_id', 'content', BY_RULES)} SELECT id AS review_id, cleaned_text FROM normal")
+def normalised_text_by_rules(spark, folder):
+    return reviews(spark, folder).select("review_id", fn.normalise("content", otherwise=base_form).alias("cleaned_text"))
+
+
 THEMED = f"WITH {LABELLED_SQL} "
 
 

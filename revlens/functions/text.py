@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -107,11 +107,13 @@ def normalise(
     c: Column | str,
     stop_words: Sequence[str] = STOP_WORDS,
     lemmas: Mapping[str, str] = LEMMAS,
+    otherwise: Callable[[Column], Column] = lambda word: word,
 ) -> Column:
     """Lower-case, strip punctuation, drop stop words, map words to their base form.
 
     Works inside the row: no token leaves its review, so nothing is shuffled. The membership
-    tests become hash-set lookups, and only words known to have a base form consult the map.
+    tests become hash-set lookups, and only words known to have a base form consult the map; `otherwise`, for
+    instance `lemmas.base_form`, gives the base form of all others.
     """
     tokens = F.split(strip_punctuation(F.lower(F.coalesce(_col(c), F.lit("")))), SPACES)
     kept = F.filter(tokens, lambda word: (word != "") & ~word.isin(list(stop_words)))
@@ -119,8 +121,10 @@ def normalise(
         table = F.create_map(*[F.lit(part) for pair in lemmas.items() for part in pair])
         kept = F.transform(
             kept,
-            lambda word: F.when(word.isin(list(lemmas)), F.element_at(table, word)).otherwise(word),
+            lambda word: F.when(word.isin(list(lemmas)), F.element_at(table, word)).otherwise(otherwise(word)),
         )
+    else:
+        kept = F.transform(kept, lambda word: otherwise(word))
     return F.array_join(kept, " ")
 
 
