@@ -1,6 +1,6 @@
 """Phrases that keep together, counted in tiles of frequency-ranked ids.
 
-Texts become streams of ids in chunks of some megabytes. Words are counted per language, those with `least` occurrences
+Texts become streams of ids in chunks of some megabytes, filled from many batches and kept compressed. Words are counted per language, those with `least` occurrences
 are ranked by frequency and get dense ids, so that the pairs that matter most lie in the first tiles. Adjacent ids of a chunk are
 pairs; the plane of pairs is cut into square tiles, a tile that a chunk fills well is counted directly by a dense bincount,
 the others as sorted coordinates. Counts of chunks are added by Spark. Frequent pairs are ranked and get ids of their own, the stream
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,37 +38,68 @@ LEAST = 100
 TOP = 2000
 TILE = 1024
 CHUNK = 8 << 20
+WAITING = 2 * CHUNK  # bytes of all languages that a task holds until their chunks are full
 BORDER = b"\n"
 # A-Z become lower case, a tab a blank, and what ends a piece a line break.
 READ = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + BORDER * 9)
 NONE = np.uint32(0xFFFFFFFF)
 
 
+def shut(stream: np.ndarray) -> bytes:
+    """A stream in few bytes: frequent words have small ids, so that most high bytes are zero; equal places of all ids lie together."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(stream.astype(np.uint32, copy=False).view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def opened(data: pa.Scalar) -> np.ndarray:
+    """The stream of `shut`."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data.as_buffer()), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+
+
 def chunks(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """chunk, lang, n (words), stream (a local id per word and border, 32 bits each), words and counts by local id; id 0 is the border."""
+    """chunk, lang, n (words), stream (a local id per word and border, `shut`), words and counts by local id; id 0 is the border."""
+
+    def chunk(number: int, lang: str, parts: list[bytes]) -> pa.RecordBatch:
+        tokens = list(filter(None, b"\n".join(parts).replace(BORDER, b" \n ").split(b" ")))
+        local: defaultdict[bytes, int] = defaultdict()
+        local.default_factory = local.__len__
+        local[BORDER]
+        stream = np.fromiter(map(local.__getitem__, tokens), np.uint32, len(tokens))
+        del tokens
+        counts = np.bincount(stream, minlength=len(local))
+        counts[0] = 0
+        words = pa.array(local, pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number]), pa.array([lang]), pa.array([int(counts.sum())]), pa.array([shut(stream)], pa.binary()), pa.array([words], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64()))],
+            names=["chunk", "lang", "n", "stream", "words", "counts"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
+        waiting: dict[str, list[bytes]] = {}
+        held: dict[str, int] = {}
+
+        def full(lang: str) -> pa.RecordBatch:
+            nonlocal number
+            number += 1
+            del held[lang]
+            return chunk(number - 1, lang, waiting.pop(lang))
+
         for batch in one_by_one(batches):
             column, langs = texts(batch.column(0)), batch.column(1).fill_null("und")
             for one in langs.unique().to_pylist():
                 of_lang = column.filter(pc.equal(langs, one))
-                for start, stop in pieces(of_lang, CHUNK):
+                for start, stop in pieces(of_lang, CHUNK // 4):
                     data = b"\n".join(t.as_buffer().to_pybytes() for t in of_lang.slice(start, stop - start)).translate(READ)
-                    tokens = list(filter(None, data.replace(BORDER, b" \n ").split(b" ")))
-                    local: defaultdict[bytes, int] = defaultdict()
-                    local.default_factory = local.__len__
-                    local[BORDER]
-                    stream = np.fromiter(map(local.__getitem__, tokens), np.uint32, len(tokens))
-                    del data, tokens
-                    counts = np.bincount(stream, minlength=len(local))
-                    counts[0] = 0
-                    words = pa.array(local, pa.binary()).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([number]), pa.array([one]), pa.array([int(counts.sum())]), pa.array([stream.tobytes()], pa.binary()), pa.array([words], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64()))],
-                        names=["chunk", "lang", "n", "stream", "words", "counts"],
-                    )
-                    number += 1
+                    if held.get(one, 0) + len(data) > CHUNK and one in held:
+                        yield full(one)
+                    waiting.setdefault(one, []).append(data)
+                    held[one] = held.get(one, 0) + len(data)
+                    del data
+                    if sum(held.values()) > WAITING:
+                        yield full(max(held, key=held.__getitem__))
+        for one in list(held):
+            yield full(one)
 
     return docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).mapInArrow(run, "chunk long, lang string, n long, stream binary, words array<string>, counts array<long>")
 
@@ -84,14 +116,14 @@ def renamed(streams: DataFrame, named: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_by_one(batches):
             for i in range(batch.num_rows):
-                stream = np.frombuffer(batch.column(1)[i].as_buffer(), np.uint32)
+                stream = opened(batch.column(1)[i])
                 pairs = batch.column(2)[i].values
                 at, ids = pairs.field(0).to_numpy(), pairs.field(1).to_numpy()
                 if ids.max() >= NONE:
                     raise OverflowError("more frequent phrases than 32-bit ids")
                 names = np.full(int(stream.max(initial=0)) + 1, NONE, np.uint32)
                 names[at] = ids
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([names[stream].tobytes()], pa.binary())], names=["chunk", "stream"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([shut(names[stream])], pa.binary())], names=["chunk", "stream"])
 
     return streams.select("chunk", "stream").join(found, "chunk").select("chunk", "stream", "names").mapInArrow(run, "chunk long, stream binary")
 
@@ -133,7 +165,7 @@ def pair_counts(streams: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_by_one(batches):
             for stream in batch.column(0):
-                keys, counts = tile_counts(stream_pairs(np.frombuffer(stream.as_buffer(), np.uint32))[1])
+                keys, counts = tile_counts(stream_pairs(opened(stream))[1])
                 for start in range(0, len(keys), 1 << 16):
                     yield pa.RecordBatch.from_arrays([pa.array(keys[start : start + (1 << 16)].view(np.int64)), pa.array(counts[start : start + (1 << 16)])], names=["key", "a"])
 
@@ -155,13 +187,13 @@ def local_pairs(streams: DataFrame, frequent: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_by_one(batches):
             for i in range(batch.num_rows):
-                places, pairs = stream_pairs(np.frombuffer(batch.column(1)[i].as_buffer(), np.uint32))
+                places, pairs = stream_pairs(opened(batch.column(1)[i]))
                 keep = may_hold(bits.value, mixed(pairs).view(np.int64))
                 places, pairs = places[keep], pairs[keep]
                 if len(pairs):
                     keys, numbers = np.unique(pairs, return_inverse=True)
                     stream = np.insert(numbers.astype(np.uint32) + np.uint32(1), np.flatnonzero(np.diff(places) > 1) + 1, np.uint32(0))
-                    columns = [pa.array([stream.tobytes()], pa.binary()), pa.array([keys.view(np.int64)], pa.list_(pa.int64()))]
+                    columns = [pa.array([shut(stream)], pa.binary()), pa.array([keys.view(np.int64)], pa.list_(pa.int64()))]
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), *columns], names=["chunk", "stream", "keys"])
 
     return streams.mapInArrow(run, "chunk long, stream binary, keys array<long>")
