@@ -9,13 +9,32 @@ def _values(table: dict[str, float]) -> str:
     return ", ".join(f"('{word}', CAST({value} AS DOUBLE))" for word, value in table.items())
 
 
-def compound_ctes(source: str, row_id: str, text: str) -> str:
-    """CTEs ending in `compounds(id, compound)` for the rows of `source`."""
+def induced_ctes(source: str, text: str, least: int, rounds: int, damping: float, faintest: float) -> str:
+    """CTEs ending in `induced(w, v)`, the lexicon grown from the rows of `source`."""
+    steps = ", ".join(
+        f"""round{k}(w, v) AS (SELECT w, v FROM seeds UNION ALL SELECT s.a, sum(s.share * r.v) * {damping}
+      FROM shares s JOIN round{k - 1} r ON r.w = s.b GROUP BY s.a)"""
+        for k in range(1, rounds + 1)
+    )
+    return rf"""seeds(w, v) AS (VALUES {_values(LEXICON)}),
+    read AS (SELECT row_number() OVER () AS id, regexp_extract_all(lower(regexp_replace({text}, '[''’]', '', 'g')), '[\p{{L}}\p{{N}}_]{{2,}}') AS ts FROM {source}),
+    side AS (SELECT id, unnest(ts) AS w, generate_subscripts(ts, 1) AS i FROM read),
+    met AS (SELECT w AS a, lead(w) OVER (PARTITION BY id ORDER BY i) AS b FROM side),
+    pairs AS (SELECT least(a, b) AS a, greatest(a, b) AS b, count(*) AS n FROM met WHERE a <> b GROUP BY 1, 2 HAVING count(*) >= {least}),
+    edges AS (SELECT a, b, n FROM pairs UNION ALL SELECT b, a, n FROM pairs),
+    shares AS (SELECT a, b, n / CAST(sum(n) OVER (PARTITION BY a) AS DOUBLE) AS share FROM edges WHERE a NOT IN (SELECT w FROM seeds)),
+    round0(w, v) AS (SELECT w, v FROM seeds), {steps},
+    induced(w, v) AS (SELECT w, v FROM round{rounds} WHERE round(abs(v), 6) >= {faintest})"""
+
+
+def compound_ctes(source: str, row_id: str, text: str, lexicon: str = "") -> str:
+    """CTEs ending in `compounds(id, compound)` for the rows of `source`; `lexicon` names a table (w, v) in place of the built-in words."""
+    words = f"lexicon(w, v) AS (SELECT w, v FROM {lexicon})" if lexicon else f"lexicon(w, v) AS (VALUES {_values(LEXICON)})"
     boosts = " + ".join(
         f"coalesce((SELECT v FROM boosters b WHERE b.w = p{d}), 0) * {damping}" for d, damping in ((1, 1.0), (2, 0.95), (3, 0.9))
     )
     negators = ", ".join(f"'{w}'" for w in NEGATORS)
-    return rf"""lexicon(w, v) AS (VALUES {_values(LEXICON)}), boosters(w, v) AS (VALUES {_values(BOOSTERS)}),
+    return rf"""{words}, boosters(w, v) AS (VALUES {_values(BOOSTERS)}),
     token_lists AS (SELECT {row_id} AS id, regexp_extract_all(lower(regexp_replace({text}, '[''’]', '', 'g')), '[\p{{L}}\p{{N}}_]{{2,}}') AS ts FROM {source}),
     tokens AS (SELECT id, unnest(ts) AS w, generate_subscripts(ts, 1) AS i FROM token_lists),
     buts AS (SELECT id, min(i) AS at FROM tokens WHERE w = 'but' GROUP BY id),

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.lexicon_sql import compound_ctes
+from catalogue.lexicon_sql import compound_ctes, induced_ctes
 from catalogue.registry import query, table
 from catalogue.reviews import CLEANED_SQL, REVIEWS_SQL, cleaned, reviews
 from catalogue.text import TOKEN, _WHENS, _emoji_sql, normal_ctes, term_ctes
 from revlens.functions.vocab import LEXICON, NO_THEME
-from revlens.operators import language, sentiment
+from revlens.operators import induction, language, sentiment
 from revlens.operators.lexicon import add_compound, add_compound_from_table
 from revlens.plans.enrich import enrich_reviews, run_pipeline
 from revlens.plans.explore import explore
@@ -32,6 +32,24 @@ def lexicon_scores_by_table(spark, folder):
     return add_compound_from_table(cleaned(spark, folder), "review_id", "review", words).select("review_id", F.round("compound", 6).alias("compound"))
 
 
+INDUCED = CLEANED + ", " + induced_ctes("cleaned", "review", induction.LEAST, induction.ROUNDS, induction.DAMPING, induction.FAINTEST)
+
+
+@query("induced_lexicon", INDUCED + " SELECT w AS word, round(CAST(v AS DOUBLE), 6) AS valence FROM induced")
+def induced_lexicon(spark, folder):
+    return induction.induced_lexicon(cleaned(spark, folder), "review").withColumn("valence", F.round("valence", 6))
+
+
+@query(
+    "lexicon_scores_by_induction",
+    INDUCED + f", {compound_ctes('cleaned', 'review_id', 'review', 'induced')} SELECT id AS review_id, round(compound, 6) AS compound FROM compounds",
+)
+def lexicon_scores_by_induction(spark, folder):
+    rows = stage(cleaned(spark, folder), "cleaned-reviews")
+    grown = induction.induced_lexicon(rows, "review")
+    return add_compound_from_table(rows, "review_id", "review", grown).select("review_id", F.round("compound", 6).alias("compound"))
+
+
 def model_ctes(source: str, text: str, rating: str) -> str:
     """CTEs ending in `model(token, weight)`, trained on the rows of `source`."""
     return rf"""rated AS (SELECT {text} AS t, CASE WHEN {rating} >= 4 THEN 1 WHEN {rating} <= 2 THEN 0 END AS pos FROM {source}),
