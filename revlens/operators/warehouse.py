@@ -8,28 +8,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from revlens.functions.lists import list_to_json
 from revlens.operators.joins import spread_join
+from revlens.session import stage
 
-_NUMBERING_BUCKETS = 2  # hex digits of the name's md5: 256 buckets
+def in_order(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """Number all rows 1, 2, ... by `order`, in parallel and at any size.
 
+    Rows are cut into ranges by a sample of the order and sorted inside them; a row's number is its place in its range
+    plus the sizes of the ranges before. The sorted rows are written once, so that the ranges counted are those numbered.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    rows = stage(placed, "in-order").withColumn("_range", F.shiftright("_at", 33))
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    # one row per range, of which there are as many as tasks in the stage that wrote them
+    numbered = rows.join(F.broadcast(shifts), "_range")
+    return numbered.withColumn(out, F.col("_shift") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_at", "_range", "_shift")
 
-def dense_ids(df: DataFrame, key: str, start: int | Column = 0, out: str = "id") -> DataFrame:
-    """Number distinct keys start+1, start+2, ... in the order of (first md5 digits, key).
 
-    Rows are numbered inside 256 hash buckets and shifted by the sizes of the buckets before, so no
-    task orders the whole table.
-    """
-    bucketed = df.withColumn("_bucket", F.substring(F.md5(key), 1, _NUMBERING_BUCKETS))
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
+def dense_ids(df: DataFrame, key: str, start: int | Column = 0, out: str = "id") -> DataFrame:
+    """Number distinct keys start+1, start+2, ... in the order of (first two md5 digits, key); rows without a key are left out."""
+    hashed = df.where(F.col(key).isNotNull()).withColumn("_bucket", F.substring(F.md5(key), 1, 2))
     start = start if isinstance(start, Column) else F.lit(start)
-    return (
-        bucketed.withColumn("_rank", inside)
-        .join(F.broadcast(shifts), "_bucket")  # at most 256 rows
-        .withColumn(out, (start + F.col("_shift") + F.col("_rank")).cast("long"))
-        .drop("_bucket", "_rank", "_shift")
-    )
+    numbered = in_order(hashed, ["_bucket", key], "_place")
+    return numbered.withColumn(out, (start + F.col("_place")).cast("long")).drop("_bucket", "_place")
 
 
 def upsert_banks(banks: DataFrame, names: DataFrame, loaded_at: Column | None = None) -> DataFrame:
