@@ -110,3 +110,27 @@ def combined_tables(spark, folder):
 def apps_to_banks(spark, folder):
     raw = table(spark, folder, "documents").select(F.col("doc_id").alias("review_id"), F.col("source").alias("app_id"))
     return landing.with_bank_names(raw, {app: f"Bank of {app}" for app in KNOWN_BANKS})
+
+
+@query("rows_of_unknown_apps", "SELECT doc_id AS review_id, source AS app_id FROM documents WHERE source IS NULL OR source NOT IN (" + ", ".join(f"'{b}'" for b in KNOWN_BANKS) + ")")
+def rows_of_unknown_apps(spark, folder):
+    raw = table(spark, folder, "documents").select(F.col("doc_id").alias("review_id"), F.col("source").alias("app_id"))
+    return landing.of_unknown_apps(raw, {app: f"Bank of {app}" for app in KNOWN_BANKS}).select("review_id", "app_id")
+
+
+DAMAGED = "CASE event_id % 10 WHEN 3 THEN 'n/a' ELSE CAST(user_id AS STRING) END"
+
+
+@query(
+    "csv_rejects",
+    f"""SELECT event_id % 10 IN (3, 7) AS rejected,
+      CASE WHEN event_id % 10 = 7 THEN event_id || ',' || user_id ELSE event_id || ',' || {DAMAGED} || ',' || event_type END AS record FROM events""",
+)
+def csv_rejects(spark, folder):
+    events = table(spark, folder, "events")
+    fields = F.when(F.col("event_id") % 10 == 7, F.concat_ws(",", "event_id", "user_id")).otherwise(F.concat_ws(",", "event_id", F.expr(DAMAGED), "event_type"))
+    path = fresh_path(spark, "csv-damaged")
+    events.select(fields.alias("value")).write.text(path)
+    rows, rejects = files.read_csv_with_rejects(spark, path, "event_id bigint, user_id bigint, event_type string", header=False)
+    whole = rows.select(F.lit(False).alias("rejected"), F.concat_ws(",", "event_id", "user_id", "event_type").alias("record"))
+    return whole.unionByName(rejects.select(F.lit(True).alias("rejected"), "record"))

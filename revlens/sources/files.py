@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from revlens.functions.lists import list_to_json, parse_list
+from revlens.session import stage
 
 log = logging.getLogger(__name__)
 
@@ -29,6 +30,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
 
 
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType | str, **options: object) -> tuple[DataFrame, DataFrame]:
+    """CSV of a known schema as (rows, rejects(record)): records that do not fit it, as they stand in the file.
+
+    A record is rejected if a field does not parse as its type or there are too few or too many fields. The files
+    are parsed once, into a staged table; both results read that.
+    """
+    known = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    raw = "_record"
+    while raw in known.fieldNames():
+        raw = "_" + raw
+    read = read_csv(spark, path, T.StructType([*known.fields, T.StructField(raw, T.StringType())]), mode="PERMISSIVE", columnNameOfCorruptRecord=raw, **options)
+    parsed = stage(read, "parsed-csv")
+    return parsed.where(F.col(raw).isNull()).drop(raw), parsed.where(F.col(raw).isNotNull()).select(F.col(raw).alias("record"))
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **options: object) -> DataFrame:
     reader = spark.read.options(**options)
     return (reader.schema(schema) if schema is not None else reader).parquet(path)

@@ -23,11 +23,17 @@ def newest_reviews(raw: DataFrame, max_reviews: int | None = None, group: str =
 
 
 def with_bank_names(raw: DataFrame, banks_by_app: Mapping[str, str], app: str = "app_id") -> DataFrame:
-    """Name the bank of each app; rows of unknown apps are left out."""
+    """Name the bank of each app; rows of unknown apps are left out, `of_unknown_apps` has them."""
     names = raw.sparkSession.createDataFrame(list(banks_by_app.items()), f"{app} string, bank string")
     return raw.join(names, app)
 
 
+def of_unknown_apps(raw: DataFrame, banks_by_app: Mapping[str, str], app: str = "app_id") -> DataFrame:
+    """The rows that `with_bank_names` leaves out, those without an app included."""
+    known = raw.sparkSession.createDataFrame([(a,) for a in banks_by_app], f"{app} string")
+    return raw.join(known, app, "left_anti")
+
+
 def clean_reviews(raw: DataFrame, source: str = "Google Play", keys: Sequence[str] = ("bank",), drop_missing_first: bool = False) -> DataFrame:
     """Raw reviews to the cleaned table: one row per bank, review text and day, the newest.
 
