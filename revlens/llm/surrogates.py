@@ -9,7 +9,9 @@ names and initials right before them. Words in lower case are no names, nor are
 
 A keyed hash of type and canonical form draws the surrogate:
 digits for digits, letters for letters of the same script, case and kind; given names that tell a gender become names
-of that gender. All distinct entities of the corpus then go through a collision check: surrogates that two entities
+of that gender. A title tells the gender of the given name behind it (the first of several words) where no list does or the list says
+otherwise: "Mrs Robin Keller" and "Mr Robin Moss" have two given names, an untitled "Robin" is the one of its document if there is only one, else
+a third. Such names are made of syllables with an ending of their gender. All distinct entities of the corpus then go through a collision check: surrogates that two entities
 share, or that are real entities themselves, are drawn again until all are distinct. Every occurrence gets its entity's
 surrogate in its own format. Only documents with entities are shuffled.
 
@@ -43,6 +45,8 @@ PATTERNS = (
     ("number", re.compile(r"(?<!\w)\d(?:[ -]?\d){12,18}(?!\w)|(?<!\w)\d{7,}(?!\w)")),
 )
 TITLES = "Mr Mrs Ms Miss Mme Mlle Dr Prof Doctor Professor Herr Frau Señor Señora Monsieur Madame Господин Госпожа".split()
+MALE_TITLES = frozenset("Mr Herr Señor Monsieur Господин".split())
+FEMALE_TITLES = frozenset("Mrs Ms Miss Mme Mlle Frau Señora Madame Госпожа".split())
 _BREAK = r"(?:[^\S\n]{0,8}\n)?[^\S\n]{0,8}"
 _TITLE = re.compile(rf"\b(?:(?:{'|'.join(TITLES)})(?:\.|(?=\s)){_BREAK})+")
 _NAME_WORD = re.compile(r"(?<!\w)(?:[^\W\d_]{1,2}['’])?[^\W\d_]+(?!\w)")
@@ -68,7 +72,14 @@ NOT_NAMES = frozenset(
 EITHER = frozenset("an do few her many may more most no now one so who will yet ambassador chairman director judge justice mayor minister president secretary senator speaker".split())
 
 GIVEN = frozenset(n.casefold() for n in MALE + FEMALE)
+GENDERS = {n.casefold(): g for g, some in (("m", MALE), ("f", FEMALE)) for n in some}
+MARK = "\x01"  # between a name and the gender that a title told; no name holds it
 _SCRIPTS = (("aeiou", "bcdfghjklmnprstvwxyz"), ("аеиоу", "бвгдзклмнпрстфхц"), ("αεηιου", "βγδζκλμνπρστφχ"))
+# Endings of made-up given names, by script as above.
+_ENDINGS = {
+    "m": (("an", "el", "en", "er", "in", "on", "or", "us"), ("ан", "ей", "ин", "ир", "ор"), ("ας", "ης", "ος")),
+    "f": (("a", "ia", "ina", "ela", "ora", "ana", "isa"), ("а", "ия", "ина", "ана", "ора"), ("α", "η", "ια")),
+}
 
 
 def _name(text: str, at: int) -> list[tuple[int, int]]:
@@ -135,12 +146,32 @@ def _folded(word: str) -> str:
     return word.casefold().replace("’", "'")
 
 
-def entities(kind: str, text: str, start: int, stop: int) -> list[dict]:
-    """The entities of a place: the words of a name, or the one that it is; the first is marked."""
+def told_genders(text: str) -> tuple[dict[int, str], dict[str, str]]:
+    """By place, the gender that a title tells of each word of a titled name ("" for none), and by given name the only one told in the text."""
+    places: dict[int, str] = {}
+    words: dict[str, set[str]] = {}
+    for m in _TITLE.finditer(text):
+        titles = set(re.findall(r"\w+", m[0]))
+        male, female = bool(titles & MALE_TITLES), bool(titles & FEMALE_TITLES)
+        name = [(a, b) for a, b in _name(text, m.end()) if text[a:b] not in PARTICLES]
+        places |= dict.fromkeys((a for a, _ in name), "")
+        if male != female and len(name) > 1 and name[0][1] - name[0][0] > 1:
+            places[name[0][0]] = gender = "m" if male else "f"
+            words.setdefault(_folded(text[slice(*name[0])]), set()).add(gender)
+    return places, {word: min(some) for word, some in words.items() if len(some) == 1}
+
+
+def entities(kind: str, text: str, start: int, stop: int, told: tuple[dict[int, str], dict[str, str]] = ({}, {})) -> list[dict]:
+    """The entities of a place: the words of a name, or the one that it is; the first is marked. `told` are the text's `told_genders`."""
+
+    def known(a: int, word: str) -> str:
+        gender = told[0][a] if a in told[0] else told[1].get(word, "")
+        return word + MARK + gender if gender and GENDERS.get(word) != gender else word
+
     if kind != "name":
         return [{"kind": "number" if kind in ("phone", "ssn") else kind, "start": start, "stop": stop, "value": canonical(kind, text[start:stop]), "first": True}]
     places = [m.span() for m in _NAME_WORD.finditer(text, start, stop) if text[m.start() : m.end()] not in PARTICLES]
-    return [{"kind": kind, "start": a, "stop": b, "value": _folded(text[a:b]), "first": n == 0} for n, (a, b) in enumerate(places)]
+    return [{"kind": kind, "start": a, "stop": b, "value": known(a, _folded(text[a:b])), "first": n == 0} for n, (a, b) in enumerate(places)]
 
 
 def find(text: str | None) -> list[tuple[str, int, int]]:
@@ -210,6 +241,13 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return "".join(map(draw.like, local + "a" * longer)) + "@" + "".join(map(draw.like, head)) + dot + top
     if kind == "iban":
         return value[:2] + "".join(map(draw.like, value[2:] + "0" * longer))
+    if kind == "name" and MARK in value:
+        value, _, gender = value.partition(MARK)
+        script = 1 if "Ѐ" <= value[0] <= "ӿ" else 2 if "Ͱ" <= value[0] <= "Ͽ" else 0
+        vowels, consonants = _SCRIPTS[script]
+        heads = [consonants[draw.below(len(consonants))] + vowels[draw.below(len(vowels))] for _ in range(max(1, len(value) // 3 - 1) + attempt // 4)]
+        endings = _ENDINGS[gender][script]
+        return "".join(heads) + consonants[draw.below(len(consonants))] + endings[draw.below(len(endings))]
     if kind == "name":
         longer = attempt if len(value) == 1 else longer
         parts = re.split(r"([ -])", value)
@@ -264,7 +302,8 @@ def _detected(docs: DataFrame, text: str, with_entities: bool) -> DataFrame:
                 found = find(value)
                 if bool(found) == with_entities:
                     rows.append(row)
-                    spans.append([e for k, a, b in found for e in entities(k, value, a, b)])
+                    told = told_genders(value) if any(k == "name" for k, _, _ in found) else ({}, {})
+                    spans.append([e for k, a, b in found for e in entities(k, value, a, b, told)])
             if rows:
                 doc = batch.column(0).take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays([doc, pa.array(spans, kind)] if with_entities else [doc], names=["doc", "spans"] if with_entities else ["doc"])
@@ -287,7 +326,7 @@ def mapping(entities: DataFrame, key: bytes) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(drawn, pa.string())], names=["kind", "value", "attempt", "surrogate"])
 
     pending = staged(entities.distinct(), "entities")
-    real = pending.select("kind", F.col("value").alias("surrogate"))
+    real = pending.select("kind", F.substring_index("value", MARK, 1).alias("surrogate")).distinct()
     pending, done, attempt = pending.withColumn("attempt", F.lit(0)), None, 0
     while True:
         drawn = staged(pending.mapInArrow(run, "kind string, value string, attempt int, surrogate string"), "drawn")

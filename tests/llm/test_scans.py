@@ -1,5 +1,6 @@
 """License scan, URL rules, token trees, vantage-point trees and surrogates against brute force."""
 
+import itertools
 import re
 import textwrap
 from collections import Counter
@@ -320,6 +321,38 @@ def test_keys_of_any_length_and_case_are_found(spark):
     assert found[50].n == 0 and found[50].text == rows[-1][1]
 
 
+GENDERED = [
+    (1, "Mrs Robin Keller and Mr Robin Moss met; Robin left"),
+    (2, "Mr Robin Keller called. Later Robin came, and ROBIN KELLER wrote"),
+    (3, "Mrs Paul Keller and Mr Paul Moss"),
+    (4, "Госпожа Саша Петрова и Господин Саша Иванов"),
+    (5, "Dr Robin Keller"),
+    (6, "Mr Robin and Mrs Robin Wu"),
+]
+
+
+def test_a_title_tells_the_gender(spark):
+    found = {r.doc_id: r.text for r in surrogates.replace_pii(spark.createDataFrame(GENDERED, "doc_id long, text string"), b"key").collect()}
+    female, male, bare = re.fullmatch(r"Mrs (\w+) \w+ and Mr (\w+) \w+ met; (\w+) left", found[1]).groups()
+    assert len({female, male, bare, "Robin"}) == 4
+    assert female.endswith(surrogates._ENDINGS["f"][0]) and male.endswith(surrogates._ENDINGS["m"][0])
+    same = re.fullmatch(r"Mr (\w+) (\w+) called\. Later (\w+) came, and (\w+) (\w+) wrote", found[2]).groups()
+    assert same[0] == same[2] == male and same[3] == male.upper() and same[4] == same[1].upper()
+    wife, man = re.fullmatch(r"Mrs (\w+) \w+ and Mr (\w+) \w+", found[3]).groups()
+    assert wife.endswith(surrogates._ENDINGS["f"][0]) and man in surrogates.MALE
+    one, other = re.fullmatch(r"Госпожа ([а-яА-Я]+) [а-яА-Я]+ и Господин ([а-яА-Я]+) [а-яА-Я]+", found[4]).groups()
+    assert one.endswith(surrogates._ENDINGS["f"][1]) and other.endswith(surrogates._ENDINGS["m"][1])
+    assert found[5].split()[1] == bare
+    assert found[6].split()[1] == bare and found[6].split()[4] == female
+
+
+def test_made_up_names_stay_distinct(spark):
+    given = ["".join(p) for p in itertools.product("bdgklmnr", "aeiou", "bdgklmnr", "aeiou")]
+    values = [("name", n + surrogates.MARK + g) for n in given for g in "mf"] + [("name", n) for n in given]
+    found = surrogates.mapping(spark.createDataFrame(values, "kind string, value string"), b"k").collect()
+    assert len(found) == len(values) == len({r.surrogate for r in found}) and not {r.surrogate for r in found} & set(given)
+
+
 def test_given_names_never_run_out(spark):
     names = [n.casefold() for n in surrogates.MALE + surrogates.FEMALE] + list("abcdefghijklmnopqrstuvwxyz")
     found = surrogates.mapping(spark.createDataFrame([("name", n) for n in names], "kind string, value string"), b"k").collect()
