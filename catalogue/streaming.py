@@ -24,7 +24,8 @@ DELAY = timedelta(days=7)
 
 
 def _documents(spark, folder):
-    return jobs.read_landing(spark, folder, schemas.DOCUMENTS, "documents.parquet")
+    """The documents as they land: one file, or a folder of files, which a pattern over names of files would not see."""
+    return jobs.read_landing(spark, f"{folder}/{{documents.parquet}}", schemas.DOCUMENTS)
 
 
 def _stretches(first, last):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue import streaming
 from catalogue.registry import QUERIES
+from revlens import schemas
 from revlens.session import fresh_path
 
 
@@ -36,3 +37,12 @@ def test_stretches_are_no_longer_than_the_delay():
         bounds = [first, *streaming._stretches(first, last), last]
         assert bounds == sorted(bounds) and len(bounds) >= 7
         assert all(b - a <= streaming.DELAY + timedelta(microseconds=1) for a, b in zip(bounds, bounds[1:], strict=False))
+
+
+def test_documents_may_land_as_a_folder_of_files(spark):
+    folder = fresh_path(spark, "documents-in-parts")
+    rows = [(i, f"Great app {i}!", "en", f"src{i}", 12) for i in range(4)]
+    spark.createDataFrame(rows, schemas.DOCUMENTS).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    assert [r[0] for r in rows_of(QUERIES["stream_ingest"](spark, folder))] == [0, 1, 2, 3]
+    assert [r[0] for r in rows_of(QUERIES["stream_scores"](spark, folder))] == [0, 1, 2, 3]
+    assert QUERIES["stream_fact_load"](spark, folder).count() == 4
