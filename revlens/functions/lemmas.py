@@ -7,7 +7,7 @@ any SQL engine reads them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -40,7 +40,41 @@ RULES: tuple[Rule, ...] = (
 )
 
 
-def base_form(word: Column, rules: Sequence[Rule] = RULES, kept: frozenset[str] = KEPT) -> Column:
-    """The word's base form by the first rule that fits; a word that none fits, or that is kept, stays. Null stays null."""
-    found = reduce(lambda rest, rule: F.when(word.rlike(rule[0]), F.concat(F.regexp_extract(word, rule[0], 1), F.lit(rule[1]))).otherwise(rest), reversed(rules), word)
-    return F.when(word.isin(sorted(kept)), word).otherwise(found)
+# For each rule the endings of which a word has one if the rule's pattern fits.
+ENDS: tuple[tuple[str, ...], ...] = (
+    ("ss", "us", "is"),
+    ("es",),
+    ("ies",),
+    ("s",),
+    ("ied",),
+    ("ier", "iest"),
+    *((f"{c}{c}ing", f"{c}{c}ed") for c in "bdgmnprt"),
+    ("ing", "ed"),
+    ("ing", "ed"),
+    ("ing",),
+    ("ed",),
+)
+
+
+def _ends(word: Column, ends: Iterable[str]) -> Column:
+    return reduce(Column.__or__, [word.endswith(end) for end in sorted(ends)])
+
+
+def base_form(word: Column, rules: Sequence[Rule] = RULES, kept: frozenset[str] = KEPT, ends: Sequence[Sequence[str]] | None = None) -> Column:
+    """The word's base form by the first rule that fits; a word that none fits, or that is kept, stays. Null stays null.
+
+    A pattern is tried only on words with one of the rule's `ends`, which most words do not have; other rules than the
+    given ones may come without.
+    """
+    ends = ENDS if ends is None and rules is RULES else ends
+
+    def with_rule(rest: Column, i: int) -> Column:
+        pattern, ending = rules[i]
+        fits = word.rlike(pattern) if ends is None else _ends(word, ends[i]) & word.rlike(pattern)
+        return F.when(fits, F.concat(F.regexp_extract(word, pattern, 1), F.lit(ending))).otherwise(rest)
+
+    found = F.when(word.isin(sorted(kept)), word).otherwise(reduce(with_rule, reversed(range(len(rules))), word))
+    if ends is None:
+        return found
+    every = {end for some in ends for end in some}
+    return F.when(_ends(word, {end for end in every if not any(end != other and end.endswith(other) for other in every)}), found).otherwise(word)
