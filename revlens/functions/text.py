@@ -13,6 +13,8 @@ from revlens.functions.vocab import EMOJI_WORDS, LEMMAS, STOP_WORDS
 # ASCII-only or keep joiners and variation selectors.
 NON_WORD = r"[^\p{L}\p{N}_\p{IsWhite_Space}]"
 SPACES = r"[\p{IsWhite_Space}]+"
+# The runs that are no single blank: most white space of a text is one and needs no replacement.
+ODD_SPACES = r"[\p{IsWhite_Space}&&[^ ]][\p{IsWhite_Space}]*| [\p{IsWhite_Space}]+"
 NON_SPACE = r"[^\p{IsWhite_Space}]"
 EDGE_SPACES = r"^[\p{IsWhite_Space}]+|[\p{IsWhite_Space}]+$"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -34,7 +36,7 @@ def strip(c: Column | str) -> Column:
 
 def squeeze(c: Column | str) -> Column:
     """Runs of white space become one space, ends are trimmed."""
-    return F.trim(F.regexp_replace(_col(c), SPACES, " "))
+    return F.trim(F.regexp_replace(_col(c), ODD_SPACES, " "))
 
 
 def is_blank(c: Column | str) -> Column:
@@ -56,6 +58,21 @@ def words(c: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(_col(c)), F.lit(TOKEN), F.lit(0))
 
 
+def joined_words(c: Column | str) -> Column:
+    """The words in one text with single spaces, to be written once and read by `split_words` in later passes."""
+    return F.array_join(words(c), " ")
+
+
+def joined_words_of_normal(c: Column | str) -> Column:
+    """`joined_words` of a text that `normalise` made: its parts hold word characters only, so that their length tells."""
+    return F.array_join(F.filter(F.split(_col(c), " "), lambda part: F.length(part) >= 2), " ")
+
+
+def split_words(c: Column | str) -> Column:
+    """The words of `joined_words`, NULL where there are none: no pattern is matched again."""
+    return F.split(F.nullif(_col(c), F.lit("")), " ")
+
+
 def each(values: Column) -> Column:
     """One row per array element and a NULL row for an empty array; filter on `IS NOT NULL` after it.
 

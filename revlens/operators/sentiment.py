@@ -20,20 +20,25 @@ def label_from_rating(rating: Column | str) -> Column:
     return F.when(rating >= 4, "positive").when(rating <= 2, "negative")
 
 
-def train_word_model(df: DataFrame, text: str, label: str) -> DataFrame:
+def label_counts(df: DataFrame, text: str, label: str, split: Callable[[str], Column] = words) -> DataFrame:
+    """`(token, n, pos, neg)`: how often each word stands in all texts and in those with either label."""
+    tokens = df.where(~is_blank(text)).select(label, each(split(text)).alias("token")).where("token is not null")
+    return tokens.groupBy("token").agg(
+        F.count("*").alias("n"),
+        F.count(F.when(F.col(label) == "positive", 1)).alias("pos"),
+        F.count(F.when(F.col(label) == "negative", 1)).alias("neg"),
+    )
+
+
+def train_word_model(df: DataFrame, text: str, label: str, counts: DataFrame | None = None) -> DataFrame:
     """Multinomial naive Bayes as a table `(token, weight)`; the empty token holds the prior.
 
     A weight is the log odds of the word under "positive" against "negative", with add-one
-    smoothing over all words of the labelled texts.
+    smoothing over all words of the labelled texts. `counts` are the `label_counts` of the texts, if they are known.
     """
     positive, negative = F.col(label) == "positive", F.col(label) == "negative"
     labelled = df.where(positive | negative)
-    tokens = labelled.where(~is_blank(text)).select(label, each(words(text)).alias("token"))
-    counts = (
-        tokens.where("token is not null")
-        .groupBy("token")
-        .agg(F.count(F.when(positive, 1)).alias("pos"), F.count(F.when(negative, 1)).alias("neg"))
-    )
+    counts = label_counts(labelled, text, label) if counts is None else counts.where("pos > 0 or neg > 0")
     sums = counts.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count("*").alias("n"))).scalar()
     weight = F.log((F.col("pos") + 1) / (sums["pos"] + sums["n"])) - F.log((F.col("neg") + 1) / (sums["neg"] + sums["n"]))
     prior = labelled.agg(
@@ -44,14 +49,20 @@ def train_word_model(df: DataFrame, text: str, label: str) -> DataFrame:
 
 
 def add_sentiment(
-    df: DataFrame, row_id: str, text: str, model: DataFrame, label: str = "sentiment_label", score: str = "sentiment_score"
+    df: DataFrame,
+    row_id: str,
+    text: str,
+    model: DataFrame,
+    label: str = "sentiment_label",
+    score: str = "sentiment_score",
+    split: Callable[[str], Column] = words,
 ) -> DataFrame:
     """Label and confidence from the whole text; a text without a word of the model gives ("neutral", 0.0).
 
     Only ids and words meet the model. A model that was staged or read has a known size, and Spark broadcasts it
     when it is small; beyond that, frequent words are spread over slices.
     """
-    tokens = df.where(~is_blank(text)).select(row_id, each(words(text)).alias("token")).where("token is not null")
+    tokens = df.where(~is_blank(text)).select(row_id, each(split(text)).alias("token")).where("token is not null")
     odds = spread_join(tokens, model.where("token != ''"), ["token"], spread_on=row_id).groupBy(row_id).agg(F.sum("weight").alias("_odds"))
     prior = F.coalesce(model.where("token = ''").select("weight").scalar(), F.lit(0.0))
     total = F.col("_odds") + prior

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from revlens.functions.text import normalise, replace_emoji
+from revlens.functions.text import joined_words, joined_words_of_normal, normalise, replace_emoji, split_words
 from revlens.operators.columns import rename_columns
 from revlens.operators.keywords import MAX_TERMS, attach_keywords, keyword_lists
 from revlens.operators.lexicon import lexicon_sentiment
-from revlens.operators.sentiment import add_sentiment, label_from_rating, train_word_model
+from revlens.operators.sentiment import add_sentiment, label_counts, label_from_rating, train_word_model
 from revlens.operators.themes import add_themes
 from revlens.session import stage
 from revlens.sources.files import lists_as_text, load, read_csv, write_csv, write_parquet
 
-_ROW = "_row"
+_ROW, _WORDS = "_row", "_words"
 
 
 def prepare_text(reviews: DataFrame, text: str = "review_text", emoji_first: bool = True) -> DataFrame:
@@ -36,7 +36,7 @@ def enrich_reviews(
 ) -> DataFrame:
     """The whole chain over reviews with `review` (or `review_text`) and, if there is one, `rating`.
 
-    The prepared text is staged once, because the sentiment and keyword steps each read it; reviews
+    The prepared text and its words are staged once, because the sentiment and keyword steps each read them; reviews
     with nothing left are dropped behind that, so that the test does not compute the text again.
     Only ids and cleaned texts are scored; their results meet the other columns in one join. Without a
     model, one is trained on the reviews whose rating tells their sentiment; without ratings either,
@@ -46,15 +46,19 @@ def enrich_reviews(
     if row_id is None:
         numbered = named.withColumn(_ROW, F.monotonically_increasing_id())
         return enrich_reviews(numbered, model, _ROW, top_k, max_terms, emoji_first).drop(_ROW)
-    prepared = stage(prepare_text(named, emoji_first=emoji_first), "prepared").where("cleaned_text != ''")
-    slim = prepared.select(row_id, "cleaned_text")
+    read = prepare_text(named, emoji_first=emoji_first).withColumn(_WORDS, (joined_words_of_normal if emoji_first else joined_words)("cleaned_text"))
+    prepared = stage(read, "prepared").where("cleaned_text != ''")
+    slim = prepared.select(row_id, "cleaned_text", _WORDS)
+    counts = None
     if model is None and "rating" in prepared.columns:
-        labelled = prepared.select("cleaned_text", label_from_rating("rating").alias("label"))
-        model = stage(train_word_model(labelled, "cleaned_text", "label"), "model")
-    scored = lexicon_sentiment(slim, "cleaned_text") if model is None else add_sentiment(slim, row_id, "cleaned_text", model)
-    keywords = keyword_lists(slim, row_id, "cleaned_text", top_k, max_terms)
-    found = attach_keywords(scored.drop("cleaned_text"), keywords, row_id).transform(add_themes)
-    return prepared.join(found, row_id)
+        labelled = prepared.select(_WORDS, label_from_rating("rating").alias("label"))
+        counts = stage(label_counts(labelled, _WORDS, "label", split_words), "word-counts")
+        model = stage(train_word_model(labelled, _WORDS, "label", counts), "model")
+        counts = counts.select(F.col("token").alias("word"), F.col("n").alias("corpus_count"))
+    scored = lexicon_sentiment(slim, "cleaned_text") if model is None else add_sentiment(slim, row_id, _WORDS, model, split=split_words)
+    keywords = keyword_lists(slim, row_id, _WORDS, top_k, max_terms, joined=True, counts=counts)
+    found = attach_keywords(scored.drop("cleaned_text", _WORDS), keywords, row_id).transform(add_themes)
+    return prepared.drop(_WORDS).join(found, row_id)
 
 
 def run_pipeline(spark: SparkSession, source: str, target: str, **options) -> DataFrame:

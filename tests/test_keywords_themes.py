@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from revlens.operators.keywords import add_keywords, term_weights, vocabulary
 from revlens.operators.themes import add_themes, assign_themes, themes_of_text
@@ -113,3 +114,17 @@ def test_themes_follow_keywords(spark):
     rows = spark.createDataFrame([(0, "login login login"), (1, "nothing here")], "id long, t string")
     got = {r["id"]: r["themes"] for r in add_keywords(rows, "id", "t").transform(add_themes).collect()}
     assert got == {0: ["Account Access Issues"], 1: ["Miscellaneous"]}
+
+
+def test_the_text_is_computed_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        read.add(1)
+        return f"good app number{i % 7} slow app"
+
+    rows = spark.range(40).select("id", text("id").alias("t"))
+    assert term_weights(rows, "id", "t").where("term = 'app'").agg({"tf": "sum"}).first()[0] == 80
+    # the test for blank texts may read a text once more
+    assert read.value <= 80
