@@ -17,6 +17,7 @@ from revlens.operators.columns import (
 )
 from revlens.operators.language import keep_language
 from revlens.operators.rows import drop_duplicate_rows, drop_missing
+from revlens.session import stage
 
 # Column names of the store's export.
 UNUSED = ("reviewId", "userImage", "reviewCreatedVersion", "replyContent", "repliedAt")
@@ -31,9 +32,12 @@ def explore(
     row_id: str = "reviewId",
     source: str = "Google Store",
 ) -> DataFrame:
-    """Drop repeats, incomplete rows and unused columns, read emoji, keep English, type and name columns."""
-    rows = raw.transform(drop_duplicate_rows).transform(drop_missing, ["content", "score"]).transform(drop_empty_columns)
-    rows = rows.withColumn("content", replace_emoji("content"))
+    """Drop repeats, incomplete rows and unused columns, read emoji, keep English, type and name columns.
+
+    The distinct rows are staged, because the search for empty columns, the language test and the result each read them.
+    """
+    rows = stage(raw.transform(drop_duplicate_rows).transform(drop_missing, ["content", "score"]).withColumn("content", replace_emoji("content")), "distinct")
+    rows = rows.transform(drop_empty_columns)
     rows = keep_language(rows, row_id, "content", profiles, languages)
     rows = rows.transform(drop_columns, [c for c in UNUSED if c in rows.columns]).transform(drop_redundant_columns)
     rows = rows.transform(to_timestamps, ["at"]).transform(rename_first, NAMES)
