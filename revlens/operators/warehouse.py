@@ -85,11 +85,16 @@ def known_banks(rows: DataFrame, banks: DataFrame, row_id: str = "id") -> DataFr
 def new_facts(facts: DataFrame, stored: DataFrame, newest: str | None = "created_at") -> DataFrame:
     """The facts a load still has to append: a second run of the same load appends nothing.
 
-    Of several versions of an id in one load the newest by the named column counts, ties to the smallest row.
+    Of several versions of an id in one load the newest by the named column counts, ties to the smallest row. Only facts
+    whose id may repeat, by its hash, are moved and ordered; where ids are unique only hashes move.
     """
     order = [F.desc(newest)] if newest in facts.columns else []
     first = F.row_number().over(Window.partitionBy("id").orderBy(*order, *[F.col(c) for c in facts.columns if c != "id"]))
-    one = facts.withColumn("_n", first).where("_n = 1").drop("_n")
+    mark = F.xxhash64("id").alias("_mark")
+    repeated = stage(facts.select(mark).groupBy("_mark").agg(F.count("*").alias("_n")).where("_n > 1").select("_mark"), "repeated-ids")
+    marked = facts.withColumn("_mark", mark)
+    several = marked.join(repeated, "_mark", "left_semi").withColumn("_n", first).where("_n = 1")
+    one = marked.join(repeated, "_mark", "left_anti").select(facts.columns).unionByName(several.select(facts.columns))
     return one.join(stored.select("id"), "id", "left_anti")
 
 

@@ -290,3 +290,10 @@ def test_streams(spark):
     weeks = fresh_path(spark, "weeks")
     jobs.replace_table(jobs.weekly_sentiment(labelled), weeks, fresh_path(spark, "checkpoint")).awaitTermination()
     assert [(str(r[0]), r[1], r[2]) for r in spark.read.parquet(weeks).collect()] == [("2024-01-07", "positive", 3)]
+
+
+def test_only_facts_whose_id_may_repeat_are_ordered(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y"), ("b", 2, "z"), (None, 1, "n")], "id string, created_at int, text string")
+    new = ops.new_facts(rows, rows.where("id = 'a'"))
+    assert sorted(map(tuple, new.collect()), key=str) == sorted([("b", 2, "z"), (None, 1, "n")], key=str)
+    assert "_mark" in new._jdf.queryExecution().optimizedPlan().toString()
