@@ -8,9 +8,10 @@ from catalogue.lexicon_sql import compound_ctes, induced_ctes
 from catalogue.registry import query, table
 from catalogue.reviews import CLEANED_SQL, REVIEWS_SQL, cleaned, reviews
 from catalogue.text import TOKEN, _WHENS, _emoji_sql, normal_ctes, term_ctes
+from revlens.functions.text import split_words
 from revlens.functions.vocab import LEXICON, NO_THEME
 from revlens.operators import induction, language, sentiment
-from revlens.operators.lexicon import add_compound, add_compound_from_table
+from revlens.operators.lexicon import add_compound, add_compound_from_table, sentiment_tokens
 from revlens.plans.enrich import enrich_reviews, run_pipeline
 from revlens.plans.explore import explore
 from revlens.session import fresh_path, stage
@@ -45,9 +46,10 @@ def induced_lexicon(spark, folder):
     INDUCED + f", {compound_ctes('cleaned', 'review_id', 'review', 'induced')} SELECT id AS review_id, round(compound, 6) AS compound FROM compounds",
 )
 def lexicon_scores_by_induction(spark, folder):
-    rows = stage(cleaned(spark, folder), "cleaned-reviews")
-    grown = induction.induced_lexicon(rows, "review")
-    return add_compound_from_table(rows, "review_id", "review", grown).select("review_id", F.round("compound", 6).alias("compound"))
+    # the words are read from the text once and written beside it
+    rows = stage(cleaned(spark, folder).select("review_id", "review", F.array_join(sentiment_tokens("review"), " ").alias("words")), "cleaned-reviews")
+    grown = induction.induced_lexicon(rows, "words", split=split_words)
+    return add_compound_from_table(rows, "review_id", "review", grown, tokens=split_words("words")).select("review_id", F.round("compound", 6).alias("compound"))
 
 
 def model_ctes(source: str, text: str, rating: str) -> str:

@@ -25,7 +25,7 @@ def _table(values: Mapping[str, float]) -> Column:
 
 
 def sentiment_tokens(text: Column | str) -> Column:
-    return words(F.regexp_replace(_col(text), "['’]", ""))
+    return words(F.replace(F.replace(_col(text), F.lit("'"), F.lit("")), F.lit("’"), F.lit("")))
 
 
 def compound(
@@ -49,10 +49,12 @@ def compound(
     return _compound(text, hits, negators, boosters)
 
 
-def _compound(text: Column | str, hits: Callable[[Column], Column], negators: Sequence[str], boosters: Mapping[str, float]) -> Column:
-    """The score, given the array (i, own) of the places and valences of a text's lexicon words."""
+def _compound(
+    text: Column | str, hits: Callable[[Column], Column], negators: Sequence[str], boosters: Mapping[str, float], tokens: Column | None = None
+) -> Column:
+    """The score, given the array (i, own) of the places and valences of a text's lexicon words, and its words, if they are known."""
     scored = _let(
-        sentiment_tokens(text),
+        sentiment_tokens(text) if tokens is None else tokens,
         lambda tokens: _let(F.array_position(tokens, "but"), lambda but_at: _valence_sum(tokens, but_at, hits(tokens), negators, boosters)),
     )
     bangs = F.least(F.length(_col(text)) - F.length(F.replace(_col(text), F.lit("!"), F.lit(""))), F.lit(MAX_EXCLAMATIONS))
@@ -89,18 +91,27 @@ def _valence_sum(tokens: Column, but_at: Column, hits: Column, negators: Sequenc
 
 
 def add_compound_from_table(
-    df: DataFrame, row_id: str, text: str, lexicon: DataFrame, out: str = "compound", negators: Sequence[str] = NEGATORS, boosters: Mapping[str, float] = BOOSTERS
+    df: DataFrame,
+    row_id: str,
+    text: str,
+    lexicon: DataFrame,
+    out: str = "compound",
+    negators: Sequence[str] = NEGATORS,
+    boosters: Mapping[str, float] = BOOSTERS,
+    tokens: Column | None = None,
 ) -> DataFrame:
     """The score under a lexicon given as a table `(word, valence)`, one row per word, of any size.
 
-    Ids, places and words meet the lexicon; the found places return to their rows.
+    Ids, places and words meet the lexicon; the found places return to their rows. `tokens` are the `sentiment_tokens`
+    of the text, if a column of `df` has them.
     """
-    tokens = df.select(row_id, F.posexplode(sentiment_tokens(text)).alias("i", "word"))
+    read = tokens
+    tokens = df.select(row_id, F.posexplode_outer(sentiment_tokens(text) if read is None else read).alias("i", "word")).where("word is not null")
     found = spread_join(tokens, lexicon.select("word", F.col("valence").cast("double").alias("own")), ["word"], spread_on=row_id)
     lists = found.groupBy(row_id).agg(F.array_sort(F.collect_list(F.struct("i", "own"))).alias("_hits"))
     none = F.array().cast("array<struct<i:int,own:double>>")
     joined = df.join(lists, row_id, "left")
-    return joined.withColumn(out, _compound(text, lambda _: F.coalesce("_hits", none), negators, boosters)).drop("_hits")
+    return joined.withColumn(out, _compound(text, lambda _: F.coalesce("_hits", none), negators, boosters, read)).drop("_hits")
 
 
 def add_compound(df: DataFrame, text: str, out: str = "compound", **tables) -> DataFrame:
