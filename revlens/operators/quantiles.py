@@ -4,6 +4,7 @@ A mergeable sketch brackets each quantile between two values whose ranks surely
 a bracket is then counted exactly, and only the values inside it, a small share of the group, are ordered. A bracket
 that the counts prove wrong becomes the group's whole range, so that results are exact whatever the sketch says. Rows are
 counted per group and value first, so that equal values are one row before they move. Nothing depends on how values are spread.
+Counts meet the facts of their group in slices, each with its own copy of the facts, so that no task sorts a whole group.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 ACCURACY = 50_000
+SLICES = 32
 
 
 def _rows(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
@@ -20,7 +22,14 @@ def _rows(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
 
 
 def _cells(rows: DataFrame, group: Sequence[str]) -> DataFrame:
-    return rows.groupBy(*group, "_v").agg(F.count("*").alias("_c"))
+    slice_of = F.pmod(F.xxhash64("_v"), F.lit(SLICES)).cast("int")
+    return rows.groupBy(*group, "_v").agg(F.count("*").alias("_c")).withColumn("_slice", slice_of)
+
+
+def _with_facts(cells: DataFrame, facts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The counts, each with the facts of its group."""
+    copies = facts.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    return cells.join(copies, [*group, "_slice"])
 
 
 def _quantiles(rows: DataFrame, cells: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:
@@ -35,7 +44,7 @@ def _quantiles(rows: DataFrame, cells: DataFrame, group: Sequence[str], probs: S
     counts = [F.sum(F.when(F.col("_v") < F.col("_ends")[2 * i], F.col("_c")).otherwise(0)).alias(f"_b{i}") for i in range(len(probs))]
     counts += [F.sum(F.when(F.col("_v") <= F.col("_ends")[2 * i + 1], F.col("_c")).otherwise(0)).alias(f"_u{i}") for i in range(len(probs))]
     facts = [*group, "_n", "_min", "_max"]
-    counted = cells.join(sketch, list(group)).groupBy(*facts, "_ends").agg(*counts)
+    counted = _with_facts(cells, sketch, group).groupBy(*facts, "_ends").agg(*counts)
     brackets = []
     for i, p in enumerate(probs):
         position = (F.col("_n") - 1) * float(p)
@@ -51,7 +60,7 @@ def _quantiles(rows: DataFrame, cells: DataFrame, group: Sequence[str], probs: S
             )
         )
     wanted = counted.select(*facts, F.array(*brackets).alias("_brackets"))
-    met = cells.join(wanted, list(group)).withColumn("_brackets", F.filter("_brackets", lambda b: (b["low"] <= F.col("_v")) & (F.col("_v") <= b["high"])))
+    met = _with_facts(cells, wanted, group).withColumn("_brackets", F.filter("_brackets", lambda b: (b["low"] <= F.col("_v")) & (F.col("_v") <= b["high"])))
     inside = met.where(F.size("_brackets") > 0).withColumn("_b", F.explode("_brackets")).select(*facts, "_v", "_c", "_b.*")
     upto = Window.partitionBy(*group, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     end = F.col("below") + F.sum("_c").over(upto)
@@ -93,7 +102,7 @@ def box_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("_v") >= F.col("q1") - reach) & (F.col("_v") <= F.col("q3") + reach)
     return (
-        cells.join(quartiles, list(group))
+        _with_facts(cells, quartiles, group)
         .groupBy(*group, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),

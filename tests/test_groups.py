@@ -166,3 +166,11 @@ def test_weekly_and_daily_sentiment(spark):
     assert weeks == {"2024-01-07": (0, 0, 1, 0), "2024-01-14": (1, 0, 1, 1), "2024-02-04": (0, 1, 0, 0)}
     days = {str(r[0]): tuple(r)[1:] for r in trends.daily_sentiment(df).collect()}
     assert days["2024-01-08"] == (1, 0, 1, 1) and len(days) == 3
+
+
+def test_box_stats_meet_no_whole_group_in_one_task(spark):
+    rows = spark.range(1_000).selectExpr("id % 3 AS g", "id * 0.5 AS v")
+    boxes = box_stats(rows, ["g"], "v")
+    joins = [line for line in boxes._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [" in line]
+    assert joins and all("_slice" in line for line in joins)
+    assert sorted((r.g, r.median, r.n_outliers) for r in boxes.collect()) == [(0, 249.75, 0), (1, 249.5, 0), (2, 250.0, 0)]
