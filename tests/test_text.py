@@ -39,6 +39,17 @@ def test_normalise_by_tables_gives_the_same(spark):
     assert got == {i: wanted for i, (_, wanted) in enumerate(NORMALISED)}
 
 
+def test_normalise_by_tables_moves_texts_and_found_words(spark):
+    """Ids that repeat share their words place by place, entries may repeat or be null; no single word of a text is moved but those found."""
+    rows = spark.createDataFrame([(1, "The cats ran, the"), (2, " dogs  ran"), (2, "Cats the x"), (2, "Cats the x"), (3, None), (4, " "), (None, "cats")], "id int, t string")
+    stops = spark.createDataFrame([("the",), ("the",), (None,)], "word string")
+    bases = spark.createDataFrame([("cats", "cat"), ("cats", "a pet"), ("ran", "run"), ("ran", None), ("the", "a"), (None, "none"), ("", "empty")], "word string, base string")
+    got = add_cleaned_text_from_tables(rows, "id", "t", stops, bases)
+    two = "a pet a pet cat cat dogs ran run x x"
+    assert sorted((r["id"] or 0, r["cleaned_text"]) for r in got.collect()) == [(0, ""), (1, "a pet cat ran run"), (2, two), (2, two), (2, two), (3, ""), (4, "")]
+    assert "posexplode" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize(
     "given, wanted",
     [
