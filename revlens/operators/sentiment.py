@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from revlens.functions.text import each, head_chars, is_blank, words
 from revlens.operators.joins import spread_join
 
+# A model of more words is not sent whole, whatever the session says: tasks look words up in their share of it.
+SENT_WORDS = 1 << 19
+
 SENTIMENT = T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
@@ -60,10 +63,13 @@ def add_sentiment(
     """Label and confidence from the whole text; a text without a word of the model gives ("neutral", 0.0).
 
     Only ids and words meet the model. A model that was staged or read has a known size, and Spark broadcasts it
-    when it is small; beyond that, frequent words are spread over slices.
+    when it is small; beyond `SENT_WORDS` words each task holds a share of the model and its words pass by, where sorting
+    them would take memory by the size of the input.
     """
+    known = model.where("token != ''")
+    known = known.hint("shuffle_hash") if model.count() > SENT_WORDS else known
     tokens = df.where(~is_blank(text)).select(row_id, each(split(text)).alias("token")).where("token is not null")
-    odds = spread_join(tokens, model.where("token != ''"), ["token"], spread_on=row_id).groupBy(row_id).agg(F.sum("weight").alias("_odds"))
+    odds = spread_join(tokens, known, ["token"], spread_on=row_id).groupBy(row_id).agg(F.sum("weight").alias("_odds"))
     prior = F.coalesce(model.where("token = ''").select("weight").scalar(), F.lit(0.0))
     total = F.col("_odds") + prior
     return (

@@ -50,6 +50,16 @@ def test_a_model_without_its_prior_still_scores(spark, model):
     assert [label for label, _ in scored(spark, model.where("token != ''"), ["love", "terrible", ""])] == ["positive", "negative", "neutral"]
 
 
+def test_words_meet_a_large_model_unsorted(spark, model, monkeypatch):
+    texts = ["love " * 50, "terrible service", "crashing " * 30 + "love", "zzz", ""]
+    wanted = scored(spark, model, texts)
+    monkeypatch.setattr(sentiment, "SENT_WORDS", model.count() - 1)
+    assert scored(spark, model, texts) == wanted
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    plan = sentiment.add_sentiment(rows, "id", "t", model)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [token" in plan and "SortMergeJoin [token" not in plan
+
+
 def test_weights_by_hand(model):
     weights = {r["token"]: r["weight"] for r in model.collect()}
     words = {w for t, label in TRAINING if label for w in __import__("re").findall(r"\w\w+", t.lower())}
