@@ -65,7 +65,7 @@ def stream_model_scores(spark, folder):
     rated = cleaned(spark, folder).withColumn("label", label_from_rating("rating"))
     model = stage(train_word_model(rated, "review", "label"), "model")
     rows = _documents(spark, folder).select("doc_id", "text")
-    scores = _finish(spark, lambda path, checkpoint: jobs.score_with_model(rows, model, "doc_id", "text", path, checkpoint), "scored")
+    scores = _finish(spark, lambda path, checkpoint: jobs.score_with_model(rows, model, "doc_id", "text", path, checkpoint, keep=["doc_id"]), "scored")
     return scores.select("doc_id", "sentiment_label", F.round("sentiment_score", 6).alias("sentiment_score"))
 
 

@@ -110,10 +110,15 @@ def append_batches(
 
 
 def score_with_model(
-    stream: DataFrame, model: DataFrame, row_id: str, text: str, path: str, checkpoint: str, trigger: dict | None = None
+    stream: DataFrame, model: DataFrame, row_id: str, text: str, path: str, checkpoint: str, trigger: dict | None = None, keep: Sequence[str] | None = None
 ) -> StreamingQuery:
-    """Sentiment of each review from a word model that was trained before the stream started."""
-    return append_batches(stream, lambda batch: add_sentiment(batch, row_id, text, model), path, checkpoint, trigger)
+    """Sentiment of each review from a word model that was trained before the stream started; of the stream's columns `keep` alone, or all."""
+
+    def score(batch: DataFrame) -> DataFrame:
+        scored = add_sentiment(batch, row_id, text, model)
+        return scored if keep is None else scored.select(*keep, "sentiment_label", "sentiment_score")
+
+    return append_batches(stream, score, path, checkpoint, trigger)
 
 
 def score_rows(stream: DataFrame, text: str) -> DataFrame:

@@ -1,7 +1,11 @@
 """Streams over a long span of events that land as several files, beside the same counts in one batch."""
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from catalogue import streaming
@@ -46,3 +50,31 @@ def test_documents_may_land_as_a_folder_of_files(spark):
     assert [r[0] for r in rows_of(QUERIES["stream_ingest"](spark, folder))] == [0, 1, 2, 3]
     assert [r[0] for r in rows_of(QUERIES["stream_scores"](spark, folder))] == [0, 1, 2, 3]
     assert QUERIES["stream_fact_load"](spark, folder).count() == 4
+
+
+def _landed(spark, in_parts):
+    """Documents in one file or in a folder of three, with events and labels that rate them."""
+    folder = fresh_path(spark, "landed")
+    Path(folder).mkdir(parents=True)
+    texts = ["Great app, love it!", "It is bad, it crashed again.", "love the great design", "Bad and slow, login fails", "nothing", "", None, "great but slow"]
+    start = datetime(2024, 1, 1)
+    tables = {
+        "events": {"event_id": list(range(80)), "ts": [start + timedelta(hours=i) for i in range(80)], "user_id": [i // 10 for i in range(80)], "event_type": ["view"] * 80, "value": [1.0] * 80, "props": [""] * 80},
+        "labels": {"doc_id": list(range(6)), "quality": [1, 0, 1, 0, 1, 0], "toxic": [0] * 6},
+    }
+    for name, columns in tables.items():
+        pq.write_table(pa.table(columns), f"{folder}/{name}.parquet")
+    documents = pa.table({"doc_id": list(range(8)), "text": texts, "lang": ["en"] * 8, "source": ["src1"] * 8, "n_chars": [len(t or "") for t in texts]})
+    if in_parts:
+        Path(f"{folder}/documents.parquet").mkdir()
+        for i in range(3):
+            pq.write_table(documents.slice(3 * i, 3), f"{folder}/documents.parquet/part-{i}.parquet")
+    else:
+        pq.write_table(documents, f"{folder}/documents.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["stream_model_scores"])
+def test_scores_of_a_folder_of_files_equal_those_of_one_file(spark, name):
+    one, parts = (rows_of(QUERIES[name](spark, _landed(spark, in_parts))) for in_parts in (False, True))
+    assert parts == one and [r[0] for r in parts] == list(range(8)) and len({r[1] for r in parts}) > 1
