@@ -74,7 +74,7 @@ def _landed(spark, in_parts):
     return folder
 
 
-@pytest.mark.parametrize("name", ["stream_model_scores"])
+@pytest.mark.parametrize("name", ["stream_model_scores", "stream_scores"])
 def test_scores_of_a_folder_of_files_equal_those_of_one_file(spark, name):
     one, parts = (rows_of(QUERIES[name](spark, _landed(spark, in_parts))) for in_parts in (False, True))
     assert parts == one and [r[0] for r in parts] == list(range(8)) and len({r[1] for r in parts}) > 1
