@@ -3,12 +3,13 @@
 Texts become streams of ids in chunks of some megabytes, filled from many batches and kept compressed. Words are counted per language, those with `least` occurrences
 are ranked by frequency and get dense ids, so that the pairs that matter most lie in the first tiles. Adjacent ids of a chunk are
 pairs; the plane of pairs is cut into square tiles, a tile that a chunk fills well is counted directly by a dense bincount,
-the others as sorted coordinates. Counts of chunks are added by Spark. Frequent pairs are ranked and get ids of their own, the stream
+the others as sorted coordinates. Counts of chunks move by shares of the plane, each share of a chunk in few bytes, and are added share by share. Frequent pairs are ranked and get ids of their own, the stream
 of a chunk is rewritten with them, and the pairs of that stream are phrases one word longer: a phrase of k words is the pair of its
 first and its last k - 1 words. A part of a phrase is never rarer than the phrase, so nothing frequent is lost.
 
-Ids of a chunk are looked up by a join on its own distinct words or pairs; a bit set of fixed size leaves out those that are surely
-rare before they move. No vocabulary is broadcast or collected.
+Ids of a chunk are looked up for its own distinct words or pairs, in one row for each share of all names that it has some of; a bit set
+of fixed size leaves out those that are surely rare before they move. A share of the names of all chunks meets the same share of the
+numbered ones; there are more shares where there are more chunks. No vocabulary is broadcast or collected.
 
 Null texts are empty, null languages `und`. Texts and words are taken whole. Repeated rows count each time. Other columns are
 not carried, whatever their names; an empty table gives an empty result.
@@ -16,10 +17,12 @@ not carried, whatever their names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -27,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.bloom import bit_set, held, may_hold
+from revlens.llm.bloom import bit_set, may_hold
 from revlens.llm.common import map_batches, one_by_one, pieces, staged, texts
 from revlens.llm.hilbert_shards import ranked
 from revlens.llm.kernel import mixed
@@ -43,6 +46,7 @@ BORDER = b"\n"
 # A-Z become lower case, a tab a blank, and what ends a piece a line break.
 READ = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + BORDER * 9)
 NONE = np.uint32(0xFFFFFFFF)
+ADDED = 1 << 20  # counts of a share that a task holds unadded
 
 
 def shut(stream: np.ndarray) -> bytes:
@@ -109,20 +113,90 @@ def numbered(counted: DataFrame, key: str, name: str) -> DataFrame:
     return ranked(counted.withColumn("_less", -F.col("a")), ["lang", "_less", key], name, "id").drop("_less")
 
 
+def shares(streams: DataFrame) -> int:
+    """The number of shares that names and pairs move in: with the root of the number of chunks, so that neither a share nor the number of its rows is large."""
+    return 8 << math.isqrt(streams.count()).bit_length()
+
+
+def marks(names: pa.Array, langs: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each name, a word or a pair, in its language; `langs` has one for all or one for each."""
+    own, of_lang = (x.to_numpy().view(np.uint64) if pa.types.is_integer(x.type) else pd.util.hash_array(x.to_numpy(zero_copy_only=False).astype(object), categorize=False) for x in (names, langs))
+    return mixed(own ^ mixed(of_lang))
+
+
+def dealt(share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shares that occur, in order, and where each begins in the sorted shares, with the end."""
+    used, starts = np.unique(share, return_index=True)
+    return used.astype(np.int32), np.append(starts, len(share)).astype(np.int32)
+
+
+def share_of(mark: np.ndarray, parts: int) -> np.ndarray:
+    """The share of each mark; a bit set tells marks by other bits."""
+    return (mark >> np.uint64(32)) % np.uint64(parts)
+
+
+def looked_up(asking: DataFrame, known: DataFrame, parts: int, first: int = 0, sure: bool = False) -> DataFrame:
+    """chunk and names, `shut` numbers and ids of the names of `asking` (chunk, lang, names) that are in `known` (lang, name, id).
+
+    A name's number is its place in `names`, from `first` on. Unless they are `sure`, names that are surely unknown stay where they are.
+    """
+    kind = known.schema["name"].dataType.simpleString()
+
+    def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = marks(batch.column(1), batch.column(0))
+        return pa.RecordBatch.from_arrays([pa.array(share_of(found, parts).astype(np.int32)), pa.array(found.view(np.int64)), *batch.columns], names=["share", "mark", "lang", "name", "id"])
+
+    marked = map_batches(known.select("lang", "name", "id"), mark, f"share int, mark long, lang string, name {kind}, id long")
+    bits = None if sure else asking.sparkSession.sparkContext.broadcast(bit_set(marked, "mark"))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in one_by_one(batches):
+            for i in range(batch.num_rows):
+                names, lang = batch.column(2)[i].values, batch.column(1).slice(i, 1)
+                mark = marks(names, lang)
+                at = np.arange(len(names)) if bits is None else np.flatnonzero(may_hold(bits.value, mark.view(np.int64)))
+                share = share_of(mark[at], parts)
+                order = np.argsort(share, kind="stable")
+                at, (used, ends) = at[order], dealt(share[order])
+                one = pa.array(np.zeros(len(used), np.int32))
+                lists = [pa.ListArray.from_arrays(ends, x) for x in (pa.array((at + first).astype(np.int32)), names.take(pa.array(at)))]
+                yield pa.RecordBatch.from_arrays([pa.array(used), batch.column(0).slice(i, 1).take(one), lang.take(one), *lists], names=["share", "chunk", "lang", "at", "names"])
+
+    def answer(asked: pa.Table, named: pa.Table) -> pa.Table:
+        found, out = [], []
+        for lang in asked["lang"].unique().to_pylist():
+            rows, ids = (x.filter(pc.equal(x["lang"], lang)).combine_chunks() for x in (asked, named))
+            if not ids.num_rows:
+                continue
+            if pc.max(ids["id"]).as_py() >= NONE:
+                raise OverflowError("more frequent phrases than 32-bit ids")
+            place = pc.index_in(pc.list_flatten(rows["names"]), value_set=ids["name"].combine_chunks())
+            known = pc.is_valid(place).to_numpy(zero_copy_only=False)
+            id_of, at = ids["id"].to_numpy()[pc.fill_null(place, 0).to_numpy()], pc.list_flatten(rows["at"]).to_numpy()
+            ends = np.cumsum(pc.list_value_length(rows["names"]).to_numpy())
+            for chunk, start, stop in zip(rows["chunk"].to_pylist(), [0, *ends[:-1]], ends, strict=True):
+                hit = start + np.flatnonzero(known[start:stop])
+                if len(hit):
+                    found.append(chunk)
+                    out.append(shut(np.concatenate([at[hit].astype(np.uint32), id_of[hit].astype(np.uint32)])))
+        return pa.table([pa.array(found, pa.int64()), pa.array(out, pa.binary())], names=["chunk", "names"])
+
+    asked = asking.select("chunk", "lang", "names").mapInArrow(ask, f"share int, chunk long, lang string, at array<int>, names array<{kind}>")
+    return asked.groupBy("share").cogroup(marked.select("share", "lang", "name", "id").groupBy("share")).applyInArrow(answer, "chunk long, names binary")
+
+
 def renamed(streams: DataFrame, named: DataFrame) -> DataFrame:
-    """chunk and stream with every local number replaced by its id from `named` (chunk, at, id); those without one become NONE."""
-    found = named.groupBy("chunk").agg(F.collect_list(F.struct("at", "id")).alias("names"))  # no more than the chunk's distinct numbers
+    """chunk and stream with every local number replaced by its id from `named` (`looked_up`); those without one become NONE."""
+    found = named.groupBy("chunk").agg(F.collect_list("names").alias("names"))  # no more than the chunk's distinct numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_by_one(batches):
             for i in range(batch.num_rows):
                 stream = opened(batch.column(1)[i])
-                pairs = batch.column(2)[i].values
-                at, ids = pairs.field(0).to_numpy(), pairs.field(1).to_numpy()
-                if ids.max() >= NONE:
-                    raise OverflowError("more frequent phrases than 32-bit ids")
                 names = np.full(int(stream.max(initial=0)) + 1, NONE, np.uint32)
-                names[at] = ids
+                for one in batch.column(2)[i].values:
+                    at, ids = opened(one).reshape(2, -1)
+                    names[at] = ids
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([shut(names[stream])], pa.binary())], names=["chunk", "stream"])
 
     return streams.select("chunk", "stream").join(found, "chunk").select("chunk", "stream", "names").mapInArrow(run, "chunk long, stream binary")
@@ -159,18 +233,47 @@ def tile_counts(pairs: np.ndarray, tile: int = TILE) -> tuple[np.ndarray, np.nda
     return np.concatenate([*keys, found]), np.concatenate([*counts, n])
 
 
-def pair_counts(streams: DataFrame, least: int) -> DataFrame:
-    """key and a, the occurrences, of the pairs that occur `least` times or more in all streams."""
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, with the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[starts], np.add.reduceat(counts[order], starts) if len(starts) else counts
+
+
+def pair_counts(streams: DataFrame, least: int, parts: int) -> DataFrame:
+    """key and a, the occurrences, of the pairs that occur `least` times or more in all streams.
+
+    The right ids of a left one go to the shares in strips, so that frequent words do not meet in one share. A share of a chunk is its sorted
+    pairs as steps of the left ids, right ids and counts, `shut`.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_by_one(batches):
             for stream in batch.column(0):
                 keys, counts = tile_counts(stream_pairs(opened(stream))[1])
-                for start in range(0, len(keys), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[start : start + (1 << 16)].view(np.int64)), pa.array(counts[start : start + (1 << 16)])], names=["key", "a"])
-
-    counted = streams.select("stream").mapInArrow(run, "key long, a long")
-    return counted.groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+                share = share_of(mixed(keys // np.uint64(TILE)), parts)
+                order = np.lexsort((keys, share))
+                (used, ends), keys, counts = dealt(share[order]), keys[order], counts[order]
+                left, right = (keys >> np.uint64(32)).astype(np.uint32), keys.astype(np.uint32)
+                packed = [shut(np.concatenate([np.diff(left[a:b], prepend=np.uint32(0)), right[a:b], counts[a:b].astype(np.uint32)])) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(packed, pa.binary())], names=["share", "pairs"])
+
+    def add(share: pa.Table) -> pa.Table:
+        keys, counts, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        for pairs in share["pairs"]:
+            steps, right, n = opened(pairs).reshape(3, -1)
+            keys.append((np.cumsum(steps, dtype=np.uint64) << np.uint64(32)) | right)
+            counts.append(n.astype(np.int64))
+            held += len(n)
+            if held > ADDED:
+                (key, a), held = summed(np.concatenate(keys), np.concatenate(counts)), 0
+                keys, counts = [key], [a]
+        key, a = summed(np.concatenate(keys), np.concatenate(counts))
+        return pa.table([pa.array(key[a >= least].view(np.int64)), pa.array(a[a >= least])], names=["key", "a"])
+
+    counted = streams.select("stream").mapInArrow(run, "share int, pairs binary")
+    return counted.groupBy("share").applyInArrow(add, "key long, a long")
 
 
 def local_pairs(streams: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -207,16 +310,15 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: s
     """
     read = staged(chunks(docs, text, lang), "chunks")
     total = read.groupBy("lang").agg(F.sum("n").alias("n"))
-    spelled = read.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "word")).where("at > 0").select("chunk", "lang", "at", "word.words", "word.counts")
+    spelled = read.select("lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "word")).where("at > 0").select("lang", "word.words", "word.counts")
     counted = spelled.groupBy("lang", F.col("words").alias("phrase")).agg(F.sum("counts").alias("a")).where(F.col("a") >= least)
     level = numbered(counted, "phrase", "words").select("id", "lang", "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("heads"), F.array("a").alias("tails"))
-    word_mark = F.xxhash64("lang", "words")
-    frequent = held(word_mark, bit_set(level.select(F.xxhash64("lang", "phrase").alias("mark")), "mark"))
-    named = spelled.where(frequent).join(level.select("lang", F.col("phrase").alias("words"), "id"), ["lang", "words"]).select("chunk", "at", "id")
+    parts = shares(read)
+    named = looked_up(read.select("chunk", "lang", F.col("words").alias("names")), level.select("lang", F.col("phrase").alias("name"), "id"), parts)
     streams = staged(renamed(read, named), "streams")
     levels = [level]
     for size in range(2, longest + 1):
-        pairs = staged(pair_counts(streams, least), "pairs")
+        pairs = staged(pair_counts(streams, least, parts), "pairs")
         if pairs.isEmpty():
             break
         left = level.select(F.col("id").alias("left"), "lang", "phrase", "heads")
@@ -231,8 +333,9 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: s
         levels.append(level)
         if size < longest:
             local = staged(local_pairs(streams, level), "pair_streams")
-            keys = local.select("chunk", F.posexplode("keys").alias("at", "key")).withColumn("at", F.col("at") + 1)
-            streams = staged(renamed(local, keys.join(level.select("key", "id"), "key").select("chunk", "at", "id")), "streams")
+            any_lang = F.lit("").alias("lang")  # ids tell it
+            named = looked_up(local.select("chunk", any_lang, F.col("keys").alias("names")), level.select(any_lang, F.col("key").alias("name"), "id"), parts, first=1, sure=True)
+            streams = staged(renamed(local, named), "streams")
     return levels, total
 
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from revlens.llm import collocations
@@ -65,3 +66,36 @@ def test_scores_beyond_64_bits(spark):
     a, n, left, right = 3_000_000_007, 8_000_000_000_123, 5_000_000_011, 4_000_000_007
     df = spark.createDataFrame([(a, n, [left, a], [right, a])], "a long, n long, heads array<long>, tails array<long>")
     assert df.select(collocations._cuts(2).alias("cut")).first().cut.score == 1000 * a * n // (left * right)
+
+
+def test_names_of_many_chunks_meet_in_few_rows(spark):
+    """As many chunks as words: what is looked up is a row for each chunk and share, not for each chunk and word, with the ids of a plain join."""
+    words = [f"w{i}" for i in range(500)] + ["\x00x", "é", " "]
+    asked = [(c, lang, ["\n", *words[c % 7 :: 1 + c % 3], f"rare{c}"]) for c, lang in enumerate(["en", "und", "", "de"] * 6)]
+    known = [(lang, w, 1000 * k + i) for k, lang in enumerate(["en", "und", "fr", ""]) for i, w in enumerate(words[:: k + 1])]
+    asking, numbers = spark.createDataFrame(asked, "chunk long, lang string, names array<string>"), spark.createDataFrame(known, "lang string, name string, id long")
+    parts = collocations.shares(asking)
+    rows = collocations.looked_up(asking, numbers, parts).collect()
+    got = sorted((r.chunk, int(at), int(i)) for r in rows for at, i in zip(*collocations.opened(pa.scalar(bytes(r.names))).reshape(2, -1), strict=True))
+    ids = {(lang, w): i for lang, w, i in known}
+    assert got == sorted((c, at, ids[lang, w]) for c, lang, names in asked for at, w in enumerate(names) if (lang, w) in ids)
+    assert 3 * len(rows) < len(got) and len(rows) <= len(asked) * parts < 200 * len(asked)
+    pairs = spark.createDataFrame([(0, "", [5, 1 << 63 - 1, 7])], "chunk long, lang string, names array<long>")
+    (row,) = collocations.looked_up(pairs, spark.createDataFrame([("", 7, 9)], "lang string, name long, id long"), parts, first=1, sure=True).collect()
+    assert collocations.opened(pa.scalar(bytes(row.names))).tolist() == [3, 9]
+
+
+def test_pairs_of_chunks_move_in_few_bytes(spark, monkeypatch):
+    """Counts of all chunks, added a few at a time; what moves is a row for each chunk and share."""
+    monkeypatch.setattr(collocations, "ADDED", 1000)
+    draw = np.random.default_rng(5)
+    streams = [np.minimum(draw.geometric(1 / 300, 5000), 1 << 20).astype(np.uint32) for _ in range(12)]
+    streams[3][::7] = collocations.NONE
+    streams += [np.zeros(0, np.uint32), np.array([3_000_000_000, 4_294_967_294] * 9, np.uint32)]
+    df = spark.createDataFrame([(collocations.shut(s),) for s in streams], "stream binary")
+    keys, counts = np.unique(np.concatenate([collocations.stream_pairs(s)[1] for s in streams]), return_counts=True)
+    for least in (1, 5):
+        got = sorted(map(tuple, collocations.pair_counts(df, least, collocations.shares(df)).collect()))
+        assert got == sorted(zip(keys[counts >= least].view(np.int64).tolist(), counts[counts >= least].tolist(), strict=True))
+    plan = collocations.pair_counts(df, 5, 8)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(share" in plan and "hashpartitioning(key" not in plan
